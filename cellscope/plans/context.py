@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import feed
 from ..operators.grid import GridSpec, generate_grid
+from ..session import materialize
 from ..sources import fixtures as fx
 
 # Registered queries use 500 m cells so that cells are not mostly empty at
@@ -59,3 +61,33 @@ class Ctx:
     def features(self) -> DataFrame:
         return feed.extract_features(self.cells, self.stops, self.stop_times, self.trips,
                                      self.calendar, self.spec)
+
+
+def _features_norm(self) -> DataFrame:
+    from ..operators.scaling import normalize_features
+    return normalize_features(self.features)
+
+
+def _features_pop(self) -> DataFrame:
+    """Features + z-scores + census population (auto merge) + population_norm."""
+    from ..operators.census import merge_population
+    from ..operators.scaling import normalize_population
+    grid = self.cells_id.select("cell_id", "ID36")
+    merged = merge_population(grid, self.census, method="auto", bin_size=self.spec.dlon)
+    enriched = self.features_norm.join(merged.select("cell_id", "population"), "cell_id", "left")
+    enriched = enriched.withColumn("population", F.coalesce("population", F.lit(0)).cast("long"))
+    # one row per cell, reused by every label statistic: written once
+    return materialize(normalize_population(enriched), "features_pop")
+
+
+def _labels(self) -> DataFrame:
+    from ..operators.labels import generate_labels
+    return generate_labels(self.features_pop)
+
+
+Ctx.features_norm = cached_property(_features_norm)
+Ctx.features_norm.__set_name__(Ctx, "features_norm")
+Ctx.features_pop = cached_property(_features_pop)
+Ctx.features_pop.__set_name__(Ctx, "features_pop")
+Ctx.labels = cached_property(_labels)
+Ctx.labels.__set_name__(Ctx, "labels")

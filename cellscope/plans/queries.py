@@ -35,8 +35,8 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def V(body: str, *views: str) -> str:
-    return with_views(SPEC, body, *views)
+def V(body: str, *views: str, ctes: list[str] | None = None) -> str:
+    return with_views(SPEC, body, *views, ctes=ctes)
 
 
 R = 9  # decimals kept for doubles computed with transcendental functions

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 def _load():
     from . import queries as q
+    from . import q_census, q_labels  # noqa: F401  (register on import)
     return q
 
 

@@ -73,8 +73,8 @@ def census_sql(spec: GridSpec) -> str:
             f"FROM ({pts}) p")
 
 
-def with_views(spec: GridSpec, body: str, *names: str) -> str:
-    """``WITH`` clause holding the named views followed by ``body``."""
+def with_views(spec: GridSpec, body: str, *names: str, ctes: list[str] | None = None) -> str:
+    """``WITH`` clause holding the named views (then ``ctes``) followed by ``body``."""
     makers = {
         "stops": stops_sql,
         "trips": trips_sql,
@@ -85,5 +85,5 @@ def with_views(spec: GridSpec, body: str, *names: str) -> str:
         "cells_id": lambda: cells_sql(spec, True),
         "census": lambda: census_sql(spec),
     }
-    ctes = [f"{n} AS ({makers[n]()})" for n in names]
-    return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    parts = [f"{n} AS ({makers[n]()})" for n in names] + list(ctes or [])
+    return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body

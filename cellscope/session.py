@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(master: str | None = None, app_name: str = "cellscope",
@@ -20,6 +21,8 @@ def get_session(master: str | None = None, app_name: str = "cellscope",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory", "16g")
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -57,6 +60,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def filter_computed(df: DataFrame, cond) -> DataFrame:
+    """Keep rows where ``cond`` holds, evaluating ``cond`` once per row.
+
+    A Filter is pushed below the projections it depends on and every column
+    it names is replaced by its defining expression; for costly derived
+    columns (hash-derived coordinates, ring geometry) that repeats the work
+    per reference. A 0/1-element explode keeps the same semantics but is not
+    pushed down.
+    """
+    cols = df.columns
+    flagged = df.withColumn("__keep", cond)
+    gate = F.when(F.col("__keep"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return flagged.select(*cols, F.explode(gate).alias("__k")).drop("__k")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
