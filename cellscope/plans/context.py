@@ -82,7 +82,8 @@ def _features_pop(self) -> DataFrame:
 
 def _labels(self) -> DataFrame:
     from ..operators.labels import generate_labels
-    return generate_labels(self.features_pop)
+    # one row per cell, read by splits, metrics and statistics: written once
+    return materialize(generate_labels(self.features_pop), "labels")
 
 
 Ctx.features_norm = cached_property(_features_norm)

@@ -84,6 +84,14 @@ def with_views(spec: GridSpec, body: str, *names: str, ctes: list[str] | None =
         "cells": lambda: cells_sql(spec),
         "cells_id": lambda: cells_sql(spec, True),
         "census": lambda: census_sql(spec),
+        "customer_nulls": lambda: customer_nulls_sql(),
     }
     parts = [f"{n} AS ({makers[n]()})" for n in names] + list(ctes or [])
     return ("WITH " + ",\n".join(parts) + "\n" + body) if parts else body
+
+
+def customer_nulls_sql() -> str:
+    def nulled(col, tag):
+        return f"CASE WHEN {U(tag, 'c_custkey')} < {L(fx.NULL_SHARE)} THEN NULL ELSE {col} END AS {col}"
+    return (f"SELECT c_custkey, c_name, {nulled('c_nationkey', 'null-nation')}, "
+            f"{nulled('c_acctbal', 'null-acctbal')}, {nulled('c_mktsegment', 'null-segment')} FROM customer")

@@ -111,3 +111,18 @@ def census(spark: SparkSession, sf_dir: str, spec: GridSpec) -> DataFrame:
     hx, hy = F.lit(spec.dlon / 2), F.lit(spec.dlat / 2)
     ring = rect_ring(F.col("cx") - hx, F.col("cy") - hy, F.col("cx") + hx, F.col("cy") + hy)
     return pts.select("ID36", "POP", ring.alias("ring"))
+
+
+NULL_SHARE = 0.05
+
+
+def customer_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tabular case: ``customer`` with about 5% nulls injected per column by
+    seeded keys (nation, balance, segment)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+    def nulled(col, tag):
+        return F.when(seeded_uniform(tag, "c_custkey") < NULL_SHARE, F.lit(None)).otherwise(F.col(col)).alias(col)
+
+    return c.select("c_custkey", "c_name", nulled("c_nationkey", "null-nation"),
+                    nulled("c_acctbal", "null-acctbal"), nulled("c_mktsegment", "null-segment"))
