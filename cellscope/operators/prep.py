@@ -23,8 +23,10 @@ def non_numeric_columns(df: DataFrame) -> list[str]:
 
 
 def feature_columns(df: DataFrame, excluded: list[str] = MODEL_EXCLUDED) -> list[str]:
-    """Model inputs = numeric columns minus the excluded names."""
-    return [c for c in numeric_columns(df) if c not in excluded]
+    """Model inputs = numeric columns minus the excluded names and minus
+    ``*_norm`` / ``*_normalized`` columns (labels are built from those)."""
+    return [c for c in numeric_columns(df) if c not in excluded
+            and not c.endswith("_norm") and not c.endswith("_normalized")]
 
 
 def normalized_feature_columns(df: DataFrame) -> list[str]:
