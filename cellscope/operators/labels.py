@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import MIN_MINORITY_SHARE, TARGET_WELL_SERVED_SHARE, LabelConfig
 from ..functions.seeded import py_normal, seeded_normal, seeded_uniform
 from .census import require_columns
-from .ranking import exact_quantiles, hash_rank, one_row
+from .ranking import exact_quantiles, hash_rank, multi_quantiles, one_row
 
 NORM_COLS = ["stop_count_norm", "route_count_norm", "daily_trips_norm"]
 
@@ -52,8 +52,8 @@ def label_frame(features: DataFrame, cfg: LabelConfig = LabelConfig(), use_popul
     has_pop = "population" in features.columns if use_population is None else use_population
     df = features.select("cell_id", *(["population"] if has_pop else []),
                          composite_score(cfg.weights).alias("composite_score"))
-    thr = exact_quantiles(df, "composite_score", [cfg.threshold_quantile], ["threshold_used"])
     if not has_pop:
+        thr = exact_quantiles(df, "composite_score", [cfg.threshold_quantile], ["threshold_used"])
         out = df.crossJoin(one_row(thr))
         return out.withColumns({
             "label": (F.col("composite_score") >= F.col("threshold_used")).cast("int"),
@@ -62,7 +62,10 @@ def label_frame(features: DataFrame, cfg: LabelConfig = LabelConfig(), use_popul
     noise_on = cfg.noise
     sds = df.agg(F.stddev_samp("population").alias("_pop_sd"), F.stddev_samp("composite_score").alias("_score_sd"),
                  F.count(F.lit(1)).alias("_n"))
-    df = df.crossJoin(one_row(sds)).crossJoin(one_row(thr))
+    # the score threshold and the raw median share one ranking pass
+    thr_med = multi_quantiles(df, [("composite_score", cfg.threshold_quantile, "threshold_used"),
+                                   ("population", 0.5, "population_median")])
+    df = df.crossJoin(one_row(sds)).crossJoin(one_row(thr_med))
     if noise_on and cfg.population_noise_sd > 0:
         noisy = F.greatest(F.lit(0.0), F.col("population") + seeded_normal(f"pop-noise-{cfg.seed}", "cell_id")
                            * (F.lit(cfg.population_noise_sd) * F.col("_pop_sd")))
@@ -75,9 +78,8 @@ def label_frame(features: DataFrame, cfg: LabelConfig = LabelConfig(), use_popul
     else:
         tn = F.col("threshold_used")
     df = df.withColumn("threshold_noisy", tn)
-    med = exact_quantiles(df, "population", [0.5], ["population_median"])
     med_noisy = exact_quantiles(df, "population_noisy", [0.5], ["population_median_noisy"])
-    df = df.crossJoin(one_row(med)).crossJoin(one_row(med_noisy))
+    df = df.crossJoin(one_row(med_noisy))
     under = (F.col("composite_score") < F.col("threshold_noisy")) & \
             (F.col("population_noisy") > F.col("population_median_noisy"))
     df = df.withColumn("label_base", (~under).cast("int"))

@@ -98,3 +98,45 @@ def average_pct_rank(df: DataFrame, col: str, out: str = "pct_rank") -> DataFram
     vr = value_ranks(df, col)
     pr = vr.select(col, ((F.col("n_less") + (F.col("cnt") + 1) / 2) / F.col("n")).alias(out))
     return df.join(pr, col, "left")
+
+
+def multi_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], buckets: int = 256,
+                    accuracy: int = 10000) -> DataFrame:
+    """Several exact quantiles of several columns in one ranking pass.
+
+    ``specs`` holds (column, p, output name). The columns are stacked into
+    (key, value) rows, so every column shares the same aggregation,
+    bucketing and window stages; the result is one row of outputs.
+    """
+    cols = list(dict.fromkeys(c for c, _, _ in specs))
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_key"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
+        .alias("_s")).select("_s._key", "_s._v")
+    vc = stacked.filter(F.col("_v").isNotNull()).groupBy("_key", "_v").agg(F.count(F.lit(1)).alias("cnt"))
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = vc.groupBy("_key").agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts"),
+                                  F.sum("cnt").alias("n"))
+    data = vc.join(F.broadcast(cuts), "_key")  # one row per column
+    data = data.withColumn("_bk", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    per_bucket = data.groupBy("_key", "_bk").agg(F.sum("cnt").alias("_bn"))
+    w = Window.partitionBy("_key").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(w), F.lit(0))).drop("_bn")
+    data = data.join(F.broadcast(offs), ["_key", "_bk"])  # columns x buckets rows
+    wl = Window.partitionBy("_key", "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    vr = data.withColumn("n_less", F.col("_off") + F.coalesce(F.sum("cnt").over(wl), F.lit(0)))
+    keep = F.lit(False)
+    aggs = []
+    for c, p, name in specs:
+        k = cols.index(c)
+        h = F.lit(float(p)) * (F.col("n") - 1)
+        lo, hi = F.floor(h), F.ceil(h)
+        mine = F.col("_key") == k
+        cov = lambda j: mine & (F.col("n_less") <= j) & (j < F.col("n_less") + F.col("cnt"))
+        keep = keep | cov(lo) | cov(hi)
+        aggs += [F.max(F.when(cov(lo), F.col("_v"))).alias(f"_{name}_lo"),
+                 F.max(F.when(cov(hi), F.col("_v"))).alias(f"_{name}_hi"),
+                 F.max(F.when(mine, h - lo)).alias(f"_{name}_t")]
+    row = vr.filter(keep).agg(*aggs)
+    return row.select(*[
+        (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_t")).alias(n)
+        for _, _, n in specs])

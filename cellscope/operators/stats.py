@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prep import numeric_columns
-from .ranking import average_pct_rank, exact_quantiles, one_row
+from .ranking import average_pct_rank, exact_quantiles, multi_quantiles, one_row
 
 
 def _stack(df: DataFrame, rows: list[tuple[str, list]], names: list[str]) -> DataFrame:
@@ -60,9 +60,8 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     base = df.agg(*[e for c in cols for e in (
         F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
         F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max"))])
-    for c in cols:
-        base = base.crossJoin(one_row(exact_quantiles(df, c, [0.25, 0.5, 0.75],
-                                                      [f"{c}__q25", f"{c}__q50", f"{c}__q75"])))
+    qs = multi_quantiles(df, [(c, p, f"{c}__q{int(p * 100)}") for c in cols for p in (0.25, 0.5, 0.75)])
+    base = base.crossJoin(one_row(qs))
     fields = ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]
     rows = [(c, [F.col(f"{c}__{f}").cast("long" if f == "count" else "double") for f in fields]) for c in cols]
     return _stack(base, rows, ["column"] + fields)
@@ -80,15 +79,15 @@ def null_report(df: DataFrame) -> DataFrame:
 
 def zero_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per feature mean, median, q75, q95, max, zero count and percent."""
-    parts = []
-    for c in cols:
-        a = df.agg(F.avg(c).alias("mean"), F.max(c).cast("double").alias("max"),
-                   F.sum((F.col(c) == 0).cast("long")).alias("zero_count"),
-                   (F.avg((F.col(c) == 0).cast("double")) * 100).alias("zero_pct"))
-        q = exact_quantiles(df, c, [0.5, 0.75, 0.95], ["median", "q75", "q95"])
-        parts.append(a.crossJoin(one_row(q)).select(F.lit(c).alias("feature"), "mean", "median", "q75", "q95",
-                                                   "max", "zero_count", "zero_pct"))
-    return reduce(DataFrame.unionByName, parts)
+    a = df.agg(*[e for c in cols for e in (
+        F.avg(c).alias(f"{c}__mean"), F.max(c).cast("double").alias(f"{c}__max"),
+        F.sum((F.col(c) == 0).cast("long")).alias(f"{c}__zero_count"),
+        (F.avg((F.col(c) == 0).cast("double")) * 100).alias(f"{c}__zero_pct"))])
+    q = multi_quantiles(df, [(c, p, f"{c}__{n}") for c in cols for p, n in
+                             ((0.5, "median"), (0.75, "q75"), (0.95, "q95"))])
+    wide = a.crossJoin(one_row(q))
+    fields = ["mean", "median", "q75", "q95", "max", "zero_count", "zero_pct"]
+    return _stack(wide, [(c, [F.col(f"{c}__{f}") for f in fields]) for c in cols], ["feature"] + fields)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -192,8 +191,8 @@ def case_studies(df: DataFrame, transit: str = "daily_trips") -> DataFrame:
     3. high population (> q75) and high transit (> q75), most trips first.
     Quantiles include zero-population cells.
     """
-    q = exact_quantiles(df, "population", [0.25, 0.75], ["p25", "p75"]).crossJoin(
-        one_row(exact_quantiles(df, transit, [0.25, 0.75], ["t25", "t75"])))
+    q = multi_quantiles(df, [("population", 0.25, "p25"), ("population", 0.75, "p75"),
+                             (transit, 0.25, "t25"), (transit, 0.75, "t75")])
     d = df.crossJoin(one_row(q))
     p, t = F.col("population"), F.col(transit)
     cases = [
