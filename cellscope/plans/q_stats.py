@@ -187,3 +187,52 @@ def q_top_cells(c: Ctx) -> DataFrame:
 def q_top_values(c: Ctx) -> DataFrame:
     """T5: ten most frequent values per categorical column."""
     return st.top_values(c.table("orders"), ["o_orderstatus", "o_orderpriority", "o_custkey"])
+
+
+# ------------------------------------------------------- feature scoring ---
+
+SEL = ["stop_count", "route_count", "daily_trips", "population"]
+_SEL_DS = "ds AS (SELECT f.*, l.label FROM fpop f JOIN lbl l ON l.cell_id = f.cell_id)"
+
+
+def _anova_sql(c: str) -> str:
+    return (f"SELECT '{c}' AS feature, round(((B - S * S / n) / (k - 1)) / ((Q - B) / (n - k)), 6) AS f_score FROM "
+            f"(SELECT sum(cn) AS n, count(*) AS k, sum(s) AS S, sum(q) AS Q, sum(s * s / cn) AS B FROM "
+            f"(SELECT label, count(*) AS cn, sum(CAST({c} AS DOUBLE)) AS s, sum(CAST({c} AS DOUBLE) * "
+            f"CAST({c} AS DOUBLE)) AS q FROM ds GROUP BY label) g) t")
+
+
+@query("anova_f", V(" UNION ALL ".join(_anova_sql(x) for x in SEL), *VIEWS, ctes=LABEL_CTES + [_SEL_DS]))
+def q_anova_f(c: Ctx) -> DataFrame:
+    """ANOVA F of each cell feature against the label."""
+    from ..operators.selection import anova_f
+    d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
+    return _rnd(anova_f(d, SEL), ["f_score"])
+
+
+@query("top_k_features", V(
+    "SELECT feature, f_score FROM (" + " UNION ALL ".join(_anova_sql(x) for x in SEL) + ") a "
+    "ORDER BY f_score DESC, feature LIMIT 2", *VIEWS, ctes=LABEL_CTES + [_SEL_DS]))
+def q_top_k_features(c: Ctx) -> DataFrame:
+    """The two best features by ANOVA F."""
+    from ..operators.selection import select_k_best
+    d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
+    return _rnd(select_k_best(d, SEL, k=2), ["f_score"])
+
+
+def _mi_sql(c: str) -> str:
+    b = (f"CASE WHEN (mx - mn) / 10.0 = 0 THEN 0 ELSE least(floor(({c} - mn) / ((mx - mn) / CAST(10 AS DOUBLE))), 9) "
+         f"END")
+    return (f"SELECT '{c}' AS feature, round(sum(cc / CAST(n AS DOUBLE) * ln(cc * CAST(n AS DOUBLE) / (cb * cy))), 6) "
+            f"AS mutual_info FROM (SELECT b, y, cc, n, sum(cc) OVER (PARTITION BY b) AS cb, sum(cc) OVER "
+            f"(PARTITION BY y) AS cy FROM (SELECT {b} AS b, label AS y, count(*) AS cc, n FROM ds, (SELECT "
+            f"CAST(min({c}) AS DOUBLE) AS mn, CAST(max({c}) AS DOUBLE) AS mx, count(*) AS n FROM ds) s "
+            f"GROUP BY 1, 2, n) j) t")
+
+
+@query("mutual_info_binned", V(" UNION ALL ".join(_mi_sql(x) for x in SEL), *VIEWS, ctes=LABEL_CTES + [_SEL_DS]))
+def q_mutual_info_binned(c: Ctx) -> DataFrame:
+    """M20 (MI variant): binned mutual information with the label."""
+    from ..operators.selection import mutual_info_binned
+    d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
+    return _rnd(mutual_info_binned(d, SEL), ["mutual_info"])
