@@ -114,13 +114,16 @@ def extract_features(cells: DataFrame, stops: DataFrame, stop_times: DataFrame,
     stop_count and daily_trips come from one per-stop table in one
     aggregation; route_count needs its own distinct (cell, route) pass.
     """
-    per_stop = trips_per_stop(stop_times, trips, calendar)
+    # one stop_times x trips join feeds both branches (the exchange is reused)
+    st = stop_trip_routes(stop_times, trips)
+    per_stop = (st.join(weekday_services(calendar), "service_id", "left_semi").select("stop_id", "trip_id")
+                .distinct().groupBy("stop_id").agg(F.count(F.lit(1)).alias("daily_trips")))
     sc = stop_cells(stops, spec)
     stop_level = (sc.join(per_stop, "stop_id", "left").groupBy("cell_id")
                   .agg(F.count(F.lit(1)).alias("stop_count"),
                        F.sum(F.coalesce("daily_trips", F.lit(0))).cast("long").alias("daily_trips")))
-    routes = (stop_routes(stop_times, trips).join(sc, "stop_id").select("cell_id", "route_id").distinct()
-              .groupBy("cell_id").agg(F.count(F.lit(1)).alias("route_count")))
+    routes = (st.select("stop_id", "route_id").distinct().join(sc, "stop_id").select("cell_id", "route_id")
+              .distinct().groupBy("cell_id").agg(F.count(F.lit(1)).alias("route_count")))
     feats = complete_grid(cells.select("cell_id", "area_km2"), stop_level, routes)
     feats = feats.select("cell_id", "area_km2", "stop_count", "route_count", "daily_trips")
     if include_density:
