@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import one_row
+from .ranking import one_row, with_bucket
 
 
 def confusion(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -67,8 +67,7 @@ def cumulative_by_value(df: DataFrame, col: str, sums: dict, buckets: int = 256,
     vc = df.groupBy(col).agg(*[e.alias(n) for n, e in sums.items()])
     probs = [i / buckets for i in range(1, buckets)]
     cuts = vc.agg(F.percentile_approx(col, probs, accuracy).alias("_cuts"))
-    data = vc.crossJoin(one_row(cuts)).withColumn(
-        "_bk", F.size(F.filter("_cuts", lambda c: c < F.col(col)))).drop("_cuts")
+    data = with_bucket(vc.crossJoin(one_row(cuts)), col, "_cuts").drop("_cuts")
     per_bucket = data.groupBy("_bk").agg(*[F.sum(n).alias(f"_b_{n}") for n in sums])
     w = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
     offs = per_bucket.select("_bk", *[F.coalesce(F.sum(f"_b_{n}").over(w), F.lit(0)).alias(f"_o_{n}")

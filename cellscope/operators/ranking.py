@@ -24,6 +24,19 @@ def one_row(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def with_bucket(df: DataFrame, value: str, cuts: str, out: str = "_bk", max_cuts: int = 255) -> DataFrame:
+    """Number of cut points strictly below ``value`` (``cuts`` sorted
+    ascending, at most ``max_cuts`` of them) by binary search: one projection
+    per halving step, so a lookup costs log2(max_cuts) comparisons."""
+    out_df = df.withColumn(out, F.lit(0))
+    step = 1 << (max_cuts.bit_length() - 1)
+    while step >= 1:
+        probe = F.get(F.col(cuts), F.col(out) + (step - 1))  # null past the end
+        out_df = out_df.withColumn(out, F.col(out) + F.when(probe < F.col(value), F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return out_df
+
+
 def hash_rank(df: DataFrame, key: str, group: list[str] | None = None, tiebreak: list[str] | None = None,
               buckets: int = 1024, out: str = "_rank") -> DataFrame:
     """0-based rank of each row inside ``group`` ordered by (key, tiebreak).
@@ -50,8 +63,7 @@ def value_ranks(df: DataFrame, col: str, buckets: int = 256, accuracy: int = 100
     probs = [i / buckets for i in range(1, buckets)]
     cuts = vc.agg(F.percentile_approx(col, probs, accuracy).alias("_cuts"),
                   F.sum("cnt").alias("n"))
-    data = vc.crossJoin(one_row(cuts))
-    data = data.withColumn("_bk", F.size(F.filter("_cuts", lambda c: c < F.col(col)))).drop("_cuts")
+    data = with_bucket(vc.crossJoin(one_row(cuts)), col, "_cuts").drop("_cuts")
     per_bucket = data.groupBy("_bk").agg(F.sum("cnt").alias("_bn"))
     w = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
     offs = per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(w), F.lit(0))).drop("_bn")
@@ -116,8 +128,7 @@ def multi_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], buckets:
     probs = [i / buckets for i in range(1, buckets)]
     cuts = vc.groupBy("_key").agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts"),
                                   F.sum("cnt").alias("n"))
-    data = vc.join(F.broadcast(cuts), "_key")  # one row per column
-    data = data.withColumn("_bk", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    data = with_bucket(vc.join(F.broadcast(cuts), "_key"), "_v", "_cuts").drop("_cuts")  # cuts: one row per column
     per_bucket = data.groupBy("_key", "_bk").agg(F.sum("cnt").alias("_bn"))
     w = Window.partitionBy("_key").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(w), F.lit(0))).drop("_bn")
