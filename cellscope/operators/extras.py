@@ -126,3 +126,34 @@ def feed_quality(stops: DataFrame, bounds: dict) -> DataFrame:
            .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("stops_at_shared_location")))
     return a.crossJoin(one_row(dup)).withColumn("share_in_bounds", F.col("stops_in_bounds") / F.col("stops"))
 
+
+
+def buffered_bounds(stops: DataFrame, buffer_m: float = 2000.0) -> DataFrame:
+    """Study bounds = stop extent widened by ``buffer_m`` metres; the
+    longitude buffer uses the cosine at the extent's middle latitude."""
+    from ..config import METERS_PER_DEGREE
+    e = stops.agg(F.min("stop_lat").alias("a"), F.max("stop_lat").alias("b"),
+                  F.min("stop_lon").alias("c"), F.max("stop_lon").alias("d"))
+    blat = F.lit(buffer_m / METERS_PER_DEGREE)
+    blon = F.lit(buffer_m) / (F.lit(METERS_PER_DEGREE) * F.abs(F.cos(F.radians((F.col("a") + F.col("b")) / 2))))
+    return e.select((F.col("a") - blat).alias("lat_min"), (F.col("b") + blat).alias("lat_max"),
+                    (F.col("c") - blon).alias("lon_min"), (F.col("d") + blon).alias("lon_max"))
+
+
+def cells_in_area(cells: DataFrame, area: dict, min_share: float = 0.5) -> DataFrame:
+    """Cells whose rectangle lies more than ``min_share`` inside the area
+    rectangle (overlap area / cell area, in degree space)."""
+    ox = F.greatest(F.lit(0.0), F.least(F.col("lon_max"), F.lit(area["lon_max"]))
+                    - F.greatest(F.col("lon_min"), F.lit(area["lon_min"])))
+    oy = F.greatest(F.lit(0.0), F.least(F.col("lat_max"), F.lit(area["lat_max"]))
+                    - F.greatest(F.col("lat_min"), F.lit(area["lat_min"])))
+    share = ox * oy / ((F.col("lon_max") - F.col("lon_min")) * (F.col("lat_max") - F.col("lat_min")))
+    return cells.select("cell_id", share.alias("inside_share")).filter(F.col("inside_share") > min_share)
+
+
+def class_shift_alert(before: DataFrame, after: DataFrame, max_increase: float = 0.05) -> DataFrame:
+    """Alert when the share of class 0 grows by more than ``max_increase``
+    between two label runs."""
+    a = before.agg(F.avg((F.col("label") == 0).cast("double")).alias("share0_before"))
+    b = after.agg(F.avg((F.col("label") == 0).cast("double")).alias("share0_after"))
+    return a.crossJoin(b).withColumn("alert", F.col("share0_after") - F.col("share0_before") > max_increase)

@@ -164,3 +164,44 @@ def q_minmax_features(c: Ctx) -> DataFrame:
     cols = ["stop_count", "route_count", "daily_trips"]
     d = minmax(c.features.select("cell_id", *cols), cols)
     return d.select("cell_id", *[F.round(f"{x}_mm", 6).alias(f"{x}_mm") for x in cols])
+
+
+@query("buffered_bounds", V(
+    f"SELECT round(a - {L(2000.0 / 111320.0)}, 6) AS lat_min, round(b + {L(2000.0 / 111320.0)}, 6) AS lat_max, "
+    f"round(c - {L(2000.0)} / ({L(111320.0)} * abs(cos(radians((a + b) / 2)))), 6) AS lon_min, "
+    f"round(d + {L(2000.0)} / ({L(111320.0)} * abs(cos(radians((a + b) / 2)))), 6) AS lon_max FROM "
+    f"(SELECT min(stop_lat) AS a, max(stop_lat) AS b, min(stop_lon) AS c, max(stop_lon) AS d FROM stops) e",
+    "stops"))
+def q_buffered_bounds(c: Ctx) -> DataFrame:
+    """Stop extent plus a 2 km buffer."""
+    b = ex.buffered_bounds(c.stops, 2000.0)
+    return b.select(*[F.round(x, 6).alias(x) for x in b.columns])
+
+
+_OX = (f"greatest(CAST(0 AS DOUBLE), least(lon_max, {L(BOUNDS['lon_max'])}) - greatest(lon_min, "
+       f"{L(BOUNDS['lon_min'])}))")
+_OY = (f"greatest(CAST(0 AS DOUBLE), least(lat_max, {L(BOUNDS['lat_max'])}) - greatest(lat_min, "
+       f"{L(BOUNDS['lat_min'])}))")
+
+
+@query("cells_in_area", V(
+    f"SELECT cell_id, round(s, 6) AS inside_share FROM (SELECT cell_id, {_OX} * {_OY} / ((lon_max - lon_min) * "
+    f"(lat_max - lat_min)) AS s FROM cells) t WHERE s > 0.5", "cells"))
+def q_cells_in_area(c: Ctx) -> DataFrame:
+    """Cells more than half inside the study bounds."""
+    return ex.cells_in_area(c.cells, BOUNDS).withColumn("inside_share", F.round("inside_share", 6))
+
+
+@query("class_shift_alert", V(
+    "SELECT round(b0, 6) AS share0_before, round(a0, 6) AS share0_after, a0 - b0 > 0.05 AS alert FROM "
+    "(SELECT avg(CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END) AS b0 FROM lbl) x, (SELECT avg(CASE WHEN composite_score "
+    "< threshold_used AND population > population_median THEN 1.0 ELSE 0.0 END) AS a0 FROM lbl) y",
+    *VIEWS, ctes=LABEL_CTES))
+def q_class_shift_alert(c: Ctx) -> DataFrame:
+    """Class-0 share of noisy labels (before) vs noise-free labels (after)."""
+    from ..config import LabelConfig
+    from ..operators.labels import label_frame
+    plain = label_frame(c.features_pop, LabelConfig(noise=False)).select("cell_id", "label")
+    out = ex.class_shift_alert(c.labels, plain)
+    return out.select(F.round("share0_before", 6).alias("share0_before"),
+                      F.round("share0_after", 6).alias("share0_after"), "alert")
