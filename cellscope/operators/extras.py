@@ -157,3 +157,38 @@ def class_shift_alert(before: DataFrame, after: DataFrame, max_increase: float =
     a = before.agg(F.avg((F.col("label") == 0).cast("double")).alias("share0_before"))
     b = after.agg(F.avg((F.col("label") == 0).cast("double")).alias("share0_after"))
     return a.crossJoin(b).withColumn("alert", F.col("share0_after") - F.col("share0_before") > max_increase)
+
+
+def psi(a: DataFrame, b: DataFrame, col: str, bins: int = 10, eps: float = 1e-4) -> DataFrame:
+    """X11: population stability index of ``col`` between two datasets over
+    equal-width bins of the first one's range: sum (pa - pb) ln(pa / pb),
+    shares floored at ``eps``."""
+    s = a.agg(F.min(col).cast("double").alias("_mn"), F.max(col).cast("double").alias("_mx"))
+    w = (F.col("_mx") - F.col("_mn")) / bins
+    code = F.when(w == 0, F.lit(0)).otherwise(
+        F.least(F.greatest(F.floor((F.col(col) - F.col("_mn")) / w), F.lit(0)), F.lit(bins - 1))).cast("int")
+
+    def shares(df, name):
+        d = df.filter(F.col(col).isNotNull()).crossJoin(one_row(s)).select(code.alias("bin"))
+        n = d.agg(F.count(F.lit(1)).alias("_n"))
+        return (d.groupBy("bin").agg(F.count(F.lit(1)).alias("_c")).crossJoin(one_row(n))
+                .select("bin", (F.col("_c") / F.col("_n")).alias(name)))
+
+    spark = a.sparkSession
+    allb = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    j = allb.join(shares(a, "pa"), "bin", "left").join(shares(b, "pb"), "bin", "left")
+    pa = F.greatest(F.coalesce("pa", F.lit(0.0)), F.lit(eps))
+    pb = F.greatest(F.coalesce("pb", F.lit(0.0)), F.lit(eps))
+    return j.agg(F.sum((pa - pb) * F.log(pa / pb)).alias("psi"))
+
+
+def what_if_stops(cells_pop: DataFrame, stops: DataFrame, new_stops: DataFrame, spec: GridSpec) -> DataFrame:
+    """Add stops, recompute stops per cell, report the cells that go from
+    no stop to served and the population they hold."""
+    before = stop_cells(stops, spec).groupBy("cell_id").agg(F.count(F.lit(1)).alias("_b"))
+    after = stop_cells(stops.select("stop_id", "stop_lat", "stop_lon").unionByName(
+        new_stops.select("stop_id", "stop_lat", "stop_lon")), spec).groupBy("cell_id").agg(F.count(F.lit(1)).alias("_a"))
+    d = cells_pop.select("cell_id", "population").join(before, "cell_id", "left").join(after, "cell_id", "left")
+    gained = d.filter(F.coalesce("_b", F.lit(0)) == 0).filter(F.coalesce("_a", F.lit(0)) > 0)
+    return gained.agg(F.count(F.lit(1)).alias("cells_newly_served"),
+                      F.coalesce(F.sum("population"), F.lit(0)).cast("long").alias("population_gained"))

@@ -205,3 +205,46 @@ def q_class_shift_alert(c: Ctx) -> DataFrame:
     out = ex.class_shift_alert(c.labels, plain)
     return out.select(F.round("share0_before", 6).alias("share0_before"),
                       F.round("share0_after", 6).alias("share0_after"), "alert")
+
+
+@query("feature_drift", V(
+    "SELECT round(sum((pa - pb) * ln(pa / pb)), 6) AS psi FROM (SELECT b.range AS bin, greatest(coalesce(x.p, 0.0), "
+    "0.0001) AS pa, greatest(coalesce(y.p, 0.0), 0.0001) AS pb FROM range(10) b "
+    "LEFT JOIN (SELECT bin, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS p FROM (SELECT " + (
+        "CAST(CASE WHEN (mx - mn) / 10.0 = 0 THEN 0 ELSE least(greatest(floor((f.daily_trips - mn) / ((mx - mn) / "
+        "CAST(10 AS DOUBLE))), 0), 9) END AS INTEGER) AS bin") + " FROM fpop f JOIN splits s ON s.cell_id = f.cell_id, "
+    "rng WHERE s.split = 'train') t GROUP BY bin) x ON x.bin = b.range "
+    "LEFT JOIN (SELECT bin, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS p FROM (SELECT " + (
+        "CAST(CASE WHEN (mx - mn) / 10.0 = 0 THEN 0 ELSE least(greatest(floor((f.daily_trips - mn) / ((mx - mn) / "
+        "CAST(10 AS DOUBLE))), 0), 9) END AS INTEGER) AS bin") + " FROM fpop f JOIN splits s ON s.cell_id = f.cell_id, "
+    "rng WHERE s.split = 'test') t GROUP BY bin) y ON y.bin = b.range) z", *VIEWS,
+    ctes=__import__("cellscope.plans.q_prep", fromlist=["x"]).SPLIT_CTES + [
+        "rng AS (SELECT CAST(min(f.daily_trips) AS DOUBLE) AS mn, CAST(max(f.daily_trips) AS DOUBLE) AS mx FROM fpop f "
+        "JOIN splits s ON s.cell_id = f.cell_id WHERE s.split = 'train')"]))
+def q_feature_drift(c: Ctx) -> DataFrame:
+    """X11: PSI of daily trips between the train and test splits."""
+    from ..operators import split as sp
+    s = sp.stratified_split(sp.merge_features_labels(c.features_pop, c.labels).select("cell_id", "label"))
+    d = c.features_pop.select("cell_id", "daily_trips").join(s.select("cell_id", "split"), "cell_id")
+    out = ex.psi(d.filter("split = 'train'"), d.filter("split = 'test'"), "daily_trips")
+    return out.select(F.round("psi", 6).alias("psi"))
+
+
+def _new_stops_sql() -> str:
+    from ..functions.seeded import sql_uniform as U
+    from ..sources import fixtures as fx
+    return (f"SELECT s_suppkey + 1000000000000 AS stop_id, {L(fx.BASE_LAT)} + {U('new-stop-lat', 's_suppkey')} * "
+            f"{L(fx.SPAN_LAT)} AS stop_lat, {L(fx.BASE_LON)} + {U('new-stop-lon', 's_suppkey')} * {L(fx.SPAN_LON)} "
+            f"AS stop_lon FROM supplier")
+
+
+@query("what_if_stops", V(
+    f"SELECT count(*) AS cells_newly_served, CAST(coalesce(sum(f.population), 0) AS BIGINT) AS population_gained "
+    f"FROM fpop f LEFT JOIN (SELECT c.cell_id, count(*) AS n FROM stops s {_IN_CELL} GROUP BY c.cell_id) b "
+    f"ON b.cell_id = f.cell_id LEFT JOIN (SELECT c.cell_id, count(*) AS n FROM allstops s {_IN_CELL} GROUP BY "
+    f"c.cell_id) a ON a.cell_id = f.cell_id WHERE coalesce(b.n, 0) = 0 AND coalesce(a.n, 0) > 0", *VIEWS,
+    ctes=LABEL_CTES[:2] + [f"allstops AS (SELECT * FROM stops UNION ALL {_new_stops_sql()})"]))
+def q_what_if_stops(c: Ctx) -> DataFrame:
+    """Cells newly served and population gained when supplier-sited stops are added."""
+    from ..sources import fixtures as fx
+    return ex.what_if_stops(c.features_pop, c.stops, fx.new_stops(c.spark, c.sf_dir), c.spec)

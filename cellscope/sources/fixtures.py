@@ -126,3 +126,13 @@ def customer_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return c.select("c_custkey", "c_name", nulled("c_nationkey", "null-nation"),
                     nulled("c_acctbal", "null-acctbal"), nulled("c_mktsegment", "null-segment"))
+
+
+def new_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What-if input: one proposed stop per supplier, placed by seeded
+    uniforms over the same area (ids offset to stay apart from part keys)."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey")
+    return s.select(
+        (F.col("s_suppkey") + F.lit(10 ** 12)).alias("stop_id"),
+        (F.lit(BASE_LAT) + seeded_uniform("new-stop-lat", "s_suppkey") * F.lit(SPAN_LAT)).alias("stop_lat"),
+        (F.lit(BASE_LON) + seeded_uniform("new-stop-lon", "s_suppkey") * F.lit(SPAN_LON)).alias("stop_lon"))
