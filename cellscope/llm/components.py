@@ -9,7 +9,7 @@ from cellscope.llm.common import stored
 
 
 def _ordered(df: DataFrame) -> DataFrame:
-    return df.where("hi <> lo").select(F.greatest("hi", "lo").alias("hi"), F.least("hi", "lo").alias("lo")).distinct()
+    return df.where("hi <> lo").select(F.greatest("hi", "lo").alias("hi"), F.least("hi", "lo").alias("lo"))
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,10 +38,10 @@ def connected_components(links: DataFrame, a: str, b: str, name: str = "cc") ->
     reduced by partial aggregation, and its join is an ordinary equi-join that adaptive execution may split.
     An empty link table gives an empty result; self-links, repeated and reversed links change nothing.
     """
-    edges = stored(_ordered(links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("hi"), F.col(b).alias("lo"))), name)
+    edges = stored(_ordered(links.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("hi"), F.col(b).alias("lo"))).distinct(), name)
     before = _state(edges)
     while before[0]:
-        edges = stored(_small_star(_large_star(edges)), name)
+        edges = stored(_small_star(_large_star(edges)).distinct(), name)
         after = _state(edges)
         if after == before:
             break

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cellscope.llm.common import small, stored
 from cellscope.llm.components import connected_components
+from cellscope.llm.linking import MAP_WORDS, bitmaps, contract, may_link, merged
 
 SHINGLE, MIN_CHARS = 16, 40
 BANDS, ROWS = 10, 2
@@ -31,8 +32,8 @@ HASHES = BANDS * ROWS
 SIMILARITY = 75
 #: Equal minima (of HASHES) below which lines that no bucket centre has brought together are not checked further.
 LEAST_EQUAL = 8
-#: Masks evenly spread over 64 bits: a minimum under a mask is the hash nearest to it.
-MASKS = [((k * (1 << 64) // HASHES + 0x5DEECE66D * (k + 1)) % (1 << 64)) - (1 << 63) for k in range(HASHES)]
+#: Masks evenly spread over 32 bits: a minimum under a mask is the hash nearest to it.
+MASKS = [((k * (1 << 32) // HASHES + 0x2545F491 * (k + 1)) % (1 << 32)) - (1 << 31) for k in range(HASHES)]
 _PATTERN = rf"(?s)(?<![^ \t\x0B\f\r])(?=([^ \t\x0B\f\r].{{0,{SHINGLE - 1}}}))"
 
 
@@ -48,17 +49,21 @@ def _shingles(line) -> F.Column:
 
 def _signatures(lines: DataFrame) -> DataFrame:
     """(id, m0 .. m19, first_doc) of every distinct line that has a shingle."""
-    each = lines.select(F.xxhash64("line").alias("id"), "doc_id", F.explode(_shingles("line")).alias("shingle")).select("id", "doc_id", F.xxhash64("shingle").alias("h"))
-    return each.groupBy("id").agg(F.min("doc_id").alias("first_doc"), *[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{k}") for k, m in enumerate(MASKS)])
+    each = lines.select(F.xxhash64("line").alias("id"), "doc_id", F.explode(_shingles("line")).alias("shingle")).select("id", "doc_id", F.hash("shingle").alias("h"))
+    return each.groupBy("id").agg(F.min("doc_id").alias("first_doc"), *[F.min(F.col("h").bitwiseXOR(F.lit(m).cast("int"))).alias(f"m{k}") for k, m in enumerate(MASKS)])
 
 
-def _confirm(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of lines whose whole shingle sets are similar enough."""
-    ids = small(stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "line-ids"))
+def _sets(docs: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, set) of the lines named in the stored table ``ids``, read again from one document each."""
+    ids = small(ids)
     holders = small(stored(signed.join(ids, "id", "left_semi").select(F.col("first_doc").alias("doc_id")).distinct(), "line-holders"))
     held = _lines(docs.join(holders, "doc_id", "left_semi")).withColumn("id", F.xxhash64("line")).join(ids, "id", "left_semi")
     sets = held.groupBy("id").agg(F.min("line").alias("line")).select("id", F.transform(F.array_distinct(_shingles("line")), lambda s: F.xxhash64(s)).alias("set"))
-    sets = stored(sets, "line-sets")
+    return stored(sets, "line-sets")
+
+
+def _confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of lines whose whole shingle sets are similar enough."""
     both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
             .select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("n")))
     return both.where(100 * F.col("n") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
@@ -67,35 +72,43 @@ def _confirm(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame) -> DataFrame:
     """(id, component) of the distinct lines that are linked with another distinct line."""
     signed = stored(_signatures(_lines(docs)), "line-signatures")
-    bands = F.explode(F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])).alias("band")
-    keyed = signed.select("id", bands)
+    band = [F.struct(F.lit(b).alias("no"), F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]).alias("band")) for b in range(BANDS)]
+    keyed = signed.select("id", F.inline(F.array(*band)))
     in_band = Window.partitionBy("band")
     shared = keyed.withColumn("center", F.min("id").over(in_band)).withColumn("far", F.max("id").over(in_band)).where("center <> far")
     shared = stored(shared, "line-buckets")
+    sets = _sets(docs, signed, stored(shared.select("id").distinct(), "line-ids"))
     stars = shared.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).union(
         shared.where("id <> center and id <> far").select(F.col("id").alias("a"), F.col("far").alias("b"))).distinct()
     tested = stored(stars, "line-tested")
-    links = stored(_confirm(docs, signed, tested), "line-links")
+    links = stored(_confirm(sets, tested), "line-links")
     found = stored(connected_components(links, "a", "b", "line-cc"), "line-components")
 
-    # buckets whose lines are not all in one component yet: compare across components
-    placed = shared.select("band", "id").join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
-    open_bands = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y and n > 3").select("band")
-    rest = placed.join(open_bands, "band", "left_semi").join(signed.drop("first_doc"), "id")
-    rest = stored(rest, "line-rest")
-    left = rest.select("band", F.col("id").alias("a"), F.col("comp").alias("ca"), *[F.col(f"m{k}").alias(f"x{k}") for k in range(HASHES)])
-    right = rest.select("band", F.col("id").alias("b"), F.col("comp").alias("cb"), *[F.col(f"m{k}").alias(f"y{k}") for k in range(HASHES)])
-    equal = sum((F.col(f"x{k}") == F.col(f"y{k}")).cast("int") for k in range(HASHES))
-    across = left.join(right, (left["band"] == right["band"]) & (F.col("ca") < F.col("cb")) & (equal >= LEAST_EQUAL))
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    more = _confirm(docs, signed, stored(across, "line-across"))
-    return stored(connected_components(links.union(more), "a", "b", "line-cc"), "line-components")
+    # buckets whose lines are not all in one component yet: compare across components, each pair in its first common
+    # band, where the minima and the bitmaps leave room for a link
+    placed = shared.select("no", "band", "id").join(found, "id", "left").select("no", "band", "id", F.coalesce("component", "id").alias("comp"))
+    open_bands = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).where("x <> y and k > 3").select("band")
+    rest = stored(placed.join(open_bands, "band", "left_semi"), "line-rest")
+    ids = stored(rest.select("id").distinct(), "line-rest-ids")
+    about = stored(signed.drop("first_doc").join(ids, "id").join(bitmaps(sets.join(ids, "id", "left_semi")), "id"), "line-about")
+    rest = rest.join(about, "id")
+    hashes = [f"m{k}" for k in range(HASHES)]
+    kept = ["comp", "no", "n", *hashes, *[f"w{k}" for k in range(MAP_WORDS)]]
+    left, right = (rest.select("band", F.col("id").alias(i), *[F.col(c).alias(i + c) for c in kept]) for i in ("a", "b"))
+    same = [F.col("a" + m) == F.col("b" + m) for m in hashes]
+    first = F.coalesce(*[F.when(same[2 * b] & same[2 * b + 1], b) for b in range(BANDS)])
+    near = (sum(x.cast("int") for x in same) >= LEAST_EQUAL) & (first == F.col("ano"))
+    across = left.join(right, (left["band"] == right["band"]) & (F.col("acomp") < F.col("bcomp")) & may_link("a", "b", SIMILARITY) & near)
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tested, ["a", "b"], "left_anti")
+    more = _confirm(sets, stored(across, "line-across"))
+    over = connected_components(stored(contract(found, more), "line-more"), "a", "b", "line-cc")
+    return stored(merged(found, over), "line-components")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, gone): numbers of the lines of a document that repeat an earlier line of the corpus."""
     found = line_components(docs)
-    placed = _lines(docs).select("doc_id", "line_no", F.xxhash64("line").alias("id")).distinct()
+    placed = _lines(docs).select("doc_id", "line_no", F.xxhash64("line").alias("id"))
     placed = placed.join(found, "id", "left").select("doc_id", "line_no", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "line-places")
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")

@@ -28,10 +28,13 @@ from pyspark.sql import functions as F
 
 from cellscope.llm.common import lower_bytes, mix64, pieces, small, stored
 from cellscope.llm.components import connected_components
+from cellscope.llm.linking import contract, merged
 
 SHINGLE = 5
 VALUES, CHUNKS, MAX_DIFFERENT = 64, 16, 31
 WIDTH = VALUES // CHUNKS
+#: Cells of a sketch, and classes of a bucket that are compared in one task with as many others.
+SKETCH, BLOCK = 1024, 2048
 #: Link when 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 
@@ -137,25 +140,104 @@ def _shingle_sets(batches):
             s = shingle_hashes(words(t.as_py()))
             d1.append(_digest(s) if len(s) else None)
             sets.append(s.astype(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "words"])
+        yield pa.RecordBatch.from_arrays([pa.array(d1, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "set"])
+
+
+def _texts(docs: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of documents that hold the classes named in the stored table ``ids`` (among them a few that do not)."""
+    where = stored(signed.select("doc_id", F.col("d1").alias("id")).join(small(ids), "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("doc_id")), "mh-where")
+    texts = docs.join(small(where.select("doc_id").distinct()), "doc_id", "left_semi").select("text")
+    if where.where("doc_id is null").limit(1).count():
+        texts = texts.union(docs.where("doc_id is null").select("text"))
+    return texts
+
+
+def _sets(docs: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, set) of the classes named in the stored table ``ids``, from their whole texts."""
+    return _texts(docs, signed, ids).mapInArrow(_shingle_sets, "id long, set array<long>").join(small(ids), "id", "left_semi").dropDuplicates(["id"])
 
 
 def _confirm(docs: DataFrame, signed: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose full shingle sets are similar enough."""
-    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "mh-ids")
-    ids = small(ids)
-    where = stored(signed.select("doc_id", F.col("d1").alias("id")).join(ids, "id", "left_semi").groupBy("id").agg(F.min("doc_id").alias("doc_id")), "mh-where")
-    holders = small(where.select("doc_id").distinct())
-    unnamed = docs.where("doc_id is null") if where.where("doc_id is null").limit(1).count() else None
-    texts = docs.join(holders, "doc_id", "left_semi").select("text")
-    if unnamed is not None:
-        texts = texts.union(unnamed.select("text"))
-    sets = texts.mapInArrow(_shingle_sets, "id long, words array<long>").join(ids, "id", "left_semi").dropDuplicates(["id"])
-    left, right = sets.select(F.col("id").alias("b"), F.col("words").alias("wb")), sets.select(F.col("id").alias("a"), F.col("words").alias("wa"))
-    both = pairs.join(left, "b").join(right, "a").select("a", "b", F.size("wa").alias("na"), F.size("wb").alias("nb"), F.size(F.array_intersect("wa", "wb")).alias("n"))
+    sets = _sets(docs, signed, stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "mh-ids"))
+    left, right = sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), sets.select(F.col("id").alias("a"), F.col("set").alias("sa"))
+    both = pairs.join(left, "b").join(right, "a").select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("n"))
     return both.where(100 * F.col("n") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
 
 
+def _sketches(batches):
+    """Sizes and sketches of the texts' sets: how many shingles fall into each of SKETCH cells."""
+    words = WordHashes()
+    for batch in batches:
+        rows = []
+        for t in batch.column(0):
+            s = shingle_hashes(words(t.as_py()))
+            cells = np.bincount((s % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+            rows.append((_digest(s) if len(s) else None, len(s), np.minimum(cells, 255).astype(np.uint8).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int64(), pa.binary()))], names=["id", "n", "sketch"])
+
+
+def _groups(batches, keys: int):
+    """Row groups with equal first ``keys`` columns, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)], 1)
+        cuts = np.flatnonzero((cols[1:] != cols[:-1]).any(1)) + 1
+        for begin, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if held and tuple(cols[begin]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = tuple(cols[begin])
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _open_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a bucket's classes (or of two blocks of it) from different components that may be linked.
+
+    A pair counts in the first key it shares only. The sketches bound the intersection from above, so no link is lost.
+    """
+    key, x, y = (table.column(k)[0].as_py() for k in range(3))
+    side, ids, comp, n = (table.column(k).to_numpy() for k in ("side", "id", "comp", "n"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(ids), VALUES)
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(ids), SKETCH)
+    full = (sketch == 255).any(1)
+    left = np.flatnonzero(side == 0)
+    right = left if x == y else np.flatnonzero(side == 1)
+    chunk, out = key >> 50, (key >> 48) & 3
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for begin in range(0, len(left), 64):
+        rows = left[begin:begin + 64]
+        differ = comp[rows][:, None] != comp[right][None, :]
+        if x == y:
+            differ &= rows[:, None] < right[None, :]
+        i, j = np.nonzero(differ)
+        for cut in range(0, len(i), 16384):
+            p, q = rows[i[cut:cut + 16384]], right[j[cut:cut + 16384]]
+            same = sig[p] == sig[q]
+            near = same.sum(1) >= VALUES - MAX_DIFFERENT
+            p, q, same = p[near], q[near], same[near].reshape(-1, CHUNKS, WIDTH).sum(2)
+            first = (same >= WIDTH - 1).argmax(1)
+            own = (first == chunk) & ((same[np.arange(len(p)), first] < WIDTH) | (out == 0))
+            p, q = p[own], q[own]
+            most = np.minimum(sketch[p], sketch[q]).sum(1, dtype=np.int64)
+            may = (100 * most >= SIMILARITY * (n[p] + n[q] - most)) | full[p] | full[q]
+            a.append(np.minimum(ids[p[may]], ids[q[may]]))
+            b.append(np.maximum(ids[p[may]], ids[q[may]]))
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _across(batches):
+    for group in _groups(batches, 3):
+        a, b = _open_pairs(group)
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
 def _with_signatures(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     sig = classes.select("id", "sig")
     return (pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a").join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
@@ -179,15 +261,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = stored(_confirm(docs, signed, tested), "mh-links")
     found = stored(connected_components(links, "a", "b", "mh-cc"), "mh-components")
 
-    # buckets whose classes are not all in one component yet: compare across components
+    # buckets whose classes are not all in one component yet: compare across components, large buckets by blocks
     placed = shared.select("key", "id").join(found, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
-    open_keys = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y and n > 3").select("key")
-    rest = stored(placed.join(open_keys, "key", "left_semi").join(classes.select("id", "sig"), "id"), "mh-rest")
-    x, y = (rest.select("key", F.col("id").alias(i), F.col("comp").alias("c" + i), F.col("sig").alias("s" + i)) for i in ("a", "b"))
-    across = x.join(y, "key").where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sa", "sb")
-    across = across.mapInArrow(_near, "a long, b long").distinct().join(tested, ["a", "b"], "left_anti")
+    open_keys = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).where("x <> y and k > 3").select("key", F.ceil(F.col("k") / BLOCK).cast("int").alias("blocks"))
+    rest = stored(placed.join(open_keys, "key"), "mh-rest")
+    about = _texts(docs, signed, stored(rest.select("id").distinct(), "mh-rest-ids")).mapInArrow(_sketches, "id long, n long, sketch binary").join(rest.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"])
+    about = stored(about.join(classes, "id"), "mh-about")
+    mine = F.pmod(F.xxhash64(F.lit(5), "id"), "blocks").cast("int")
+    rest = rest.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.select("key", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "id", "comp")
+    rest = rest.join(about, "id").select("key", "x", "y", "side", "id", "comp", "n", "sig", "sketch").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    across = rest.mapInArrow(_across, "a long, b long").join(tested, ["a", "b"], "left_anti")
     more = _confirm(docs, signed, stored(across, "mh-across"))
-    found = connected_components(links.union(more), "a", "b", "mh-cc")
+    over = connected_components(stored(contract(found, more), "mh-more"), "a", "b", "mh-cc")
+    found = merged(found, over)
 
     rows = signed.select("doc_id", "n_shingles", "d1").join(stored(found, "mh-components"), F.col("d1") == F.col("id"), "left")
     rows = rows.select("doc_id", "n_shingles", F.coalesce("component", "d1").alias("c"))
