@@ -80,7 +80,7 @@ class _Builder:
         if not self.docs:
             return []
         ids = np.concatenate(self.ids)
-        row = (self.kind, self.tokens, len(self.vocab), _hash(list(self.vocab)).tobytes(), ids.tobytes(), list(self.docs), list(self.sizes))
+        row = (self.kind, self.tokens, len(self.vocab), _hash(list(self.vocab)).tobytes(), _short(ids), list(self.docs), list(self.sizes))
         self.clear()
         return [row]
 
@@ -138,12 +138,23 @@ def _unpack(data: bytes) -> np.ndarray:
     return raw.view("<u8").ravel().astype(np.uint64)
 
 
+def _short(counts: np.ndarray) -> bytes:
+    """Counts in the shortest unsigned integers that hold them all, after one byte with their width."""
+    top = int(counts.max()) if len(counts) else 0
+    width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
 def _columns(batch: pa.RecordBatch, names: list[str]) -> list[list]:
     return [batch.column(n).to_pylist() for n in names]
 
 
 def _read(kind, vocab, ids, sizes):
-    return np.frombuffer(vocab, np.uint64), np.frombuffer(ids, np.int32), np.array(sizes, np.int64)
+    return np.frombuffer(vocab, np.uint64), _long(ids).astype(np.int64), np.array(sizes, np.int64)
 
 
 def _ask(n_words: int, n_bigrams: int):
@@ -158,7 +169,7 @@ def _ask(n_words: int, n_bigrams: int):
                 messages = [(0, vocab[order], own[order], n_words)]
                 keys, count = np.unique(_bigrams(vocab, ids, sizes)[1], return_counts=True)
                 messages.append((1, keys, count, n_bigrams))
-                rows = [(what, r, block, kind, _pack(k), c.astype(np.uint32).tobytes()) for what, keys, counts, n in messages for r, k, c in _split(keys, counts, n)]
+                rows = [(what, r, block, kind, _pack(k), _short(c)) for what, keys, counts, n in messages for r, k, c in _split(keys, counts, n)]
                 for begin in range(0, len(rows), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[begin:begin + 64]), [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()])],
                                                      names=["what", "part", "block", "kind", "keys", "counts"])
@@ -173,7 +184,7 @@ _ANSWER = "block long, what int, part int, train binary, em binary, distinct lon
 def _answer(frame: pd.DataFrame) -> pd.DataFrame:
     """Sum a range's keys over all blocks; give each block the training and EM counts of its keys."""
     keys = [_unpack(k) for k in frame["keys"]]
-    counts = [np.frombuffer(c, np.uint32) for c in frame["counts"]]
+    counts = [_long(c) for c in frame["counts"]]
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
     size = np.array([len(k) for k in keys])
     kind = np.repeat(frame["kind"].to_numpy(), size)
@@ -184,13 +195,13 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
     mine = [place[e - s:e] for s, e in zip(size, ends)]
     distinct = np.zeros(len(frame), np.int64)
     distinct[0] = int((train > 0).sum())
-    return pd.DataFrame({"block": frame["block"], "what": frame["what"], "part": frame["part"], "train": [train[m].tobytes() for m in mine],
-                         "em": [em[m].tobytes() if k == 1 else b"" for m, k in zip(mine, frame["kind"])], "distinct": distinct})
+    return pd.DataFrame({"block": frame["block"], "what": frame["what"], "part": frame["part"], "train": [_short(train[m]) for m in mine],
+                         "em": [_short(em[m]) if k == 1 else b"" for m, k in zip(mine, frame["kind"])], "distinct": distinct})
 
 
 def _totals(answers: pd.DataFrame, what: int, column: str) -> np.ndarray:
     mine = answers[answers["what"] == what].sort_values("part")
-    return np.concatenate([np.frombuffer(x, np.uint64).astype(np.float64) for x in mine[column]]) if len(mine) else np.empty(0)
+    return np.concatenate([_long(x).astype(np.float64) for x in mine[column]]) if len(mine) else np.empty(0)
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
