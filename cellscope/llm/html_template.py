@@ -13,7 +13,7 @@ such hosts, from tags only. A constant text counts as template only on hosts wit
 all of which it stands as often as some element does.
 
 Defined cases: null or empty html gives an empty text; a null or odd url has the empty host; repeated rows each give
-a row, and equal pages count once when a template is deduced; unclosed, misnested or cut markup is read as far as it
+a row, and equal pages of a host count as one page where its number of pages is judged; unclosed, misnested or cut markup is read as far as it
 goes; character references are decoded once; white space in a block becomes one space; extra columns are ignored.
 """
 
@@ -50,9 +50,10 @@ BOILERPLATE_NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|banner|sponsor\w*
                                r"comments?|comment-list|disqus|replies|respond|share|sharing|social|related|recommend\w*|pagination|pager|widget|skip-link|copyright|legal|disclaimer)(?:$|[^a-z])", re.I)
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", url or "")
-    return m[1].lower() if m else ""
+def host():
+    """The lower-cased host of column ``url``, empty for a null or odd one."""
+    found = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    return F.lower(found).alias("host")
 
 
 def segments(page: str | None):
@@ -161,13 +162,11 @@ def extract(page: str | None, region: str | None, constant: frozenset) -> str:
 
 def _tokens(batches):
     for batch in batches:
-        host, page, token, n, first, chars, text = [], [], [], [], [], [], []
-        for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if not html:
-                continue
+        host, page, token, n, first, chars = [], [], [], [], [], []
+        for own, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             digest = xxhash.xxh3_64_intdigest(html.encode("utf-8", "surrogatepass"))
             for t, k, f, c in page_tokens(html):
-                host.append(host_of(url))
+                host.append(own)
                 page.append(digest - (1 << 64) if digest >> 63 else digest)
                 token.append(t)
                 n.append(k)
@@ -182,20 +181,21 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
 
     Columns: host, n_pages, region (path of the main container), constant (digests of template texts).
     """
-    distinct = pages.select("url", "html").where("html is not null").withColumn("d", F.xxhash64("url", "html")).dropDuplicates(["d"]).select("url", "html")
-    tokens = distinct.mapInArrow(_tokens, "host string, page long, token string, n long, first long, chars long")
+    filled = pages.select(host(), "url", "html").where("html <> ''")
+    tokens = filled.select("host", "html").mapInArrow(_tokens, "host string, page long, token string, n long, first long, chars long")
     # occurrence vectors as fingerprints: sum over pages of a page's hash times the count, modulo a prime-sized range
     mark = F.pmod(F.xxhash64("page"), F.lit(2_147_483_647))
     vectors = tokens.groupBy("host", "token").agg(
         F.count("*").alias("pages"), F.min("n").alias("least"), F.max("n").alias("most"), F.sum(F.pmod(mark * F.col("n"), F.lit(2_147_483_647))).alias("vector"),
         F.avg("first").alias("place"), F.sum("chars").alias("chars"))
     vectors = stored(vectors, "html-vectors")
-    size = vectors.where("token = '/html' or not startswith(token, '#')").groupBy("host").agg(F.max("pages").alias("n_pages"))
-    vectors = vectors.join(size, "host").withColumn("own", F.col("n_pages") >= MIN_PAGES)
+    size = filled.groupBy("host").agg(F.count("*").alias("n_pages"), F.countDistinct(F.xxhash64("url", "html")).alias("different"))
+    size = stored(size, "html-hosts")
+    vectors = vectors.join(size, "host").withColumn("own", F.col("different") >= MIN_PAGES)
     group = F.when(F.col("own"), F.col("host"))
     vectors = vectors.where(F.col("own") | ~F.startswith("token", F.lit("#"))).withColumn("group", group)
     merged = vectors.groupBy("group", "own", "token").agg(F.sum("pages").alias("pages"), F.min("least").alias("least"), F.max("most").alias("most"), F.sum("vector").alias("vector"), F.avg("place").alias("place"), F.sum("chars").alias("chars"))
-    total = size.withColumn("group", F.when(F.col("n_pages") >= MIN_PAGES, F.col("host"))).groupBy("group").agg(F.sum("n_pages").alias("n_pages"))
+    total = size.withColumn("group", F.when(F.col("different") >= MIN_PAGES, F.col("host"))).groupBy("group").agg(F.sum("n_pages").alias("n_pages"), F.sum("different").alias("different"))
     merged = merged.join(total.withColumnRenamed("group", "g"), F.col("group").eqNullSafe(F.col("g"))).drop("g")
     # classes: tokens on every page with one vector; the outer one stands once on each, the others nest in its slots
     every = merged.where(F.col("pages") == F.col("n_pages"))
@@ -208,7 +208,7 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     # a text is part of the template when its class holds an element too (it comes and goes with that element)
     is_text = F.startswith("token", F.lit("#"))
     tagged = every.where(~is_text).select(F.col("group").alias("g"), F.col("vector").alias("v")).distinct()
-    texts = every.where(is_text & (F.col("n_pages") >= MIN_TEXT_PAGES)).join(tagged, (F.col("group") == F.col("g")) & (F.col("vector") == F.col("v")))
+    texts = every.where(is_text & (F.col("different") >= MIN_TEXT_PAGES)).join(tagged, (F.col("group") == F.col("g")) & (F.col("vector") == F.col("v")))
     constant = texts.groupBy(F.col("group").alias("g2")).agg(F.collect_list("token").alias("constant"))
     return (total.join(region, F.col("group").eqNullSafe(F.col("g1")), "left").join(constant, F.col("group").eqNullSafe(F.col("g2")), "left")
             .select(F.col("group").alias("host"), "n_pages", "region", "constant"))
@@ -225,11 +225,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars, host, region."""
     pages = pages.select("page_id", "url", "html")
     templates = stored(deduce_templates(pages), "html-templates")
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.withColumn("host", host)
     own = templates.where("host is not null")
     shared = templates.where("host is null").select(F.col("region").alias("r"), F.col("constant").alias("c"))  # one row or none
-    rows = rows.join(own, "host", "left").join(F.broadcast(shared), F.lit(True), "left")
+    rows = pages.select("*", host()).join(own, "host", "left").join(F.broadcast(shared), F.lit(True), "left")
     rows = rows.select("page_id", "url", "html", "host", F.when(F.col("n_pages").isNotNull(), F.col("region")).otherwise(F.col("r")).alias("region"),
                        F.when(F.col("n_pages").isNotNull(), F.col("constant")).otherwise(F.col("c")).alias("constant"))
     return rows.mapInArrow(_extract, "page_id long, url string, text string, n_chars long, host string, region string")
