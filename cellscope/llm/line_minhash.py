@@ -1,8 +1,9 @@
 """Fuzzy line dedup, in DataFrame functions only: character-shingle MinHash, banding, exact check, union-find.
 
 A line's shingles are the SHINGLE-character windows that begin at its words; a line's signature is the least of its
-shingle hashes under HASHES masks, computed by exploding the shingles and one hash aggregation. Bands of ROWS minima
-make lines with a similarity of 0.75 meet in some band with a probability of 0.9997. In a band's bucket every line is
+shingle hashes under HASHES masks, computed by exploding the shingles and one hash aggregation. Each band joins ROWS of
+the minima (a minimum serves in two bands); lines with a similarity of 0.75 meet in some band with a probability of
+about 0.9998. In a band's bucket every line is
 first compared with the bucket's smallest and largest; only lines that are still in different components afterwards
 are compared with each other, so a large group costs about as many pairs as it has lines. Every link is confirmed on
 the whole shingle sets. Of each component (equal lines included) one line stays, the first by doc_id and line number;
@@ -26,15 +27,16 @@ from cellscope.llm.components import connected_components
 from cellscope.llm.linking import MAP_WORDS, bitmaps, contract, may_link, merged
 
 SHINGLE, MIN_CHARS = 16, 40
-BANDS, ROWS = 10, 2
-HASHES = BANDS * ROWS
+BANDS, ROWS, HASHES = 16, 3, 24
+#: The minima of each band: every minimum in two bands, no two minima together twice.
+BAND_OF = [tuple((3 * b + r) % HASHES if b < BANDS // 2 else (b + 8 * r) % HASHES for r in range(ROWS)) for b in range(BANDS)]
 #: Link when 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 #: Equal minima (of HASHES) below which lines that no bucket centre has brought together are not checked further.
-LEAST_EQUAL = 8
+LEAST_EQUAL = 10
 #: Masks evenly spread over 32 bits: a minimum under a mask is the hash nearest to it.
 MASKS = [((k * (1 << 32) // HASHES + 0x2545F491 * (k + 1)) % (1 << 32)) - (1 << 31) for k in range(HASHES)]
-_PATTERN = rf"(?s)(?<![^ \t\x0B\f\r])(?=([^ \t\x0B\f\r].{{0,{SHINGLE - 1}}}))"
+_PATTERN = rf"(?s)(?=(.{{1,{SHINGLE}}}))[^ \t\x0B\f\r]++[ \t\x0B\f\r]*+"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def _shingles(line) -> F.Column:
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """(id, m0 .. m19, first_doc) of every distinct line that has a shingle."""
+    """(id, m0 .. m23, first_doc) of every distinct line that has a shingle."""
     each = lines.select(F.xxhash64("line").alias("id"), "doc_id", F.explode(_shingles("line")).alias("shingle")).select("id", "doc_id", F.hash("shingle").alias("h"))
     return each.groupBy("id").agg(F.min("doc_id").alias("first_doc"), *[F.min(F.col("h").bitwiseXOR(F.lit(m).cast("int"))).alias(f"m{k}") for k, m in enumerate(MASKS)])
 
@@ -72,7 +74,7 @@ def _confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame) -> DataFrame:
     """(id, component) of the distinct lines that are linked with another distinct line."""
     signed = stored(_signatures(_lines(docs)), "line-signatures")
-    band = [F.struct(F.lit(b).alias("no"), F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]).alias("band")) for b in range(BANDS)]
+    band = [F.struct(F.lit(b).alias("no"), F.xxhash64(F.lit(b), *[f"m{k}" for k in BAND_OF[b]]).alias("band")) for b in range(BANDS)]
     keyed = signed.select("id", F.inline(F.array(*band)))
     in_band = Window.partitionBy("band")
     shared = keyed.withColumn("center", F.min("id").over(in_band)).withColumn("far", F.max("id").over(in_band)).where("center <> far")
@@ -96,9 +98,9 @@ def line_components(docs: DataFrame) -> DataFrame:
     kept = ["comp", "no", "n", *hashes, *[f"w{k}" for k in range(MAP_WORDS)]]
     left, right = (rest.select("band", F.col("id").alias(i), *[F.col(c).alias(i + c) for c in kept]) for i in ("a", "b"))
     same = [F.col("a" + m) == F.col("b" + m) for m in hashes]
-    first = F.coalesce(*[F.when(same[2 * b] & same[2 * b + 1], b) for b in range(BANDS)])
+    first = F.coalesce(*[F.when(same[x] & same[y] & same[z], b) for b, (x, y, z) in enumerate(BAND_OF)])
     near = (sum(x.cast("int") for x in same) >= LEAST_EQUAL) & (first == F.col("ano"))
-    across = left.join(right, (left["band"] == right["band"]) & (F.col("acomp") < F.col("bcomp")) & may_link("a", "b", SIMILARITY) & near)
+    across = left.join(right, (left["band"] == right["band"]) & (F.col("acomp") < F.col("bcomp")) & near & may_link("a", "b", SIMILARITY))
     across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tested, ["a", "b"], "left_anti")
     more = _confirm(sets, stored(across, "line-across"))
     over = connected_components(stored(contract(found, more), "line-more"), "a", "b", "line-cc")
