@@ -141,12 +141,9 @@ def _links(frame: pd.DataFrame) -> pd.DataFrame:
     right = left if same else frame.index[frame["side"] == 1].to_numpy()
     x, _ = unit([np.asarray(v) for v in frame["embedding"]])
     ids, copies, member = frame["id"].to_numpy(), frame["copies"].to_numpy(), frame["member"].tolist()
-    # leaf sets as numbers, so that earlier meetings are told apart for whole rows at once
-    earlier = []
-    for t in range(tree):
-        codes: dict[str, int] = {}
-        sets = [m[t].split(",") for m in member]
-        earlier.append(_bits(sets, codes))
+    # leaf sets as rows of numbers: a pair counts in the first tree where it meets, and there in its lowest common leaf
+    earlier = [_leaf_sets([m[t] for m in member]) for t in range(tree)]
+    lower = _leaf_sets([m[tree] for m in member], int(frame["leaf"].iloc[0]))
     count, parent = np.zeros(len(ids), np.int64), list(range(len(ids)))
 
     def root(i):
@@ -165,7 +162,7 @@ def _links(frame: pd.DataFrame) -> pd.DataFrame:
         if not len(i):
             continue
         met = np.zeros(len(i), bool)
-        for sets in earlier:
+        for sets in [*earlier, lower]:
             met |= (sets[i][:, :, None] == sets[j][:, None, :]).any((1, 2))
         i, j = i[~met], j[~met]
         np.add.at(count, i, copies[j])
@@ -179,13 +176,12 @@ def _links(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": ids[keep], "links": count[keep], "up": ids[up][keep]})
 
 
-def _bits(sets: list[list[str]], codes: dict[str, int]) -> np.ndarray:
-    """Leaf sets of one tree as rows of numbers; unused places differ between rows of the two sides of a comparison."""
-    out = np.empty((len(sets), MAX_LEAVES), np.int64)
-    for r, s in enumerate(sets):
-        out[r] = -1 - r
-        for k, leaf in enumerate(s):
-            out[r, k] = codes.setdefault(leaf, len(codes))
+def _leaf_sets(packed: list[str], below: int | None = None) -> np.ndarray:
+    """Leaf sets of one tree (only leaves under ``below``) as rows of numbers; unused places never equal another row's."""
+    out = np.repeat(-1 - np.arange(len(packed))[:, None], MAX_LEAVES, axis=1)
+    for r, leaves in enumerate(packed):
+        mine = [x for x in map(int, leaves.split(",")) if below is None or x < below]
+        out[r, :len(mine)] = mine
     return out
 
 
