@@ -30,7 +30,7 @@ BLOCK_BYTES = 16 << 20
 #: Words of an item kept in one piece; longer items are cut with an overlap of a window less one.
 PIECE_WORDS = 4096
 #: Words gathered in a shard.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 400_000
 
 #: ASCII other than letters and digits separates words; A-Z become a-z; bytes of other characters stay.
 _WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))

@@ -31,7 +31,7 @@ from cellscope.llm.common import parts_for, stored
 LENGTH, END = 2048, 1
 GROUP = 4096
 #: Word parts a worker remembers, and characters of text tokenized at a time.
-PARTS, CHARS = 700_000, 1 << 20
+PARTS, CHARS = 500_000, 1 << 20
 
 
 class WordIds:

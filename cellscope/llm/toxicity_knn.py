@@ -56,7 +56,7 @@ def terms_of(word: bytes) -> list[bytes]:
 class Vectors:
     """Term counts of a text over a chosen vocabulary."""
 
-    REMEMBER = 500_000
+    REMEMBER = 150_000
 
     def __init__(self, vocabulary: list[bytes]):
         self.place = {t: i for i, t in enumerate(vocabulary)}
