@@ -31,7 +31,7 @@ def feature_columns(df: DataFrame, excluded: list[str] = MODEL_EXCLUDED) -> list
 
 def normalized_feature_columns(df: DataFrame) -> list[str]:
     """P4 variant: only ``*_norm`` / ``*_normalized`` columns."""
-    return [c for c in feature_columns(df) if c.endswith("_norm") or c.endswith("_normalized")]
+    return [c for c in numeric_columns(df) if c.endswith("_norm") or c.endswith("_normalized")]
 
 
 def missing_and_extra(df: DataFrame, expected: list[str]) -> tuple[list[str], list[str]]:

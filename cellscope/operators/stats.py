@@ -18,10 +18,10 @@ from .ranking import average_pct_rank, exact_quantiles, multi_quantiles, one_row
 
 
 def _stack(df: DataFrame, rows: list[tuple[str, list]], names: list[str]) -> DataFrame:
-    """One-row wide frame -> one row per entry of ``rows`` (label, exprs)."""
-    parts = [df.select(F.lit(label).alias(names[0]), *[e.alias(n) for e, n in zip(exprs, names[1:])])
-             for label, exprs in rows]
-    return reduce(DataFrame.unionByName, parts)
+    """One-row wide frame -> one row per entry of ``rows`` (label, exprs); the frame is planned once."""
+    entries = [F.struct(F.lit(label).alias(names[0]), *[e.alias(n) for e, n in zip(exprs, names[1:])])
+               for label, exprs in rows]
+    return df.select(F.inline(F.array(*entries)))
 
 
 def column_stats(df: DataFrame, col: str) -> DataFrame:
@@ -187,8 +187,8 @@ def case_studies(df: DataFrame, transit: str = "daily_trips") -> DataFrame:
     """P11 + T3: top cell of three quantile-bounded groups.
 
     1. high population (> q75) and low transit (< q25), most populous first;
-    2. low population (> 0 and < q25) and low transit (< q25), most populous;
-    3. high population (> q75) and high transit (> q75), most trips first.
+    2. low population (> 0 and < q25) and low transit (< q25), least populous;
+    3. high population (> q75) and high transit (> q75), most populous first.
     Quantiles include zero-population cells.
     """
     q = multi_quantiles(df, [("population", 0.25, "p25"), ("population", 0.75, "p75"),
@@ -197,8 +197,8 @@ def case_studies(df: DataFrame, transit: str = "daily_trips") -> DataFrame:
     p, t = F.col("population"), F.col(transit)
     cases = [
         ("high_pop_low_transit", (p > F.col("p75")) & (t < F.col("t25")), [F.desc("population"), "cell_id"]),
-        ("low_pop_low_transit", (p > 0) & (p < F.col("p25")) & (t < F.col("t25")), [F.desc("population"), "cell_id"]),
-        ("high_pop_high_transit", (p > F.col("p75")) & (t > F.col("t75")), [F.desc(transit), "cell_id"]),
+        ("low_pop_low_transit", (p > 0) & (p < F.col("p25")) & (t < F.col("t25")), [F.asc("population"), "cell_id"]),
+        ("high_pop_high_transit", (p > F.col("p75")) & (t > F.col("t75")), [F.desc("population"), "cell_id"]),
     ]
     parts = []
     for name, cond, order in cases:

@@ -162,9 +162,9 @@ def q_pct_rank(c: Ctx) -> DataFrame:
     "SELECT * FROM (SELECT 'high_pop_low_transit' AS \"case\", cell_id, population, daily_trips FROM fpop, q "
     "WHERE population > p75 AND daily_trips < t25 ORDER BY population DESC, cell_id LIMIT 1) a UNION ALL "
     "SELECT * FROM (SELECT 'low_pop_low_transit', cell_id, population, daily_trips FROM fpop, q WHERE population > 0 "
-    "AND population < p25 AND daily_trips < t25 ORDER BY population DESC, cell_id LIMIT 1) b UNION ALL "
+    "AND population < p25 AND daily_trips < t25 ORDER BY population, cell_id LIMIT 1) b UNION ALL "
     "SELECT * FROM (SELECT 'high_pop_high_transit', cell_id, population, daily_trips FROM fpop, q WHERE "
-    "population > p75 AND daily_trips > t75 ORDER BY daily_trips DESC, cell_id LIMIT 1) c", *VIEWS,
+    "population > p75 AND daily_trips > t75 ORDER BY population DESC, cell_id LIMIT 1) c", *VIEWS,
     ctes=LABEL_CTES[:2] + ["q AS (SELECT quantile_cont(population, 0.25) AS p25, quantile_cont(population, 0.75) "
                            "AS p75, quantile_cont(daily_trips, 0.25) AS t25, quantile_cont(daily_trips, 0.75) AS t75 "
                            "FROM fpop)"]))

@@ -31,8 +31,10 @@ def get_session(master: str | None = None, app_name: str = "cellscope",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
     }
+    # on a cluster the number of shuffle partitions is the cluster's to set; AQE coalesces from there
+    if shuffle_partitions or (master or "").startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

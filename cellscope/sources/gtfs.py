@@ -2,20 +2,24 @@
 
 A feed is a folder (or zip archive) of CSV members such as ``stops.txt``.
 Folders are read by Spark's CSV reader directly; zip archives are read as
-``binaryFile`` rows and one task per (archive, member) emits the member's
-lines, which ``from_csv`` parses with the declared schema.
+``binaryFile`` rows (one task for each archive and member), whose records
+are streamed out by header name.
 """
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
 import logging
 import os
 import zipfile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
@@ -51,46 +55,61 @@ def list_members(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("content").mapInPandas(names, "member string").orderBy("member")
 
 
-def _zip_lines(spark: SparkSession, path: str, member: str) -> DataFrame:
-    def lines(it):
+#: Records of an archive member handed to Spark at a time.
+ZIP_RECORDS = 10_000
+
+
+def _zip_records(spark: SparkSession, path: str, member: str) -> DataFrame:
+    """Records of one member as (record: header name -> text), streamed out of the archive in pieces."""
+    def records(it):
         for pdf in it:
-            out = []
             for content in pdf["content"]:
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    if member in z.namelist():
-                        text = z.read(member).decode("utf-8-sig")
-                        out += text.splitlines()[1:]
-            yield pd.DataFrame({"line": [x for x in out if x.strip()]})
+                    if member not in z.namelist():
+                        continue
+                    with io.TextIOWrapper(z.open(member), encoding="utf-8-sig", newline="") as f:
+                        rows = csv.DictReader(f)
+                        while some := list(itertools.islice(rows, ZIP_RECORDS)):
+                            yield pd.DataFrame({"record": [{k.strip(): v for k, v in r.items() if k is not None and v is not None} for r in some]})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(records, "record map<string,string>")
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(lines, "line string")
+
+def _typed(df: DataFrame, schema: str | None, get) -> DataFrame:
+    """Columns named by the header: declared ones get their type (null when absent or malformed), others stay text."""
+    fields = T._parse_datatype_string(schema).fields if schema else []
+    have = set(df.columns) if get is F.col else None
+    declared = [(get(f.name) if have is None or f.name in have else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in fields]
+    more = [] if have is None else [F.col(c) for c in df.columns if c not in {f.name for f in fields}]
+    return df.select(*declared, *more)
 
 
 def read_member(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
-    """One member as a DataFrame with the declared schema; malformed rows
-    are kept with nulls (PERMISSIVE)."""
+    """One member as a DataFrame, columns bound by header name.
+
+    Declared columns are cast, a value that does not fit becomes null; columns that the schema does not name stay
+    text (for archives they are left out, as the header is not known before the job).
+    """
     schema = schema or SCHEMAS.get(name)
     if not _is_zip(path):
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-        return reader.csv(os.path.join(path, f"{name}.txt"))
+        text = spark.read.option("header", True).csv(os.path.join(path, f"{name}.txt"))
+        return _typed(text.toDF(*[c.strip().lstrip("\ufeff") for c in text.columns]), schema, F.col)
     if schema is None:
         raise ValueError("a schema is required to read a member of a zip archive")
-    parsed = _zip_lines(spark, path, f"{name}.txt").select(F.from_csv("line", schema).alias("r"))
-    return parsed.select("r.*")
+    return _typed(_zip_records(spark, path, f"{name}.txt"), schema, lambda c: F.col("record").getItem(c))
 
 
 def read_feed(spark: SparkSession, path: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """S3: every member that can be read; a missing or unreadable one is
-    logged and skipped."""
-    out = {}
-    for name in names or list(SCHEMAS):
-        try:
-            df = read_member(spark, path, name)
-            df.schema  # resolve now so a missing file fails here  # noqa: B018
-            out[name] = df
-        except Exception as e:  # noqa: BLE001
-            log.warning("skipping %s: %s", name, e)
-    return out
+    """S3: the members of the feed; a missing one is logged and skipped.
+
+    Without ``names``: every member of a folder, and the declared members of an archive.
+    """
+    there = [r["member"].rsplit("/", 1)[-1].removesuffix(".txt") for r in list_members(spark, path).collect()]
+    wanted = names or ([n for n in there if n in SCHEMAS] if _is_zip(path) else there)
+    for name in wanted:
+        if name not in there:
+            log.warning("skipping %s: not in the feed", name)
+    return {name: read_member(spark, path, name) for name in wanted if name in there}
 
 
 def to_parquet(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
@@ -106,9 +125,12 @@ def to_parquet(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
 def load_parquet(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A Parquet table by name; a missing table raises FileNotFoundError."""
     p = os.path.join(base, f"{name}.parquet")
-    if "://" not in p and not os.path.exists(p):
-        raise FileNotFoundError(f"table '{name}' not found at {p}")
-    return spark.read.parquet(p)
+    try:
+        return spark.read.parquet(p)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"table '{name}' not found at {p}") from e
+        raise
 
 
 def load_data(spark: SparkSession, path: str) -> DataFrame:
@@ -120,7 +142,7 @@ def load_data(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.option("multiLine", True).json(path)
     if low.endswith(".parquet"):
         return spark.read.parquet(path)
-    raise ValueError(f"Unsupported file format: {path}")
+    raise ValueError(f"no reader for {path}: expected csv, json or parquet")
 
 
 def file_sizes(spark: SparkSession, source_dir: str, target_dir: str) -> DataFrame:
@@ -134,7 +156,12 @@ def file_sizes(spark: SparkSession, source_dir: str, target_dir: str) -> DataFra
         return files.groupBy(name.alias("table")).agg(F.sum("length").alias("bytes"))
 
     src = sizes(source_dir, "*.txt", r"([^/]+)\.txt$").withColumnRenamed("bytes", "source_bytes")
-    tgt = sizes(target_dir, "*.parquet", r"/([^/]+)\.parquet/[^/]+$").withColumnRenamed("bytes", "parquet_bytes")
+    try:
+        tgt = sizes(target_dir, "*.parquet", r"/([^/]+)\.parquet/[^/]+$").withColumnRenamed("bytes", "parquet_bytes")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        tgt = spark.createDataFrame([], "table string, parquet_bytes long")
     j = src.join(tgt, "table", "left").withColumn("parquet_bytes", F.coalesce("parquet_bytes", F.lit(0)))
     j = j.withColumn("ratio", F.when(F.col("parquet_bytes") > 0, F.col("source_bytes") / F.col("parquet_bytes"))
                      .otherwise(F.lit(0.0)))

@@ -29,6 +29,30 @@ def test_zip_members_and_read(spark):
     assert [(r["table"], r["rows"]) for r in summary] == [("stops", 2), ("trips", 1)]
 
 
+def test_members_bound_by_header(spark, tmp_path):
+    (tmp_path / "stops.txt").write_text("stop_name,stop_lon,stop_id,stop_lat,stop_code\nA,-43.9,1,-19.9,10\nB,bad,2,-19.8,11\n")
+    got = {r["stop_id"]: r.asDict() for r in gtfs.read_member(spark, str(tmp_path), "stops").collect()}
+    assert got[1] == {"stop_id": 1, "stop_lat": -19.9, "stop_lon": -43.9, "stop_name": "A", "stop_code": "10"}
+    assert got[2]["stop_lon"] is None
+    assert set(gtfs.read_feed(spark, str(tmp_path))) == {"stops"}
+    with zipfile.ZipFile(tmp_path / "f.zip", "w") as z:
+        z.writestr("trips.txt", "route_id,service_id,trip_id\n5,77,10\n")
+    z = str(tmp_path / "f.zip")
+    assert [tuple(r) for r in gtfs.read_member(spark, z, "trips").collect()] == [(10, 5, "77")]
+    assert gtfs.read_member(spark, z, "stops").count() == 0 and set(gtfs.read_feed(spark, z, ["trips", "stops"])) == {"trips"}
+    sizes = gtfs.file_sizes(spark, str(tmp_path), str(tmp_path / "absent")).collect()
+    assert all(r["ratio"] == 0 for r in sizes)
+
+
+def test_normalized_columns_and_one_scan(spark):
+    from cellscope.operators import prep, stats
+    df = spark.range(5).selectExpr("id", "id * 2.0D AS a_norm", "id * 3 AS b")
+    assert prep.normalized_feature_columns(df) == ["a_norm"]
+    matrix = stats.corr_matrix(df)
+    assert matrix.count() == 9
+    assert matrix._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+
+
 def test_load_data_dispatch(spark):
     import pytest
     with pytest.raises(ValueError):
