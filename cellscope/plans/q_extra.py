@@ -113,16 +113,20 @@ def q_geojson_cells(c: Ctx) -> DataFrame:
     return ex.geojson_features(c.cells, c.labels)
 
 
+#: Cell sizes in metres that the sweep compares.
+SWEEP = (100, 150, 200, 250, 500)
+
+
 @query("grid_sweep", V(" UNION ALL ".join(
     f"SELECT CAST({s} AS DOUBLE) AS cell_size_m, CAST({sp.n_cells} AS BIGINT) AS cells, count(*) AS occupied_cells, "
     f"sum(k) AS stops_in_grid, 1 - count(*) / CAST({sp.n_cells} AS DOUBLE) AS sparsity FROM (SELECT c.cell_id, "
     f"count(*) AS k FROM stops s JOIN ({__import__('cellscope.plans.sqlviews', fromlist=['x']).cells_sql(sp)}) c "
     f"ON s.stop_lat > c.lat_min AND s.stop_lat < c.lat_max AND s.stop_lon > c.lon_min AND s.stop_lon < c.lon_max "
     f"GROUP BY c.cell_id) g" for s, sp in [(s, __import__('cellscope.operators.grid', fromlist=['x']).GridSpec
-                                            .from_bounds(cell_size_m=s)) for s in (250, 500, 1000)]), "stops"))
+                                            .from_bounds(cell_size_m=s)) for s in SWEEP]), "stops"))
 def q_grid_sweep(c: Ctx) -> DataFrame:
-    """Occupancy and sparsity of the grid at 250 / 500 / 1000 m."""
-    return ex.grid_sweep(c.spark, c.stops, [250, 500, 1000])
+    """Occupancy and sparsity of the grid at the sizes of SWEEP."""
+    return ex.grid_sweep(c.spark, c.stops, list(SWEEP))
 
 
 _TS = [0.5, 0.7, 0.8, 0.9]

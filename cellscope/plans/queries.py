@@ -53,17 +53,17 @@ def q_grid_cells(c: Ctx) -> DataFrame:
 
 @query("grid_quality", V(
     f"SELECT count(*) AS cell_count, round(avg(area_km2), 6) AS mean_area_km2, "
-    f"abs(count(*) - 20125) / 20125.0 <= 0.1 AS count_ok, "
-    f"abs(avg(area_km2) - 0.04) / 0.04 <= 0.1 AS area_ok, "
+    f"abs(count(*) - 3250) / 3250.0 <= 0.1 AS count_ok, "
+    f"abs(avg(area_km2) - 0.25) / 0.25 <= 0.1 AS area_ok, "
     f"min(CASE WHEN lat_max > lat_min AND lon_max > lon_min THEN 1 ELSE 0 END) = 1 AS geometry_ok, "
     f"max(CASE WHEN cell_id IS NULL OR lat_min IS NULL OR lat_max IS NULL OR lon_min IS NULL "
     f"OR lon_max IS NULL THEN 1 ELSE 0 END) = 0 AS nulls_ok, "
-    f"(abs(count(*) - 20125) / 20125.0 <= 0.1) AND (abs(avg(area_km2) - 0.04) / 0.04 <= 0.1) "
+    f"(abs(count(*) - 3250) / 3250.0 <= 0.1) AND (abs(avg(area_km2) - 0.25) / 0.25 <= 0.1) "
     f"AND min(CASE WHEN lat_max > lat_min AND lon_max > lon_min THEN 1 ELSE 0 END) = 1 "
     f"AND max(CASE WHEN cell_id IS NULL THEN 1 ELSE 0 END) = 0 AS is_valid FROM cells", "cells"))
 def q_grid_quality(c: Ctx) -> DataFrame:
-    """Q1: grid validation report (against the 200 m expectations)."""
-    return validate_grid(c.cells)
+    """Q1: grid validation report against the expectations of the 500 m grid that the queries use."""
+    return validate_grid(c.cells, 3250, 0.25)
 
 
 # ------------------------------------------------------- point in cell -------
