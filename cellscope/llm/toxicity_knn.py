@@ -273,7 +273,7 @@ def _score(vocabulary: list[bytes], index: Index):
                 if hit is None:
                     p, found = index.score(counts)
                     hit = (p, ",".join(f"{index.ids[r]}:{s:.4f}:{index.labels[r]}" for s, r in found[:5]))
-                    if len(known) < 100_000:
+                    if len(known) < 20_000:
                         known[key] = hit
                 scores.append(hit[0])
                 evidence.append(hit[1])
