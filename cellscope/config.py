@@ -8,7 +8,9 @@ minimum minority share 0.05; target well-served share 0.10; noise on with
 population sd 0.25, threshold sd 0.15, flip probability 0.05; seed 42;
 test share 0.15, validation share 0.15; 5 folds; F1 gate 0.70;
 population synonyms POP, TOTAL, populacao, pop_total;
-id synonyms ID36, ID_UNICO, id_unico, id; population sanity maximum 3000.
+id synonyms ID36, ID_UNICO, id_unico, id; population sanity maximum 3000;
+the 13 model inputs; the hyper-parameter spaces of the three model families
+with 20 and 15 random draws.
 """
 
 from __future__ import annotations
@@ -48,7 +50,13 @@ MAX_REASONABLE_POP = 3000
 # Feature columns excluded from model inputs, besides non-numeric columns.
 MODEL_EXCLUDED = ["cell_id", "label", "composite_score", "threshold_used", "weights"]
 
-# Hyper-parameter spaces of the three model families.
+# The model inputs, in the model's order.
+MODEL_FEATURES = [
+    "lat_min", "lat_max", "lon_min", "lon_max", "centroid_lat", "centroid_lon", "area_km2",
+    "stop_count", "route_count", "daily_trips", "stop_density", "route_diversity", "population",
+]
+
+# Hyper-parameter spaces of the three model families.
 LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0], "max_iter": [1000]}
 RF_SPACE = {
     "n_estimators": [100, 150, 200, 300, 500],

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import logging
 import random
 import time
 
@@ -27,10 +28,14 @@ from pyspark.sql import types as T
 from ..config import CV_FOLDS, GBT_N_ITER, GBT_SPACE, LR_GRID, MIN_F1, RF_N_ITER, RF_SPACE, SEED
 from ..functions.seeded import seeded_uniform
 from .metrics import f1_status, metrics
-from .prep import NUMERIC, feature_columns
+from .prep import NUMERIC, feature_columns, relabel
 from .ranking import hash_rank
 
+log = logging.getLogger(__name__)
+
 MAX_TREE_DEPTH = 30  # deepest tree Spark ML accepts; "no limit" maps here
+#: Spark ML trees have no such parameter: it is not drawn, so that every draw is another model.
+NOT_IN_SPARK = {"min_samples_split"}
 
 
 def f1_evaluator() -> MulticlassClassificationEvaluator:
@@ -47,7 +52,7 @@ def with_folds(df: DataFrame, k: int = CV_FOLDS, seed: int = SEED, key: str = "c
 
 def sample_space(space: dict, n_iter: int, seed: int = SEED) -> list[dict]:
     """Randomized search: ``n_iter`` distinct combinations drawn with a seeded RNG."""
-    keys = list(space)
+    keys = [k for k in space if k not in NOT_IN_SPARK]
     combos = list(itertools.product(*[space[k] for k in keys]))
     rng = random.Random(seed)
     picked = rng.sample(combos, min(n_iter, len(combos)))
@@ -91,6 +96,8 @@ def train_random_forest(train: DataFrame, cols: list[str] | None = None, space:
     cols = cols or feature_columns(train)
     rf = RandomForestClassifier(labelCol="label", featuresCol="features", seed=SEED, bootstrap=True)
     combos = sample_space(space, n_iter)
+    if any(not p["max_depth"] or p["max_depth"] > MAX_TREE_DEPTH for p in combos):
+        log.warning("random forest: trees without a depth limit are grown to depth %s", MAX_TREE_DEPTH)
     pgrid = [{rf.numTrees: p["n_estimators"], rf.maxDepth: min(p["max_depth"] or MAX_TREE_DEPTH, MAX_TREE_DEPTH),
               rf.minInstancesPerNode: p["min_samples_leaf"], rf.featureSubsetStrategy: p["max_features"]}
              for p in combos]
@@ -108,6 +115,8 @@ def train_gradient_boosting(train: DataFrame, cols: list[str] | None = None, spa
     return _search(train, cols, gb, pgrid, folds, parallelism), combos, cols
 
 
+CLASS_NAMES = {0: "underserved", 1: "well_served"}
+
 TRAINERS = {"logistic_regression": train_logistic_regression, "random_forest": train_random_forest,
             "gradient_boosting": train_gradient_boosting}
 
@@ -166,14 +175,18 @@ def batch_score(model: PipelineModel, df: DataFrame, expected: list[str]) -> Dat
     """V6: prediction, class name, both probabilities and confidence per row.
     A stateless transform: also valid on a streaming DataFrame."""
     x = validate_features(df, expected)
-    out = model.transform(x)
     p = vector_to_array("probability")
-    return out.select(
-        *[c for c in ("cell_id",) if c in x.columns],
-        F.col("prediction").cast("int").alias("prediction"),
-        F.when(F.col("prediction") == 1, "well_served").otherwise("underserved").alias("predicted_class"),
-        p[0].alias("p_underserved"), p[1].alias("p_well_served"),
-        F.greatest(p[0], p[1]).alias("confidence"))
+    return name_scores(model.transform(x), F.col("prediction"), p[0], p[1])
+
+
+def name_scores(scored: DataFrame, prediction, p0, p1) -> DataFrame:
+    """V6 output columns from the columns of any scorer: prediction, class
+    name, both probabilities and the larger one as confidence."""
+    return scored.select(
+        *[c for c in ("cell_id",) if c in scored.columns],
+        prediction.cast("int").alias("prediction"),
+        relabel(prediction, CLASS_NAMES).alias("predicted_class"),
+        p0.alias("p_underserved"), p1.alias("p_well_served"), F.greatest(p0, p1).alias("confidence"))
 
 
 def feature_importance(model: PipelineModel, cols: list[str]) -> DataFrame:
@@ -204,12 +217,12 @@ def evaluate(model: PipelineModel, test: DataFrame, name: str = "model") -> Data
                     f1_status(F.col("f1")).alias("status"))
 
 
-def parity_check(model: PipelineModel, path: str, df: DataFrame, n_samples: int = 100, tol: float = 1e-5) -> DataFrame:
-    """V13 re-aimed: save, reload, score the first ``n_samples`` rows (by key)
-    with both, and compare classes and probabilities."""
+def parity_check(model: PipelineModel, path: str, df: DataFrame, n_samples: int | None = None, tol: float = 1e-5) -> DataFrame:
+    """V13 re-aimed: save, reload, score every row (or the first ``n_samples``
+    by key) with both, and compare classes and probabilities."""
     model.write().overwrite().save(path)
     again = PipelineModel.load(path)
-    rows = df.orderBy("cell_id").limit(n_samples)
+    rows = df if n_samples is None else df.orderBy("cell_id").limit(n_samples)
     a = score(model, rows).select("cell_id", F.col("prediction").alias("p1"), F.col("score").alias("s1"))
     b = score(again, rows).select("cell_id", F.col("prediction").alias("p2"), F.col("score").alias("s2"))
     j = a.join(b, "cell_id")

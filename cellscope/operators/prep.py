@@ -3,11 +3,12 @@ column selection helpers (M7, M8, C9-C11, P4, P5, P10, P13, U2)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import MODEL_EXCLUDED
+from ..session import materialize
 from .ranking import exact_quantiles, one_row
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -40,11 +41,12 @@ def missing_and_extra(df: DataFrame, expected: list[str]) -> tuple[list[str], li
     return [c for c in expected if c not in have], sorted(have - set(expected))
 
 
-def relabel(col: str, mapping: dict, default=None):
-    """Value -> name through a ``when`` chain."""
+def relabel(col, mapping: dict, default=None):
+    """Value -> name through a ``when`` chain; ``col`` is a name or a column."""
+    col = F.col(col) if isinstance(col, str) else col
     expr = None
     for k, v in mapping.items():
-        expr = (F.when(F.col(col) == k, F.lit(v)) if expr is None else expr.when(F.col(col) == k, F.lit(v)))
+        expr = (F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v)))
     return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
 
@@ -72,8 +74,10 @@ def fit_imputer(df: DataFrame, strategy: str = "mean") -> dict:
     if num_cols and strategy == "median":
         for c in num_cols:
             fills[c] = exact_quantiles(df, c, [0.5], ["m"]).first()["m"]
-    if other:
-        fills.update(df.agg(*[F.mode(c, True).alias(c) for c in other]).first().asDict())
+    for c in other:
+        counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+        top = counts.orderBy(F.desc("_n"), F.asc(c)).limit(1).first()
+        fills[c] = top[c] if top else None
     return fills
 
 
@@ -95,15 +99,23 @@ def impute(df: DataFrame, strategy: str = "mean", fills: dict | None = None) ->
 # -------------------------------------------------------------- encoding ----
 
 def fit_label_encoder(df: DataFrame, columns: list[str]) -> dict[str, DataFrame]:
-    """M8: sorted distinct values -> 0-based code, per column, as small
-    mapping frames (one row per category)."""
+    """M8: sorted distinct values -> 0-based code, per column, as mapping
+    frames (one row per category).
+
+    The values stay distributed: they are dealt by range and written once, the
+    rows of each range are numbered, and the counts of the ranges before it
+    (one row per partition) are added.
+    """
     maps = {}
     for c in columns:
-        from pyspark.ml.feature import StringIndexer
-        model = StringIndexer(inputCol=c, outputCol="_code", stringOrderType="alphabetAsc",
-                              handleInvalid="error").fit(df.select(F.col(c).cast("string").alias(c)))
-        labels = model.labels
-        maps[c] = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(labels)], f"{c} string, code int")
+        values = df.select(F.col(c).cast("string").alias(c)).where(F.col(c).isNotNull()).distinct()
+        dealt = materialize(values.repartitionByRange(c).withColumn("_part", F.spark_partition_id()), "codes")
+        sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+        place = F.row_number().over(Window.partitionBy("_part").orderBy(c)) - 1
+        maps[c] = (dealt.withColumn("_place", place).join(starts, "_part")
+                   .select(c, (F.col("_start") + F.col("_place")).cast("int").alias("code")))
     return maps
 
 
@@ -114,7 +126,7 @@ def label_encode(df: DataFrame, columns: list[str], maps: dict[str, DataFrame] |
     maps = maps or fit_label_encoder(df, columns)
     out = df
     for c in columns:
-        m = F.broadcast(maps[c].withColumnRenamed("code", "_code"))
+        m = maps[c].withColumnRenamed("code", "_code")
         out = out.withColumn(c, F.col(c).cast("string")).join(m, c, "left")
         out = out.withColumn(c, F.when(F.col("_code").isNotNull(), F.col("_code"))
                              .otherwise(F.raise_error(F.concat(F.lit(f"unseen label in {c}: "),

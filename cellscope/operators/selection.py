@@ -2,14 +2,12 @@
 
 ANOVA F comes from per-class count, sum and sum of squares (one groupBy);
 mutual information uses equal-width bins of each feature against the label
-(one groupBy per feature, counts only). Both return one row per feature.
+(one groupBy for all features, counts only). Both return one row per feature.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranking import one_row
@@ -22,13 +20,13 @@ def anova_f(df: DataFrame, features: list[str], label: str = "label") -> DataFra
     tot = per.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), *[e for c in features for e in (
         F.sum(f"{c}__s").alias(f"{c}__S"), F.sum(f"{c}__q").alias(f"{c}__Q"),
         F.sum(F.col(f"{c}__s") ** 2 / F.col("_n")).alias(f"{c}__B"))])
-    parts = []
+    rows = []
     for c in features:
         ssb = F.col(f"{c}__B") - F.col(f"{c}__S") ** 2 / F.col("n")
         ssw = F.col(f"{c}__Q") - F.col(f"{c}__B")
         f = (ssb / (F.col("k") - 1)) / (ssw / (F.col("n") - F.col("k")))
-        parts.append(tot.select(F.lit(c).alias("feature"), f.alias("f_score")))
-    return reduce(DataFrame.unionByName, parts).orderBy(F.desc("f_score"), "feature")
+        rows.append(F.struct(F.lit(c).alias("feature"), f.alias("f_score")))
+    return tot.select(F.inline(F.array(*rows))).orderBy(F.desc("f_score"), "feature")
 
 
 def select_k_best(df: DataFrame, features: list[str], k: int = 10, label: str = "label",
@@ -41,18 +39,24 @@ def select_k_best(df: DataFrame, features: list[str], k: int = 10, label: str =
 
 def mutual_info_binned(df: DataFrame, features: list[str], label: str = "label", bins: int = 10) -> DataFrame:
     """M20 (mutual_info variant): MI in nats between equal-width bins of each
-    feature and the label. An estimate on bins, not a k-nearest-neighbour one."""
-    parts = []
+    feature and the label. An estimate on bins, not a k-nearest-neighbour one.
+
+    One pass for the ranges and one for the counts; what follows has at most
+    features x bins x classes rows. Rows with a null feature or label count
+    in the total only.
+    """
+    ends = df.agg(*[e for c in features for e in (F.min(c).cast("double").alias(f"{c}__mn"),
+                                                  F.max(c).cast("double").alias(f"{c}__mx"))])
+    entries = []
     for c in features:
-        s = df.agg(F.min(c).cast("double").alias("_mn"), F.max(c).cast("double").alias("_mx"),
-                   F.count(F.lit(1)).alias("_n"))
-        w = (F.col("_mx") - F.col("_mn")) / bins
-        b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col(c) - F.col("_mn")) / w), F.lit(bins - 1)))
-        joint = (df.crossJoin(one_row(s)).select(b.alias("_b"), F.col(label).alias("_y"), "_n")
-                 .groupBy("_b", "_y", "_n").agg(F.count(F.lit(1)).alias("_c")))
-        pb = joint.groupBy("_b").agg(F.sum("_c").alias("_cb"))
-        py = joint.groupBy("_y").agg(F.sum("_c").alias("_cy"))
-        t = joint.join(pb, "_b").join(py, "_y")
-        term = F.col("_c") / F.col("_n") * F.log(F.col("_c") * F.col("_n") / (F.col("_cb") * F.col("_cy")))
-        parts.append(t.agg(F.sum(term).alias("mutual_info")).select(F.lit(c).alias("feature"), "mutual_info"))
-    return reduce(DataFrame.unionByName, parts)
+        lo = F.col(f"{c}__mn")
+        width = (F.col(f"{c}__mx") - lo) / bins
+        b = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor((F.col(c) - lo) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1)))
+        entries.append(F.struct(F.lit(c).alias("feature"), b.cast("int").alias("bin")))
+    each = df.select(label, *features).crossJoin(one_row(ends)).select(F.col(label).alias("y"), F.inline(F.array(*entries)))
+    joint = each.groupBy("feature", "bin", "y").agg(F.count(F.lit(1)).alias("c"))
+    total = {n: F.sum("c").over(Window.partitionBy(*keys)) for n, keys in
+             (("n", ["feature"]), ("cb", ["feature", "bin"]), ("cy", ["feature", "y"]))}
+    known = joint.withColumns(total).where("bin is not null and y is not null")
+    term = F.col("c") / F.col("n") * F.log(F.col("c") * F.col("n") / (F.col("cb") * F.col("cy")))
+    return known.groupBy("feature").agg(F.sum(term).alias("mutual_info"))

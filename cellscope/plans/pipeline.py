@@ -15,6 +15,7 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..config import MODEL_FEATURES
 from ..operators import census as cs
 from ..operators import feed, ml, split
 from ..operators.grid import GridSpec, generate_grid, validate_grid
@@ -23,8 +24,7 @@ from ..operators.scaling import normalize_features, normalize_population
 from ..sources import fixtures as fx
 from ..sources.io import save_csv, save_table
 
-MODEL_INPUTS = ["lat_min", "lat_max", "lon_min", "lon_max", "centroid_lat", "centroid_lon", "area_km2",
-                "stop_count", "route_count", "daily_trips", "stop_density", "route_diversity", "population"]
+MODEL_INPUTS = MODEL_FEATURES
 
 
 def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, cell_size_m: float = 200,

@@ -102,11 +102,11 @@ MERGED = (f"SELECT g.cell_id, CAST(coalesce(p.pop, 0) AS BIGINT) AS population F
 @query("population_validation", V(
     "SELECT len(errs) = 0 AS is_valid, cell_count, total_population, round(cov, 2) AS coverage_pct, "
     "round(zero, 2) AS zero_pop_pct, pop_min, pop_max, errs AS errors, warns AS warnings FROM ("
-    "SELECT *, list_filter([CASE WHEN cov < 50.0 THEN printf('Coverage %.1f%% below minimum 50.0%%', cov) END, "
-    "CASE WHEN pop_min < 0 THEN printf('Found negative population values (min: %d)', pop_min) END], "
+    "SELECT *, list_filter([CASE WHEN cov < 50.0 THEN printf('populated cells: %.1f%%, at least 50.0%% wanted', cov) END, "
+    "CASE WHEN pop_min < 0 THEN printf('population under zero, down to %d', pop_min) END], "
     "lambda x: x IS NOT NULL) AS errs, "
-    "list_filter([CASE WHEN zero > 50.0 THEN printf('Zero population cells %.1f%% exceeds threshold 50.0%%', "
-    "zero) END, CASE WHEN pop_max > 3000 THEN printf('Maximum population %d exceeds reasonable threshold 3000', "
+    "list_filter([CASE WHEN zero > 50.0 THEN printf('empty cells: %.1f%%, at most 50.0%% wanted', "
+    "zero) END, CASE WHEN pop_max > 3000 THEN printf('Maximum population %d is above 3000', "
     "pop_max) END], lambda x: x IS NOT NULL) AS warns FROM ("
     "SELECT count(*) AS cell_count, CAST(coalesce(sum(population), 0) AS BIGINT) AS total_population, "
     "avg(CASE WHEN population > 0 THEN 1.0 ELSE 0.0 END) * 100 AS cov, "

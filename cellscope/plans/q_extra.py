@@ -16,7 +16,7 @@ from ..session import ensure_checkpoint_dir
 from ..sources import gtfs
 from .context import Ctx
 from .q_labels import LABEL_CTES, VIEWS
-from .queries import _IN_CELL, _WD_TRIPS, V, query
+from .queries import _IN_CELL, _SERVED_AREA, _WD_TRIPS, V, query, served_area
 
 
 def _scratch(c: Ctx, name: str) -> str:
@@ -190,10 +190,10 @@ _OY = (f"greatest(CAST(0 AS DOUBLE), least(lat_max, {L(BOUNDS['lat_max'])}) - gr
 
 @query("cells_in_area", V(
     f"SELECT cell_id, round(s, 6) AS inside_share FROM (SELECT cell_id, {_OX} * {_OY} / ((lon_max - lon_min) * "
-    f"(lat_max - lat_min)) AS s FROM cells) t WHERE s > 0.5", "cells"))
+    f"(lat_max - lat_min)) AS s FROM ({_SERVED_AREA}) g) t WHERE s > 0.5", "stops", "cells"))
 def q_cells_in_area(c: Ctx) -> DataFrame:
-    """Cells more than half inside the study bounds."""
-    return ex.cells_in_area(c.cells, BOUNDS).withColumn("inside_share", F.round("inside_share", 6))
+    """Cells of the feed's extent more than half inside the study bounds."""
+    return ex.cells_in_area(served_area(c), BOUNDS).withColumn("inside_share", F.round("inside_share", 6))
 
 
 @query("class_shift_alert", V(

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import MODEL_FEATURES
 from ..functions.seeded import sql_lit as L
 from ..operators import metrics as mt
 from ..operators import ml
@@ -119,6 +120,45 @@ def q_baseline_majority(c: Ctx) -> DataFrame:
             .agg(F.round(F.avg((F.col("label") == F.col("m")).cast("double")), 6).alias("accuracy")))
 
 
+@query("single_feature_rule", V(
+    "SELECT round(avg(CASE WHEN l.label = (CASE WHEN f.daily_trips_norm >= 0 THEN 1 ELSE 0 END) THEN 1.0 ELSE 0.0 END), 6) "
+    "AS accuracy, count(*) AS n FROM fn f JOIN lbl l ON l.cell_id = f.cell_id", *VIEWS, ctes=SCORED_CTES))
+def q_single_feature_rule(c: Ctx) -> DataFrame:
+    """Accuracy of calling a cell well served when its daily trips are at least the mean."""
+    d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
+    hit = F.col("label") == F.when(F.col("daily_trips_norm") >= 0, 1).otherwise(0)
+    return d.agg(F.round(F.avg(hit.cast("double")), 6).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
+@query("analysis_table", V(
+    "SELECT f.cell_id, f.population, l.label FROM fn f LEFT JOIN lbl l ON l.cell_id = f.cell_id AND l.label = 1",
+    *VIEWS, ctes=SCORED_CTES))
+def q_analysis_table(c: Ctx) -> DataFrame:
+    """Every cell of the feature table, with the label where the cell is labelled well served."""
+    labelled = c.labels.where("label = 1").select("cell_id", "label")
+    return c.features_pop.select("cell_id", "population").join(labelled, "cell_id", "left")
+
+
+@query("priority_cells", V(
+    "SELECT f.cell_id, f.population FROM fn f JOIN lbl l ON l.cell_id = f.cell_id WHERE l.label = 0 "
+    "ORDER BY f.population DESC, f.cell_id LIMIT 20", *VIEWS, ctes=SCORED_CTES))
+def q_priority_cells(c: Ctx) -> DataFrame:
+    """X6 + T1: the 20 most populous underserved cells."""
+    d = c.features_pop.select("cell_id", "population").join(c.labels.where("label = 0").select("cell_id"), "cell_id", "left_semi")
+    return d.orderBy(F.desc("population"), "cell_id").limit(20)
+
+
+@query("scored_classes", V(
+    "SELECT cell_id, prediction, CASE WHEN prediction = 1 THEN 'well_served' ELSE 'underserved' END AS predicted_class, "
+    "round(1 - score, 4) AS p_underserved, score AS p_well_served, round(greatest(score, 1 - score), 4) AS confidence "
+    "FROM scored", *VIEWS, ctes=SCORED_CTES))
+def q_scored_classes(c: Ctx) -> DataFrame:
+    """V6 + P13 + C21: the columns of batch scoring, for every cell, from the fixed scorer."""
+    s = F.col("score")
+    out = ml.name_scores(_scored(c), F.col("prediction"), F.round(1 - s, 4), s)
+    return out.withColumn("confidence", F.round("confidence", 4))
+
+
 # ----------------------------------------------------------------- models ---
 
 def model_table(c: Ctx) -> DataFrame:
@@ -134,8 +174,7 @@ def _train_val_test(c: Ctx):
     return s.filter("split = 'train'"), s.filter("split = 'val'"), s.filter("split = 'test'")
 
 
-FEATURES_13 = ["lat_min", "lat_max", "lon_min", "lon_max", "centroid_lat", "centroid_lon", "area_km2", "stop_count",
-               "route_count", "daily_trips", "stop_density", "route_diversity", "population"]
+FEATURES_13 = MODEL_FEATURES
 
 
 @query("train_lr")
@@ -172,10 +211,10 @@ def _fit_lr(c: Ctx):
 
 @query("best_model")
 def q_best_model(c: Ctx) -> DataFrame:
-    """V5: best family by validation F1 (LR and a one-draw forest)."""
+    """V5: best of the three families by validation F1 (one draw of the forest and of boosting)."""
     tr, va, _ = _train_val_test(c)
-    res, _ = ml.train_all(tr, va, FEATURES_13, models=["logistic_regression", "random_forest"],
-                          random_forest={"n_iter": 1, "folds": 3})
+    res, _ = ml.train_all(tr, va, FEATURES_13, random_forest={"n_iter": 1, "folds": 3},
+                          gradient_boosting={"n_iter": 1, "folds": 3})
     return ml.select_best(res).select("model", "val_f1")
 
 
@@ -202,7 +241,7 @@ def q_batch_score(c: Ctx) -> DataFrame:
 
 @query("model_parity")
 def q_model_parity(c: Ctx) -> DataFrame:
-    """V13 + S14: saved and reloaded model agree on 100 rows."""
+    """V13 + S14: saved and reloaded model agree on the whole test split."""
     model, _, te = _fit_lr(c)
     path = os.path.join(ensure_checkpoint_dir(c.spark), f"model-{uuid.uuid4().hex[:8]}")
-    return ml.parity_check(model, path, te.withColumn("label", F.col("label").cast("double")), 100)
+    return ml.parity_check(model, path, te.withColumn("label", F.col("label").cast("double")))

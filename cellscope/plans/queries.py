@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import feed
 from ..operators.grid import validate_grid
+from ..operators.ranking import one_row
 from .context import QUERY_SPEC, Ctx
 from .sqlviews import with_views
 
@@ -44,11 +45,23 @@ R = 9  # decimals kept for doubles computed with transcendental functions
 # ---------------------------------------------------------------- grid -------
 
 
+_SERVED_AREA = ("SELECT cells.* FROM cells JOIN (SELECT min(stop_lat) AS y0, max(stop_lat) AS y1, min(stop_lon) AS x0, "
+                "max(stop_lon) AS x1 FROM stops) e ON lat_max >= y0 AND lat_min <= y1 AND lon_max >= x0 AND lon_min <= x1")
+
+
+def served_area(c: Ctx) -> DataFrame:
+    """Cells of the grid that touch the extent of the feed's stops."""
+    e = c.stops.agg(F.min("stop_lat").alias("y0"), F.max("stop_lat").alias("y1"),
+                    F.min("stop_lon").alias("x0"), F.max("stop_lon").alias("x1"))
+    touching = "lat_max >= y0 AND lat_min <= y1 AND lon_max >= x0 AND lon_min <= x1"
+    return c.cells.crossJoin(one_row(e)).where(touching).select(*c.cells.columns)
+
+
 @query("grid_cells", V(f"SELECT cell_id, row, col, lat_min, lat_max, lon_min, lon_max, centroid_lat, "
-                       f"centroid_lon, round(area_km2, {R}) AS area_km2 FROM cells", "cells"))
+                       f"centroid_lon, round(area_km2, {R}) AS area_km2 FROM ({_SERVED_AREA}) g", "stops", "cells"))
 def q_grid_cells(c: Ctx) -> DataFrame:
-    """Every cell with bounds, centroid and area."""
-    return c.cells.withColumn("area_km2", F.round("area_km2", R))
+    """Every cell of the feed's extent with bounds, centroid and area."""
+    return served_area(c).withColumn("area_km2", F.round("area_km2", R))
 
 
 @query("grid_quality", V(
@@ -60,10 +73,10 @@ def q_grid_cells(c: Ctx) -> DataFrame:
     f"OR lon_max IS NULL THEN 1 ELSE 0 END) = 0 AS nulls_ok, "
     f"(abs(count(*) - 3250) / 3250.0 <= 0.1) AND (abs(avg(area_km2) - 0.25) / 0.25 <= 0.1) "
     f"AND min(CASE WHEN lat_max > lat_min AND lon_max > lon_min THEN 1 ELSE 0 END) = 1 "
-    f"AND max(CASE WHEN cell_id IS NULL THEN 1 ELSE 0 END) = 0 AS is_valid FROM cells", "cells"))
+    f"AND max(CASE WHEN cell_id IS NULL THEN 1 ELSE 0 END) = 0 AS is_valid FROM ({_SERVED_AREA}) g", "stops", "cells"))
 def q_grid_quality(c: Ctx) -> DataFrame:
     """Q1: grid validation report against the expectations of the 500 m grid that the queries use."""
-    return validate_grid(c.cells, 3250, 0.25)
+    return validate_grid(served_area(c), 3250, 0.25)
 
 
 # ------------------------------------------------------- point in cell -------
@@ -99,10 +112,11 @@ def q_stop_density(c: Ctx) -> DataFrame:
 # --------------------------------------------------------- feed aggregates ---
 
 @query("weekday_services", V("SELECT DISTINCT service_id FROM calendar WHERE monday = 1 AND tuesday = 1 "
-                             "AND wednesday = 1 AND thursday = 1 AND friday = 1", "calendar"))
+                             "AND wednesday = 1 AND thursday = 1 AND friday = 1 AND service_id IN "
+                             "(SELECT service_id FROM trips)", "calendar", "trips"))
 def q_weekday_services(c: Ctx) -> DataFrame:
-    """Services running Monday to Friday."""
-    return feed.weekday_services(c.calendar)
+    """Services running Monday to Friday that the feed's trips use."""
+    return feed.weekday_services(c.calendar).join(c.trips, "service_id", "left_semi")
 
 
 _WD_TRIPS = ("SELECT trip_id FROM trips WHERE service_id IN (SELECT service_id FROM calendar WHERE monday = 1 "
