@@ -111,20 +111,19 @@ def extract_features(cells: DataFrame, stops: DataFrame, stop_times: DataFrame,
     """Per-cell transit features (M2): stop_count, route_count, daily_trips
     and optionally stop_density (C6) and route_diversity (C7).
 
-    stop_count and daily_trips come from one per-stop table in one
-    aggregation; route_count needs its own distinct (cell, route) pass.
+    stop_times and trips are read once: the distinct visits (stop, trip) are
+    counted per (stop, route), then per (cell, route), which gives both the
+    routes and the weekday trips of a cell. A trip has one row in ``trips``.
     """
-    # one stop_times x trips join feeds both branches (the exchange is reused)
-    st = stop_trip_routes(stop_times, trips)
-    per_stop = (st.join(weekday_services(calendar), "service_id", "left_semi").select("stop_id", "trip_id")
-                .distinct().groupBy("stop_id").agg(F.count(F.lit(1)).alias("daily_trips")))
+    weekday = weekday_services(calendar).withColumn("_weekday", F.lit(1))
+    visits = (stop_trip_routes(stop_times, trips).join(weekday, "service_id", "left")
+              .select("stop_id", "trip_id", "route_id", F.coalesce("_weekday", F.lit(0)).alias("_weekday")).distinct())
+    per_stop = visits.groupBy("stop_id", "route_id").agg(F.sum("_weekday").alias("_trips"))
     sc = stop_cells(stops, spec)
-    stop_level = (sc.join(per_stop, "stop_id", "left").groupBy("cell_id")
-                  .agg(F.count(F.lit(1)).alias("stop_count"),
-                       F.sum(F.coalesce("daily_trips", F.lit(0))).cast("long").alias("daily_trips")))
-    routes = (st.select("stop_id", "route_id").distinct().join(sc, "stop_id").select("cell_id", "route_id")
-              .distinct().groupBy("cell_id").agg(F.count(F.lit(1)).alias("route_count")))
-    feats = complete_grid(cells.select("cell_id", "area_km2"), stop_level, routes)
+    per_route = per_stop.join(sc, "stop_id").groupBy("cell_id", "route_id").agg(F.sum("_trips").alias("_trips"))
+    served = per_route.groupBy("cell_id").agg(F.count(F.lit(1)).alias("route_count"), F.sum("_trips").alias("daily_trips"))
+    counts = sc.groupBy("cell_id").agg(F.count(F.lit(1)).alias("stop_count"))
+    feats = complete_grid(cells.select("cell_id", "area_km2"), counts, served)
     feats = feats.select("cell_id", "area_km2", "stop_count", "route_count", "daily_trips")
     if include_density:
         feats = feats.withColumns({

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import point_in_ring, ring_bbox
 from .grid import GridSpec, cell_id_expr
+from .ranking import one_row
 
 
 def _axis_candidate(v: Column, origin: float, step: float) -> Column:
@@ -62,38 +63,44 @@ def locate_in_grid(df: DataFrame, spec: GridSpec, lat: str = "stop_lat", lon: st
     return out.withColumn("cell_id", F.when(F.col("row").isNotNull(), cell_id_expr(F.col("row"), F.col("col"))))
 
 
-def _bin(v: Column, size: float) -> Column:
-    return F.floor(v / F.lit(size)).cast("long")
+def _bin(v: Column, size: Column) -> Column:
+    return F.floor(v / size).cast("long")
 
 
 def points_in_rects(points: DataFrame, rects: DataFrame, bin_size: float,
                     px: str = "x", py: str = "y",
                     xmin: str = "xmin", xmax: str = "xmax", ymin: str = "ymin", ymax: str = "ymax",
-                    residual=None, how: str = "inner") -> DataFrame:
+                    residual=None) -> DataFrame:
     """General point-in-rectangle BIN-JOIN for tables that are not a regular grid.
 
     Each rectangle is replicated to the bins its bbox overlaps
-    (``explode(sequence)``), each point gets exactly one bin, and the join is an
-    equi-join on (bx, by) plus the strict bbox test (or ``residual(points,
-    rects)`` when given). ``bin_size`` should be close to the typical rectangle
-    extent so that replication stays near 1-4 copies.
+    (``explode(sequence)``), and the join is an equi-join on (level, bx, by)
+    plus the strict bbox test (or ``residual(points, rects)`` when given).
+    A rectangle wider than two bins takes bins of twice, four times, ... the
+    size, so that it has at most nine copies whatever its extent; a point gets
+    one bin for every size in use (one row of sizes, one for a table of
+    rectangles of like extent).
     """
-    r = rects.withColumns({
-        "_bx": F.explode(F.sequence(_bin(F.col(xmin), bin_size), _bin(F.col(xmax), bin_size))),
-    }).withColumn("_by", F.explode(F.sequence(_bin(F.col(ymin), bin_size), _bin(F.col(ymax), bin_size))))
-    p = points.withColumns({"_bx": _bin(F.col(px), bin_size), "_by": _bin(F.col(py), bin_size)})
-    cond = [p["_bx"] == r["_bx"], p["_by"] == r["_by"]]
+    extent = F.greatest(F.col(xmax) - F.col(xmin), F.col(ymax) - F.col(ymin))
+    level = F.greatest(F.coalesce(F.ceil(F.log2(extent / (2 * bin_size))), F.lit(0)), F.lit(0)).cast("int")
+    r = rects.withColumn("_level", level)
+    levels = r.agg(F.collect_set("_level").alias("_levels"))
+    size = F.lit(bin_size) * F.pow(F.lit(2.0), F.col("_level"))
+    r = r.withColumn("_bx", F.explode(F.sequence(_bin(F.col(xmin), size), _bin(F.col(xmax), size))))
+    r = r.withColumn("_by", F.explode(F.sequence(_bin(F.col(ymin), size), _bin(F.col(ymax), size))))
+    p = points.crossJoin(one_row(levels)).select(*points.columns, F.explode("_levels").alias("_level"))
+    p = p.withColumns({"_bx": _bin(F.col(px), size), "_by": _bin(F.col(py), size)})
+    keys = ["_level", "_bx", "_by"]
+    cond = [p[k] == r[k] for k in keys]
     if residual is None:
         cond += [p[px] > r[xmin], p[px] < r[xmax], p[py] > r[ymin], p[py] < r[ymax]]
     else:
         cond.append(residual(p, r))
-    joined = p.join(r, cond, how)
-    return joined.drop(p["_bx"]).drop(p["_by"]).drop(r["_bx"]).drop(r["_by"])
+    return p.join(r, cond).drop(*keys)
 
 
 def points_in_polygons(points: DataFrame, polys: DataFrame, bin_size: float,
-                       px: str = "x", py: str = "y", ring: str = "ring",
-                       how: str = "inner") -> DataFrame:
+                       px: str = "x", py: str = "y", ring: str = "ring") -> DataFrame:
     """Point-within-polygon BIN-JOIN (J8): polygon bbox bins, then ray casting."""
     bb = ring_bbox(F.col(ring))
     polys = polys.withColumns({"_xmin": bb["xmin"], "_xmax": bb["xmax"],
@@ -104,5 +111,5 @@ def points_in_polygons(points: DataFrame, polys: DataFrame, bin_size: float,
                 & point_in_ring(p[px], p[py], r[ring]))
 
     out = points_in_rects(points, polys, bin_size, px, py, "_xmin", "_xmax", "_ymin", "_ymax",
-                          residual=residual, how=how)
+                          residual=residual)
     return out.drop("_xmin", "_xmax", "_ymin", "_ymax")

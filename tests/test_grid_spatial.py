@@ -66,6 +66,31 @@ def test_points_in_polygons_sum(spark):
     assert got == {"p": 30, "q": 10}
 
 
+def test_large_polygon_has_few_copies(spark):
+    from cellscope.operators.spatial import points_in_rects
+    rects = spark.createDataFrame([(1, 0.0, 0.0, 1000.0, 1000.0), (2, 0.0, 0.0, 1.0, 1.0), (3, 5.0, 5.0, 5.0, 5.0)],
+                                  "k int, xmin double, ymin double, xmax double, ymax double")
+    pts = spark.createDataFrame([("p", 0.5, 0.5), ("q", 999.0, 3.0), ("r", 1000.0, 3.0), ("s", -1.0, 3.0)], "id string, x double, y double")
+    got = points_in_rects(pts, rects, 1.0)
+    assert sorted((r["id"], r["k"]) for r in got.collect()) == [("p", 1), ("p", 2), ("q", 1)]
+    assert set(got.columns) == {"id", "x", "y", "k", "xmin", "ymin", "xmax", "ymax"}
+
+
+def test_features_read_the_fact_tables_once(spark):
+    from cellscope.operators import feed
+    spec = GridSpec.from_bounds(cell_size_m=500)
+    inside = [spec.lat0 + 0.5 * spec.dlat, spec.lon0 + 0.5 * spec.dlon]
+    stops = spark.createDataFrame([(1, *inside), (2, *inside)], "stop_id long, stop_lat double, stop_lon double")
+    trips = spark.createDataFrame([(10, 5, "WK"), (11, 5, "SU"), (12, 6, "WK")], "trip_id long, route_id long, service_id string")
+    times = spark.createDataFrame([(10, 1), (10, 1), (10, 2), (11, 1), (12, 2)], "trip_id long, stop_id long")
+    days = ", ".join(f"{d} int" for d in ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"))
+    calendar = spark.createDataFrame([("WK", 1, 1, 1, 1, 1, 0, 0), ("SU", 0, 0, 0, 0, 0, 0, 1)], f"service_id string, {days}")
+    found = feed.extract_features(generate_grid(spark, spec), stops, times, trips, calendar, spec)
+    row = found.where("stop_count > 0").collect()
+    assert [(r["stop_count"], r["route_count"], r["daily_trips"]) for r in row] == [(2, 2, 3)]
+    assert found.where("stop_count = 0 and route_count + daily_trips > 0").count() == 0
+
+
 def test_utm_round_trip(spark):
     df = spark.createDataFrame([(-43.95, -19.92)], "lon double, lat double")
     p = df.select(lonlat_to_utm(F.col("lon"), F.col("lat")).alias("p")).select("p.x", "p.y")
