@@ -1,6 +1,6 @@
 """Fuzzy line dedup, in DataFrame functions only: character-shingle MinHash, banding, exact check, union-find.
 
-A line's shingles are the SHINGLE-character windows that begin at its words; a line's signature is the least of its
+A line's shingles are its SHINGLE-character windows at every position; a line's signature is the least of its
 shingle hashes under HASHES masks, computed by exploding the shingles and one hash aggregation. Each band joins ROWS of
 the minima (a minimum serves in two bands); lines with a similarity of 0.75 meet in some band with a probability of
 about 0.9998. In a band's bucket every line is
@@ -9,8 +9,8 @@ are compared with each other, so a large group costs about as many pairs as it h
 the whole shingle sets. Of each component (equal lines included) one line stays, the first by doc_id and line number;
 the other occurrences are taken out of their documents.
 
-Lines shorter than MIN_CHARS characters stay as they are (headings and fragments repeat by chance). Equal lines are
-recognised by a 64-bit hash of the line; lines are what stands between line feeds.
+Lines shorter than MIN_CHARS characters are not shingled: exact copies of those with SHORT_WORDS words or more take
+part, the others stay as they are (headings and fragments repeat by chance). Equal lines are recognised by a 64-bit hash of the line; lines are what stands between line feeds.
 
 Defined cases: null texts stay null with no lines; an empty text is one empty line; a document whose lines all go
 keeps its row with an empty text; rows that share a doc_id share their lines' fate, line number by line number; lines
@@ -26,7 +26,7 @@ from cellscope.llm.common import small, stored
 from cellscope.llm.components import connected_components
 from cellscope.llm.linking import MAP_WORDS, bitmaps, contract, may_link, merged
 
-SHINGLE, MIN_CHARS = 16, 40
+SHINGLE, MIN_CHARS, SHORT_WORDS = 16, 40, 3
 BANDS, ROWS, HASHES = 16, 3, 24
 #: The minima of each band: every minimum in two bands, no two minima together twice.
 BAND_OF = [tuple((3 * b + r) % HASHES if b < BANDS // 2 else (b + 8 * r) % HASHES for r in range(ROWS)) for b in range(BANDS)]
@@ -36,39 +36,50 @@ SIMILARITY = 75
 LEAST_EQUAL = 10
 #: Masks evenly spread over 32 bits: a minimum under a mask is the hash nearest to it.
 MASKS = [((k * (1 << 32) // HASHES + 0x2545F491 * (k + 1)) % (1 << 32)) - (1 << 31) for k in range(HASHES)]
-_PATTERN = rf"(?s)(?=(.{{1,{SHINGLE}}}))[^ \t\x0B\f\r]++[ \t\x0B\f\r]*+"
+#: A match takes one character, so that no window is left out or begins inside a surrogate pair.
+_PATTERN = rf"(?s)(?=(.{{{SHINGLE}}}))."
+_SHORT = rf"(?:[^ \t\x0B\f\r]++[ \t\x0B\f\r]++){{{SHORT_WORDS - 1}}}[^ \t\x0B\f\r]"
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line) of the lines that take part."""
+def _lines(docs: DataFrame, short: bool = False) -> DataFrame:
+    """(doc_id, line_no, line) of the lines that are shingled; with ``short`` also of those that take part as exact copies."""
     every = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return every.where(F.length("line") >= MIN_CHARS)
+    long = F.length("line") >= MIN_CHARS
+    return every.where(long | F.col("line").rlike(_SHORT) if short else long)
 
 
 def _shingles(line) -> F.Column:
     return F.regexp_extract_all(line, F.lit(_PATTERN), F.lit(1))
 
 
+def _hashes(line) -> F.Column:
+    return F.array_distinct(F.transform(_shingles(line), lambda s: F.xxhash64(s)))
+
+
 def _signatures(lines: DataFrame) -> DataFrame:
-    """(id, m0 .. m23, first_doc) of every distinct line that has a shingle."""
+    """(id, m0 .. m23, first_doc) of every distinct line that is shingled."""
     each = lines.select(F.xxhash64("line").alias("id"), "doc_id", F.explode(_shingles("line")).alias("shingle")).select("id", "doc_id", F.hash("shingle").alias("h"))
     return each.groupBy("id").agg(F.min("doc_id").alias("first_doc"), *[F.min(F.col("h").bitwiseXOR(F.lit(m).cast("int"))).alias(f"m{k}") for k, m in enumerate(MASKS)])
 
 
 def _sets(docs: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, set) of the lines named in the stored table ``ids``, read again from one document each."""
+    """(id, line) of the lines named in the stored table ``ids``, read again from one document each.
+
+    The text stands for its shingle set, which is many times as long.
+    """
     ids = small(ids)
     holders = small(stored(signed.join(ids, "id", "left_semi").select(F.col("first_doc").alias("doc_id")).distinct(), "line-holders"))
     held = _lines(docs.join(holders, "doc_id", "left_semi")).withColumn("id", F.xxhash64("line")).join(ids, "id", "left_semi")
-    sets = held.groupBy("id").agg(F.min("line").alias("line")).select("id", F.transform(F.array_distinct(_shingles("line")), lambda s: F.xxhash64(s)).alias("set"))
-    return stored(sets, "line-sets")
+    return stored(held.groupBy("id").agg(F.min("line").alias("line")), "line-sets")
 
 
 def _confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) of lines whose whole shingle sets are similar enough."""
-    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-            .select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("n")))
-    return both.where(100 * F.col("n") >= SIMILARITY * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
+    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("line").alias("la")), "a").join(sets.select(F.col("id").alias("b"), F.col("line").alias("lb")), "b")
+    # bound in lambdas: the sets and their intersection are made once a pair
+    sizes = F.transform(F.array(F.struct(_hashes("la").alias("a"), _hashes("lb").alias("b"))),
+                        lambda p: F.struct((F.size(p["a"]) + F.size(p["b"])).alias("sum"), F.size(F.array_intersect(p["a"], p["b"])).alias("n")))
+    return both.where(F.exists(sizes, lambda p: 100 * p["n"] >= SIMILARITY * (p["sum"] - p["n"]))).select("a", "b")
 
 
 def line_components(docs: DataFrame) -> DataFrame:
@@ -92,7 +103,7 @@ def line_components(docs: DataFrame) -> DataFrame:
     open_bands = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).where("x <> y and k > 3").select("band")
     rest = stored(placed.join(open_bands, "band", "left_semi"), "line-rest")
     ids = stored(rest.select("id").distinct(), "line-rest-ids")
-    about = stored(signed.drop("first_doc").join(ids, "id").join(bitmaps(sets.join(ids, "id", "left_semi")), "id"), "line-about")
+    about = stored(signed.drop("first_doc").join(ids, "id").join(bitmaps(sets.join(ids, "id", "left_semi").select("id", _hashes("line").alias("set"))), "id"), "line-about")
     rest = rest.join(about, "id")
     hashes = [f"m{k}" for k in range(HASHES)]
     kept = ["comp", "no", "n", *hashes, *[f"w{k}" for k in range(MAP_WORDS)]]
@@ -110,7 +121,7 @@ def line_components(docs: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, gone): numbers of the lines of a document that repeat an earlier line of the corpus."""
     found = line_components(docs)
-    placed = _lines(docs).select("doc_id", "line_no", F.xxhash64("line").alias("id"))
+    placed = _lines(docs, short=True).select("doc_id", "line_no", F.xxhash64("line").alias("id"))
     placed = placed.join(found, "id", "left").select("doc_id", "line_no", F.coalesce("component", "id").alias("component"))
     placed = stored(placed, "line-places")
     first = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")

@@ -306,3 +306,27 @@ def test_line_dedup(spark, odd, none):
     got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_kept"]) for r in line_minhash.dedup_lines(df).collect()}
     assert got == {1: (rows[0][1], 3, 3), 2: ("short", 2, 1), 3: ("", 1, 0), 4: (None, 0, 0), 5: ("", 1, 1)}
     assert line_minhash.dedup_lines(odd).count() == len(ODD) and line_minhash.dedup_lines(none).count() == 0
+
+
+def test_line_dedup_windows_at_every_position(spark):
+    rng = random.Random(4)
+    site = "https://www.example.com/"
+    urls = [site + "articles/2024/the-history-of-the-old-mill-and-its-owners.html", site + "about/people-and-offices-in-the-northern-countries.html"]
+    run = "".join(rng.choice("0123456789abcdef") for _ in range(160))
+    han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(80))
+    astral = "".join(chr(rng.randrange(0x20000, 0x20400)) for _ in range(60))
+    lines = [*urls, run, "zz" + run[2:], han, han[1:], han[::-1], astral, astral[2:], "see also the index", "see also the index", "see also", "see also"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+
+    def windows(s):
+        return {s[i:i + line_minhash.SHINGLE] for i in range(len(s) - line_minhash.SHINGLE + 1)}
+
+    def alike(a, b):
+        if min(len(a), len(b)) < line_minhash.MIN_CHARS:
+            return a == b and len(a.split()) >= line_minhash.SHORT_WORDS
+        x, y = windows(a), windows(b)
+        return 100 * len(x & y) >= line_minhash.SIMILARITY * len(x | y)
+
+    gone = {j for j in range(len(lines)) for i in range(j) if alike(lines[i], lines[j])}
+    assert gone == {3, 5, 8, 10}
+    assert {r["doc_id"] for r in line_minhash.dedup_lines(docs).where("n_kept = 0").collect()} == gone
