@@ -1,12 +1,13 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes, distance-weighted votes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index, distance-weighted votes.
 
-Terms are words and word beginnings of 4 to 6 bytes (so that inflected forms meet); the terms that tell the labels
-apart most clearly (G2 statistic over the labelled examples) are the vector space. Document frequencies for the
-weights are counted over all documents. The labelled examples are a bounded sample, EXAMPLES of each label picked by
-a hash of the id; their index is small and goes to every task. A query walks the index's blocks in the order of their
-upper bounds (the sum over its terms of the block's greatest weight) and stops when no block can reach the k-th
-similarity, so the neighbours are exact. Votes are weighted by similarity and by how many labelled rows an example
-stands for; isotonic regression on leave-one-out votes turns them into probabilities.
+Terms are words and word beginnings of 4 to 6 bytes (so that inflected forms meet). The labelled examples are a bounded
+sample, EXAMPLES of each label picked by a hash of the id; every term of theirs is in the vector space, and document
+frequencies for the weights are counted over all documents. A term's weight grows with its evidence on the labels (G2
+statistic over the examples), so that words of the topic do not outweigh those that tell the labels apart; no term's
+weight is zero. The index is bounded by the sample and goes to every task.
+Every example is scored, so the neighbours are exact: terms that many examples hold by a matrix product over some
+queries at once, the others by their posting lists. Votes are weighted by similarity and by how many labelled rows an
+example stands for; isotonic regression on leave-one-out votes turns them into probabilities.
 
 Defined cases: null and empty texts, and texts without any term, get the rate of the label among examples without
 terms; a null label teaches nothing; a document labelled more than once counts as toxic if one label says so; rows
@@ -16,6 +17,7 @@ every score is that label's rate (0 without labels); ties in similarity go to th
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 
@@ -28,11 +30,10 @@ from cellscope.llm.common import fold, pieces, stored
 
 #: Labels are learned from rows whose fold is not HELD_OUT.
 FOLDS, HELD_OUT = 5, 0
-#: Labelled examples of each label, terms of the vector space, neighbours, examples in an index block.
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 4096, 1024, 15, 32
-#: A term needs this much evidence, this many examples, and this share of either label's examples (one group of near
-#: copies brings many rare words that tell nothing).
-LEAST_G2, LEAST_EXAMPLES, LEAST_SHARE = 30.0, 4, 0.015
+#: Labelled examples of each label, neighbours, queries scored at once.
+EXAMPLES, NEIGHBOURS, QUERIES = 4096, 15, 64
+#: A term held by this share of the examples or more is scored by the matrix product.
+COMMON_SHARE = 1 / 32
 #: Neighbours far away say little: votes are added to this many votes of the overall rate.
 PRIOR_VOTES = 2.0
 STEMS = (4, 5, 6)
@@ -77,58 +78,86 @@ class Vectors:
 
 
 class Index:
-    """Block-max inverted index over unit vectors of the examples that have terms."""
+    """Inverted index over unit vectors of the examples that have terms."""
 
-    def __init__(self, rows: list[tuple[dict[int, int], int]], idf: np.ndarray, weight: dict[int, float], ids: list):
-        rows = [(c, y, i) for (c, y), i in zip(rows, ids)]
-        empty = Counter(y for c, y, _ in rows if not c)
-        self.base = _rate(empty, weight, Counter(y for _, y, _ in rows))
+    def __init__(self, rows: list[tuple], idf: np.ndarray, weight: dict[int, float], ids: list):
+        """``rows``: (counts, label) for each of ``ids``, the counts as a dict or as arrays (terms, counts)."""
+        rows = [(*_arrays(c), y, i) for (c, y), i in zip(rows, ids)]
+        empty = Counter(y for t, _, y, _ in rows if not len(t))
+        self.base = _rate(empty, weight, Counter(r[2] for r in rows))
         self.idf = idf
-        rows = [(self.vector(c), y, i) for c, y, i in rows if c]
-        # like vectors stand together, so that a block's greatest weights are telling
-        rows.sort(key=lambda r: sorted(((-w, t) for t, w in r[0].items()))[:3])
-        self.labels = np.array([r[1] for r in rows], np.int64)
-        self.ids = [r[2] for r in rows]
+        rows = [r for r in rows if len(r[0])]
+        self.labels = np.array([r[2] for r in rows], np.int64)
+        self.ids = [r[3] for r in rows]
         self.weights = np.array([weight[y] for y in self.labels.tolist()]) if rows else np.empty(0)
-        self.blocks = -(-len(rows) // BLOCK)
-        postings: dict[int, list[tuple[int, float]]] = {}
-        for r, (v, _, _) in enumerate(rows):
-            for t, w in v.items():
-                postings.setdefault(t, []).append((r, w))
-        self.upper = np.zeros((len(idf), self.blocks), np.float32)
-        self.dense = np.zeros((self.blocks, len(idf), BLOCK), np.float32) if self.blocks else None
-        for t, places in postings.items():
-            for r, w in places:
-                b = r // BLOCK
-                self.upper[t, b] = max(self.upper[t, b], w)
-                self.dense[b, t, r % BLOCK] = w
-        self.rows = rows
+        terms = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.int32)
+        unit = np.concatenate([self.unit(t, n) for t, n, _, _ in rows]) if rows else np.empty(0, np.float32)
+        place = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
+        order = np.argsort(terms, kind="stable")
+        self.place, self.unit_weights = place[order], unit[order]
+        held = np.bincount(terms, minlength=len(idf))
+        self.starts = np.concatenate([[0], np.cumsum(held)])
+        self.common = np.flatnonzero(held >= max(2, COMMON_SHARE * len(rows)))
+        self._dense = None
         self.points: tuple[np.ndarray, np.ndarray] | None = None
         self._calibrate(weight)
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_dense": None}
+
+    @property
+    def rows(self) -> list[tuple[dict[int, float], int, object]]:
+        """(vector, label, id) of the examples."""
+        vectors: list[dict[int, float]] = [{} for _ in self.ids]
+        for t in range(len(self.idf)):
+            for k in range(self.starts[t], self.starts[t + 1]):
+                vectors[self.place[k]][t] = float(self.unit_weights[k])
+        return list(zip(vectors, self.labels.tolist(), self.ids))
+
+    def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(counts)) * self.idf[terms]
+        return (w / (math.sqrt(float(w @ w)) or 1.0)).astype(np.float32)
+
     def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + math.log(n)) * float(self.idf[t]) for t, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in v.values())) or 1.0
-        return {t: w / norm for t, w in v.items()}
+        terms, n = _arrays(counts)
+        return dict(zip(terms.tolist(), self.unit(terms, n).tolist()))
+
+    def similarities(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Cosine of each query (terms, unit weights) with every example."""
+        if self._dense is None:
+            self.column = np.full(len(self.idf), -1)
+            self.column[self.common] = np.arange(len(self.common))
+            self._dense = np.zeros((len(self.common), len(self.ids)), np.float32)
+            for c, t in enumerate(self.common.tolist()):
+                at = slice(self.starts[t], self.starts[t + 1])
+                self._dense[c, self.place[at]] = self.unit_weights[at]
+        q = np.zeros((len(queries), len(self.common)), np.float32)
+        for row, (terms, w) in zip(q, queries):
+            c = self.column[terms]
+            row[c[c >= 0]] = w[c >= 0]
+        out = q @ self._dense
+        for row, (terms, w) in zip(out, queries):
+            rare = self.column[terms] < 0
+            first, n = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
+            at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+            row += np.bincount(self.place[at], self.unit_weights[at] * np.repeat(w[rare], n), minlength=len(row))
+        return out
+
+    def _best(self, similarity: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
+        if without >= 0:
+            similarity[without] = 0
+        places = np.flatnonzero(similarity > 0)
+        if len(places) > k:
+            least = np.partition(similarity, len(similarity) - k)[-k]
+            places = np.flatnonzero(similarity >= least)
+        return sorted(((float(similarity[p]), p) for p in places.tolist()), key=lambda x: (-x[0], x[1]))[:k]
 
     def nearest(self, v: dict[int, float], k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
         """The k most similar examples, exactly: (similarity, place), most similar first."""
-        if not self.blocks or not v:
+        if not self.ids or not v:
             return []
-        terms = np.fromiter(v, np.int64, len(v))
-        query = np.fromiter(v.values(), np.float32, len(v))
-        bound = query @ self.upper[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(best) >= k and bound[b] < best[-1][0] - 1e-6):
-                break
-            scores = query @ self.dense[b][terms]
-            for r in np.flatnonzero(scores > (best[-1][0] if len(best) >= k else 0)).tolist():
-                if b * BLOCK + r != without:
-                    best.append((float(scores[r]), b * BLOCK + r))
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[k:]
-        return best
+        query = np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), np.float32, len(v))
+        return self._best(self.similarities([query])[0], k, without)
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Share of the votes for toxic; a vote counts its similarity over its distance and the rows it stands for."""
@@ -142,7 +171,14 @@ class Index:
         """Isotonic fit of label on the leave-one-out vote (pool adjacent violators), lightly smoothed towards the rate."""
         if not len(self.labels):
             return
-        votes = np.array([self.vote(self.nearest(v, without=r)) for r, (v, _, _) in enumerate(self.rows)])
+        terms = np.repeat(np.arange(len(self.idf)), np.diff(self.starts))
+        order = np.argsort(self.place, kind="stable")
+        ends = np.cumsum(np.bincount(self.place, minlength=len(self.ids)))
+        vectors = list(zip(np.split(terms[order], ends[:-1]), np.split(self.unit_weights[order], ends[:-1])))
+        votes = []
+        for at in range(0, len(vectors), QUERIES):
+            votes += [self.vote(self._best(row, NEIGHBOURS, at + r)) for r, row in enumerate(self.similarities(vectors[at:at + QUERIES]))]
+        votes = np.array(votes)
         order = np.argsort(votes, kind="stable")
         pools: list[list[float]] = []
         for x, y, w in zip(votes[order], self.labels[order], self.weights[order]):
@@ -167,8 +203,19 @@ class Index:
             ys += [p, p]
         self.points = np.array(xs), np.array(ys)
 
-    def score(self, counts: dict[int, int]) -> tuple[float, list[tuple[float, int]]]:
-        found = self.nearest(self.vector(counts)) if counts else []
+    def scores(self, counts: list[dict[int, int]]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(probability, neighbours) for the term counts of some texts."""
+        out = []
+        for at in range(0, len(counts), QUERIES):
+            arrays = [_arrays(c) for c in counts[at:at + QUERIES]]
+            if not self.ids:
+                out += [(self.base, [])] * len(arrays)
+                continue
+            queries = [(t, self.unit(t, n)) for t, n in arrays]
+            out += [self._probability(self._best(row, NEIGHBOURS)) for row in self.similarities(queries)]
+        return out
+
+    def _probability(self, found: list[tuple[float, int]]) -> tuple[float, list[tuple[float, int]]]:
         if not found:
             return self.base, []
         raw = self.vote(found)
@@ -176,6 +223,12 @@ class Index:
         return min(1.0, max(0.0, 0.99 * p + 0.01 * raw)), found
 
 
+def _arrays(counts) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(counts, dict):
+        return np.fromiter(counts, np.int64, len(counts)), np.fromiter(counts.values(), np.float64, len(counts))
+    return counts
+
+
 def _rate(count: Counter, weight: dict[int, float], every: Counter) -> float:
     """Weighted share of label 1 among the examples in ``count``; of all examples when there are none."""
     count = count if sum(count.values()) else every
@@ -194,30 +247,29 @@ def sample_labels(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
 
 def _example_terms(batches):
     for batch in batches:
-        label, term = [], []
-        for y, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-            terms = {x for w in word_counts(t.as_py()) for x in terms_of(w)}
-            term += terms
-            label += [y] * len(terms)
-        yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(term, pa.binary())], names=["toxic", "term"])
+        terms = {x for t in batch.column(0) for w in word_counts(t.as_py()) for x in terms_of(w)}
+        yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.binary())], names=["term"])
 
 
 def choose_terms(examples: DataFrame, n: dict[int, int]) -> list[bytes]:
-    """Terms by their G2 statistic on the labels, at most TERMS."""
-    n1, n0 = n.get(1, 0), n.get(0, 0)
-    if not n1 or not n0:
+    """Every term of the examples; none when a label is missing."""
+    if not n.get(1) or not n.get(0):
         return []
-    seen = examples.select("toxic", "text").mapInArrow(_example_terms, "toxic int, term binary").groupBy("term").agg(
-        F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")).where((F.col("a") + F.col("b") >= LEAST_EXAMPLES) & ((F.col("a") >= LEAST_SHARE * n1) | (F.col("b") >= LEAST_SHARE * n0)))
-    every = float(n1 + n0)
-    df = F.col("a") + F.col("b")
+    found = examples.select("text").mapInArrow(_example_terms, "term binary").distinct().toArrow()
+    return sorted(found.column("term").to_pylist())
+
+
+def evidence(terms: list[np.ndarray], labels: list[int], size: int) -> np.ndarray:
+    """G2 statistic of each of ``size`` terms on the labels of the examples."""
+    a, b = (np.bincount(np.concatenate([np.empty(0, np.int64), *(t for t, x in zip(terms, labels) if x == y)]), minlength=size).astype(float) for y in (1, 0))
+    n1, n0 = float(sum(labels)), float(len(labels) - sum(labels))
+    every, df = n1 + n0, a + b
 
     def part(observed, expected):
-        return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(F.lit(0.0))
+        return np.where(observed > 0, observed * np.log(np.maximum(observed, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
 
-    g2 = 2 * (part(F.col("a"), df * n1 / every) + part(F.col("b"), df * n0 / every) + part(n1 - F.col("a"), (every - df) * n1 / every) + part(n0 - F.col("b"), (every - df) * n0 / every))
-    best = seen.withColumn("g2", g2).where(F.col("g2") >= LEAST_G2).orderBy(F.col("g2").desc(), "term").limit(TERMS)
-    return [bytes(r["term"]) for r in best.select("term").collect()]
+    g2 = 2 * (part(a, df * n1 / every) + part(b, df * n0 / every) + part(n1 - a, (every - df) * n1 / every) + part(n0 - b, (every - df) * n0 / every))
+    return np.maximum(g2, 0.0)
 
 
 def _frequencies(vocabulary: list[bytes]):
@@ -228,7 +280,8 @@ def _frequencies(vocabulary: list[bytes]):
                 found = list(vectors(t.as_py()))
                 df[found] += 1
                 n += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(df)), -1), pa.int32()), pa.array(np.append(df, n), pa.int64())], names=["term", "n"])
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1), pa.int32()), pa.array(np.append(df[held], n), pa.int64())], names=["term", "n"])
 
     return run
 
@@ -250,34 +303,42 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], Index]:
     examples = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "tox-examples")
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
     vocabulary = choose_terms(examples, n)
-    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors(vocabulary), "doc_id long, toxic int, terms array<int>, counts array<long>").orderBy("doc_id").collect()
+    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors(vocabulary), "doc_id long, toxic int, terms array<int>, counts array<long>").orderBy("doc_id").toArrow()
     if vocabulary:
         counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-        df = {r["term"]: r["n"] for r in counted.collect()}
+        df = dict(zip(*(c.to_pylist() for c in counted.toArrow().columns)))
     else:
         df = {}
     total = max(1, df.get(-1, 1))
     idf = np.array([math.log((total + 1) / (df.get(t, 0) + 1)) + 1 for t in range(len(vocabulary))])
-    return vocabulary, Index([(dict(zip(r["terms"], r["counts"])), r["toxic"]) for r in rows], idf, {y: weight.get(y, 1.0) for y in (0, 1)}, [r["doc_id"] for r in rows])
+    vectors = [(t.values.to_numpy().astype(np.int64), c.values.to_numpy().astype(np.float64)) for t, c in zip(rows.column("terms"), rows.column("counts"))]
+    labelled = rows.column("toxic").to_pylist()
+    if vocabulary:
+        idf = idf * np.sqrt(1 + evidence([t for t, _ in vectors], labelled, len(idf)))
+    return vocabulary, Index(list(zip(vectors, labelled)), idf, {y: weight.get(y, 1.0) for y in (0, 1)}, rows.column("doc_id").to_pylist())
+
+
+def _scores(vectors: Vectors, index: Index, texts: pa.Array, known: dict):
+    """(probability, evidence) of each text; a text that was scored before is not scored again."""
+    for at in range(0, len(texts), QUERIES):
+        part = [t.as_py() for t in texts.slice(at, QUERIES)]
+        keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in part]
+        new = {k: t for k, t in zip(keys, part) if k not in known}
+        fresh = {}
+        for k, (p, found) in zip(new, index.scores([vectors(t) for t in new.values()])):
+            fresh[k] = p, ",".join(f"{index.ids[r]}:{s:.4f}:{index.labels[r]}" for s, r in found[:5])
+        for k in keys:
+            yield fresh[k] if k in fresh else known[k]
+        if len(known) < 20_000:
+            known.update(fresh)
 
 
 def _score(vocabulary: list[bytes], index: Index):
     def run(batches):
         vectors, known = Vectors(vocabulary), {}
         for batch in batches:
-            scores, evidence = [], []
-            for t in batch.column(1):
-                counts = vectors(t.as_py())
-                key = tuple(sorted(counts.items()))
-                hit = known.get(key)
-                if hit is None:
-                    p, found = index.score(counts)
-                    hit = (p, ",".join(f"{index.ids[r]}:{s:.4f}:{index.labels[r]}" for s, r in found[:5]))
-                    if len(known) < 20_000:
-                        known[key] = hit
-                scores.append(hit[0])
-                evidence.append(hit[1])
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(scores, pa.float64()), pa.array(evidence, pa.string())], names=["doc_id", "score", "evidence"])
+            scored = list(_scores(vectors, index, batch.column(1), known))
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([p for p, _ in scored], pa.float64()), pa.array([e for _, e in scored], pa.string())], names=["doc_id", "score", "evidence"])
 
     return run
 
@@ -291,9 +352,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _accept(vocabulary: list[bytes], index: Index, at: int):
     def run(batches):
-        vectors = Vectors(vocabulary)
+        vectors, known = Vectors(vocabulary), {}
         for batch in batches:
-            keep = [index.score(vectors(t.as_py()))[0] < 0.5 for t in batch.column(at)]
+            keep = [p < 0.5 for p, _ in _scores(vectors, index, batch.column(at), known)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run

@@ -330,3 +330,13 @@ def test_line_dedup_windows_at_every_position(spark):
     gone = {j for j in range(len(lines)) for i in range(j) if alike(lines[i], lines[j])}
     assert gone == {3, 5, 8, 10}
     assert {r["doc_id"] for r in line_minhash.dedup_lines(docs).where("n_kept = 0").collect()} == gone
+
+
+def test_toxicity_of_rare_words(spark):
+    rows = [(k, f"calm weather over the harbour of town {k % 7} today") for k in range(400)]
+    rows += [(1000 + k, f"vile insult number {k % 9} shouted at people") for k in range(400)]
+    rows += [(2000 + k, "qorvat mezhul drasni pelgor") for k in range(6)]  # 6 of 406 toxic examples
+    labels = [(i, int(i >= 1000)) for i, _ in rows]
+    found = toxicity_knn.score_toxicity(spark.createDataFrame([*rows, (9000, "qorvat mezhul drasni pelgor")], "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    row = found.where("doc_id = 9000").first()
+    assert row["score"] > 0.5 and row["evidence"].split(",")[0].split(":")[1:] == ["1.0000", "1"]
