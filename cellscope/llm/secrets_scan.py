@@ -1,8 +1,10 @@
 """Secret scan: pattern rules plus a token-efficiency test for random strings.
 
 A run of token characters that a public byte-pair vocabulary can only spell with very few characters per token is
-a random string: words, names and paths are in the vocabulary, key material is not. Known digests and identifiers
-(hex of a digest's length, UUIDs, numbers) are left out of that test; the pattern rules still report them.
+a random string: words, names and paths are in the vocabulary, key material is not. Every run is measured whole and, if
+it passes, by its parts between separators, so that words around a key do not hide it; next to a span of the pattern
+rules, what lies outside that span is measured. Known digests (hex of a digest's length), UUIDs and numbers are left out
+of that test; the pattern rules still report them.
 
 Defined cases: a null or empty text has no spans; a null id, repeated rows and extra columns pass through as they
 are; offsets are code points with the end exclusive; a text of any length is scanned whole.
@@ -26,6 +28,8 @@ KINDS = ("assign", "access", "hex", "random")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.I)
+#: Separators by which a run is parted, one after the other, and the length from which a part is measured.
+SEPARATORS, LEAST_PART = (re.compile(r"[^/]+"), re.compile(r"[^+/_-]+")), 16
 #: The longest piece given to the tokenizer at once; a longer run is measured piece by piece.
 PIECE = 512
 
@@ -41,20 +45,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def looks_mixed(run: str) -> bool:
-    """Letters together with digits, or upper and lower case changing inside the run."""
-    digits = sum(c.isdigit() for c in run)
-    upper = sum(c.isupper() for c in run)
-    lower = sum(c.islower() for c in run)
-    return (digits >= 2 and upper + lower >= 2) or (upper >= 4 and lower >= 4)
-
-
 def known(run: str) -> bool:
-    """Digests, UUIDs and identifiers: parts that are each one plain word or one number."""
+    """Digests, UUIDs, and numbers or rules without a letter."""
     core = run.rstrip("=")
-    if DIGEST.fullmatch(core) or UUID.fullmatch(core):
-        return True
-    return all(re.fullmatch(r"[A-Z]?[a-z]*|[A-Z]*|[0-9]*|[A-Za-z]{1,5}[0-9]{1,4}", part) for part in re.split(r"[+/_-]", core))
+    return bool(DIGEST.fullmatch(core) or UUID.fullmatch(core)) or not any(c.isalpha() for c in core)
 
 
 class TokenRatio:
@@ -72,17 +66,41 @@ class TokenRatio:
         return len(run) / max(1, tokens)
 
 
+def outside(start: int, end: int, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of what the spans of ``base`` (sorted) leave of a run."""
+    left = []
+    for s, _, e in base:
+        if s < end and start < e:
+            left.append((start, s))
+            start = e
+    return [(s, e) for s, e in [*left, (start, end)] if e - s >= LEAST_PART]
+
+
 def random_spans(text: str, ratio, max_ratio: float, base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int]], float]:
-    """Spans of random runs that no pattern span overlaps, and the lowest ratio seen (0 if no run was measured)."""
+    """Spans of random runs, or random parts of runs, outside the pattern spans, and the lowest ratio seen (0 if no run was measured)."""
     found, lowest = [], 0.0
-    for m in RUN.finditer(text):
-        run = m[0]
-        if not looks_mixed(run) or known(run) or any(s < m.end() and m.start() < e for s, _, e in base):
-            continue
+
+    def measure(start: int, end: int, level: int) -> None:
+        nonlocal lowest
+        run = text[start:end]
+        if known(run):
+            return
         r = ratio(run)
         lowest = r if not lowest else min(lowest, r)
         if r <= max_ratio:
-            found.append((m.start(), 3, m.end()))
+            found.append((start, 3, end))
+            return
+        for level in range(level, len(SEPARATORS)):
+            parts = [(start + m.start(), start + m.end()) for m in SEPARATORS[level].finditer(run)]
+            if parts != [(start, end)]:
+                for s, e in parts:
+                    if e - s >= LEAST_PART:
+                        measure(s, e, level + 1)
+                return
+
+    for m in RUN.finditer(text):
+        for s, e in outside(m.start(), m.end(), base):
+            measure(s, e, 0)
     return found, lowest
 
 

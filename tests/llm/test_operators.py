@@ -340,3 +340,16 @@ def test_toxicity_of_rare_words(spark):
     found = toxicity_knn.score_toxicity(spark.createDataFrame([*rows, (9000, "qorvat mezhul drasni pelgor")], "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
     row = found.where("doc_id = 9000").first()
     assert row["score"] > 0.5 and row["evidence"].split(",")[0].split(":")[1:] == ["1.0000", "1"]
+
+
+def test_secret_runs_are_all_measured(spark):
+    lower, key, upper = "qzxvkjwpfhgtbnmlrcsd", "Zx9qW3rT7yU1iO5pLk2", "QZXVKJWPFHGTBNMLRCSD"
+    path = "documentation/international/administration/information/government/"
+    texts = [lower, upper, path + key, path + lower, "AKIA" + "A1B2" * 5 + "-" + lower, path, "internationalization-administration",
+             "d41d8cd98f00b204E9800998ecf8427e", "123e4567-e89b-12d3-a456-426614174000", "2024-01-02/10-20-30-4567", "-" * 60]
+    found = secrets_scan.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {r["doc_id"]: [x for x in r["spans"].split(",") if x.startswith("random")] for r in found}
+    n = len(path)
+    assert spans[0] == spans[1] == ["random:0:20"] and spans[2] == [f"random:{n}:{n + len(key)}"] and spans[3] == [f"random:{n}:{n + len(lower)}"]
+    assert len(spans[4]) == 1 and spans[4][0].endswith(":45")
+    assert not any(spans[k] for k in range(5, len(texts)))
