@@ -1,28 +1,35 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index, distance-weighted votes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
-Terms are words and word beginnings of 4 to 6 bytes (so that inflected forms meet). The labelled examples are a bounded
-sample, EXAMPLES of each label picked by a hash of the id; every term of theirs is in the vector space, and document
-frequencies for the weights are counted over all documents. A term's weight grows with its evidence on the labels (G2
-statistic over the examples), so that words of the topic do not outweigh those that tell the labels apart; no term's
-weight is zero. The index is bounded by the sample and goes to every task.
-Every example is scored, so the neighbours are exact: terms that many examples hold by a matrix product over some
-queries at once, the others by their posting lists. Votes are weighted by similarity and by how many labelled rows an
-example stands for; isotonic regression on leave-one-out votes turns them into probabilities.
+Terms are words and word beginnings of 4 to 6 bytes (so that inflected forms meet), told apart by 64-bit hashes. The
+labelled examples are a bounded sample, EXAMPLES of each label picked by a hash of the id; every term of theirs is in the
+vector space, and document frequencies for the weights are counted over all documents. A term's weight grows with its
+evidence on the labels (G2 statistic over the examples), so that words of the topic do not outweigh those that tell the
+labels apart; no term's weight is zero. The index is arrays only, bounded by the sample, and goes to the workers as one broadcast
+variable; neither terms nor vectors become Python objects on the driver.
+
+Examples stand in blocks, ordered by label and heaviest term. Terms that few examples hold are added up from their posting
+lists; for the others a block holds each term's greatest weight, which bounds the cosine of every example in the block. A query
+takes its most promising blocks first, and afterwards only blocks whose bound reaches its least neighbour so far, so the neighbours
+are exact. Votes are weighted by similarity and by how many labelled rows an example stands for; isotonic regression on
+leave-one-out votes, which are cast in tasks over the examples, turns them into probabilities.
 
 Defined cases: null and empty texts, and texts without any term, get the rate of the label among examples without
 terms; a null label teaches nothing; a document labelled more than once counts as toxic if one label says so; rows
 with a null id are scored and never teach; repeated rows are scored alike; without labels, or with one label only,
-every score is that label's rate (0 without labels); ties in similarity go to the earlier example.
+every score is that label's rate (0 without labels); ties in similarity go to the example that is earlier in the index.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +39,10 @@ from cellscope.llm.common import fold, pieces, stored
 FOLDS, HELD_OUT = 5, 0
 #: Labelled examples of each label, neighbours, queries scored at once.
 EXAMPLES, NEIGHBOURS, QUERIES = 4096, 15, 64
-#: A term held by this share of the examples or more is scored by the matrix product.
+#: A term held by this share of the examples or more has block maxima in place of a posting list.
 COMMON_SHARE = 1 / 32
+#: Examples of a block, and blocks a query takes before it has a least neighbour.
+BLOCK, FIRST_BLOCKS = 64, 2
 #: Neighbours far away say little: votes are added to this many votes of the overall rate.
 PRIOR_VOTES = 2.0
 STEMS = (4, 5, 6)
@@ -49,36 +58,66 @@ def word_counts(text: str | None) -> Counter:
     return count
 
 
-def terms_of(word: bytes) -> list[bytes]:
-    """The word and its beginnings; a beginning is marked with an asterisk, which no word holds."""
-    return [word, *(word[:n] + b"*" for n in STEMS if len(word) > n)]
-
+class Terms:
+    """Hashed term counts of texts, over a sorted array of term hashes (all terms when there is none).
 
-class Vectors:
-    """Term counts of a text over a chosen vocabulary."""
+    A word's beginnings are marked with an asterisk, which no word holds.
+    """
 
     REMEMBER = 150_000
 
-    def __init__(self, vocabulary: list[bytes]):
-        self.place = {t: i for i, t in enumerate(vocabulary)}
-        self.known: dict[bytes, tuple] = {}
-
-    def __call__(self, text: str | None) -> Counter:
-        out: Counter = Counter()
-        known, place = self.known, self.place
-        if len(known) > self.REMEMBER:
-            known.clear()
-        for w, n in word_counts(text).items():
-            hit = known.get(w)
-            if hit is None:
-                hit = known[w] = tuple(place[t] for t in terms_of(w) if t in place)
-            for t in hit:
-                out[t] += n
-        return out
+    def __init__(self, hashes: np.ndarray | None = None):
+        self.hashes, self.known = hashes, {}
+        self.table = np.empty((self.REMEMBER, 1 + len(STEMS)), np.int64 if hashes is None else np.int32)
+        self.held = np.empty((self.REMEMBER, 1 + len(STEMS)), bool)
+
+    def _learn(self, new: list[bytes]) -> None:
+        at = len(self.known)
+        digest = np.zeros((len(new), 1 + len(STEMS)), np.uint64)
+        held = np.zeros(digest.shape, bool)
+        for column, n in enumerate((None, *STEMS)):
+            rows = [k for k, w in enumerate(new) if n is None or len(w) > n]
+            digest[rows, column] = np.fromiter((xxhash.xxh3_64_intdigest(new[k] if n is None else new[k][:n] + b"*") for k in rows), np.uint64, len(rows))
+            held[rows, column] = True
+        if self.hashes is None:
+            place = digest.view(np.int64)
+        elif len(self.hashes):
+            place = np.minimum(np.searchsorted(self.hashes, digest), len(self.hashes) - 1)
+            held &= self.hashes[place] == digest
+        else:
+            place, held = np.zeros(digest.shape, np.int64), np.zeros(digest.shape, bool)
+        self.table[at:at + len(new)], self.held[at:at + len(new)] = place, held
+        self.known.update(zip(new, range(at, at + len(new))))
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, term, count), by text and term; terms are places in the hashes, or the hashes as signed numbers."""
+        counts = [word_counts(t) for t in texts]
+        words = dict.fromkeys(itertools.chain.from_iterable(counts))
+        if len(self.known) + len(words) > self.REMEMBER:
+            self.known.clear()
+            if len(words) > self.REMEMBER:  # very long texts
+                self.table, self.held = (np.empty((len(words), a.shape[1]), a.dtype) for a in (self.table, self.held))
+        self._learn([w for w in words if w not in self.known])
+        total = sum(map(len, counts))
+        row = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(counts)), np.int64, total)
+        n = np.fromiter(itertools.chain.from_iterable(c.values() for c in counts), np.int64, total)
+        text = np.repeat(np.arange(len(texts)), [len(c) for c in counts])
+        held = self.held[row]
+        term, text, n = self.table[row][held].astype(np.int64), np.repeat(text, held.sum(1)), np.repeat(n, held.sum(1))
+        order = np.lexsort((term, text))
+        term, text, n = term[order], text[order], n[order]
+        first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (text[1:] != text[:-1]))) if len(term) else np.empty(0, np.int64)
+        return text[first], term[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _split(text: np.ndarray, texts: int, *arrays: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """The parts of ``arrays`` that belong to each text."""
+    ends = np.searchsorted(text, np.arange(1, texts))
+    return list(zip(*(np.split(a, ends) for a in arrays))) if texts else []
 
 
 class Index:
-    """Inverted index over unit vectors of the examples that have terms."""
+    """Inverted index over unit vectors of the examples that have terms, with maxima for blocks of examples."""
 
     def __init__(self, rows: list[tuple], idf: np.ndarray, weight: dict[int, float], ids: list):
         """``rows``: (counts, label) for each of ``ids``, the counts as a dict or as arrays (terms, counts)."""
@@ -86,12 +125,13 @@ class Index:
         empty = Counter(y for t, _, y, _ in rows if not len(t))
         self.base = _rate(empty, weight, Counter(r[2] for r in rows))
         self.idf = idf
-        rows = [r for r in rows if len(r[0])]
+        rows = [(t, self.unit(t, n), y, i) for t, n, y, i in rows if len(t)]
+        rows.sort(key=lambda r: (r[2], int(r[0][int(np.argmax(r[1]))])))
         self.labels = np.array([r[2] for r in rows], np.int64)
         self.ids = [r[3] for r in rows]
         self.weights = np.array([weight[y] for y in self.labels.tolist()]) if rows else np.empty(0)
-        terms = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.int32)
-        unit = np.concatenate([self.unit(t, n) for t, n, _, _ in rows]) if rows else np.empty(0, np.float32)
+        terms = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.int64)
+        unit = np.concatenate([r[1] for r in rows]) if rows else np.empty(0, np.float32)
         place = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
         order = np.argsort(terms, kind="stable")
         self.place, self.unit_weights = place[order], unit[order]
@@ -100,10 +140,9 @@ class Index:
         self.common = np.flatnonzero(held >= max(2, COMMON_SHARE * len(rows)))
         self._dense = None
         self.points: tuple[np.ndarray, np.ndarray] | None = None
-        self._calibrate(weight)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_dense": None}
+        return self.__dict__ | {"_dense": None, "_most": None, "_column": None}
 
     @property
     def rows(self) -> list[tuple[dict[int, float], int, object]]:
@@ -122,42 +161,63 @@ class Index:
         terms, n = _arrays(counts)
         return dict(zip(terms.tolist(), self.unit(terms, n).tolist()))
 
-    def similarities(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Cosine of each query (terms, unit weights) with every example."""
+    def _open(self) -> None:
+        """The common terms' weights by example (whole blocks), and the greatest of each block."""
+        blocks = -(-len(self.ids) // BLOCK)
+        self._column = np.full(len(self.idf), -1)
+        self._column[self.common] = np.arange(len(self.common))
+        self._dense = np.zeros((len(self.common), blocks * BLOCK), np.float32)
+        for c, t in enumerate(self.common.tolist()):
+            at = slice(self.starts[t], self.starts[t + 1])
+            self._dense[c, self.place[at]] = self.unit_weights[at]
+        self._most = self._dense.reshape(len(self.common), blocks, BLOCK).max(2) if blocks else self._dense
+        self._dense = np.ascontiguousarray(self._dense.reshape(len(self.common), blocks, BLOCK).transpose(1, 0, 2))
+
+    def best(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """The k most similar examples of each query (terms, unit weights), exactly: (similarity, place), most similar first."""
+        if not self.ids:
+            return [[] for _ in queries]
         if self._dense is None:
-            self.column = np.full(len(self.idf), -1)
-            self.column[self.common] = np.arange(len(self.common))
-            self._dense = np.zeros((len(self.common), len(self.ids)), np.float32)
-            for c, t in enumerate(self.common.tolist()):
-                at = slice(self.starts[t], self.starts[t + 1])
-                self._dense[c, self.place[at]] = self.unit_weights[at]
+            self._open()
+        blocks, width = len(self._dense), len(self._dense) * BLOCK
         q = np.zeros((len(queries), len(self.common)), np.float32)
-        for row, (terms, w) in zip(q, queries):
-            c = self.column[terms]
+        partial = np.zeros((len(queries), width), np.float32)
+        for row, sums, (terms, w) in zip(q, partial, queries):
+            c = self._column[terms]
             row[c[c >= 0]] = w[c >= 0]
-        out = q @ self._dense
-        for row, (terms, w) in zip(out, queries):
-            rare = self.column[terms] < 0
-            first, n = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
+            first, n = self.starts[terms[c < 0]], self.starts[terms[c < 0] + 1] - self.starts[terms[c < 0]]
             at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
-            row += np.bincount(self.place[at], self.unit_weights[at] * np.repeat(w[rare], n), minlength=len(row))
-        return out
-
-    def _best(self, similarity: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
-        if without >= 0:
-            similarity[without] = 0
+            sums += np.bincount(self.place[at], self.unit_weights[at] * np.repeat(w[c < 0], n), minlength=width).astype(np.float32)
+        bound = (q @ self._most + partial.reshape(len(queries), blocks, BLOCK).max(2)) * np.float32(1 + 1e-5) + np.float32(1e-6)
+        found = np.zeros((len(queries), blocks, BLOCK), np.float32)
+        todo = np.zeros((len(queries), blocks), bool)
+        np.put_along_axis(todo, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
+        self._take(todo, q, partial, found, without)
+        flat = found.reshape(len(queries), width)
+        least = np.partition(flat, width - k, axis=1)[:, width - k] if width > k else np.zeros(len(queries), np.float32)
+        self._take((bound >= least[:, None]) & ~todo, q, partial, found, without)
+        return [self._ordered(row, k) for row in flat]
+
+    def _take(self, todo: np.ndarray, q: np.ndarray, partial: np.ndarray, found: np.ndarray, without: list[int] | None) -> None:
+        """Whole cosines of the (query, block) pairs in ``todo``."""
+        for b in np.flatnonzero(todo.any(0)).tolist():
+            rows = np.flatnonzero(todo[:, b])
+            found[rows, b] = q[rows] @ self._dense[b] + partial[rows, b * BLOCK:(b + 1) * BLOCK]
+        for row, place in enumerate(without or []):
+            found[row, place // BLOCK, place % BLOCK] = 0
+
+    @staticmethod
+    def _ordered(similarity: np.ndarray, k: int) -> list[tuple[float, int]]:
         places = np.flatnonzero(similarity > 0)
         if len(places) > k:
             least = np.partition(similarity, len(similarity) - k)[-k]
             places = np.flatnonzero(similarity >= least)
         return sorted(((float(similarity[p]), p) for p in places.tolist()), key=lambda x: (-x[0], x[1]))[:k]
 
-    def nearest(self, v: dict[int, float], k: int = NEIGHBOURS, without: int = -1) -> list[tuple[float, int]]:
-        """The k most similar examples, exactly: (similarity, place), most similar first."""
-        if not self.ids or not v:
+    def nearest(self, v: dict[int, float], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
+        if not v:
             return []
-        query = np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), np.float32, len(v))
-        return self._best(self.similarities([query])[0], k, without)
+        return self.best([(np.fromiter(v, np.int64, len(v)), np.fromiter(v.values(), np.float32, len(v)))], k)[0]
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Share of the votes for toxic; a vote counts its similarity over its distance and the rows it stands for."""
@@ -167,18 +227,10 @@ class Index:
         prior = PRIOR_VOTES * float(self.weights.mean())
         return float(((mass * self.labels[place]).sum() + prior * self.base) / (mass.sum() + prior))
 
-    def _calibrate(self, weight: dict[int, float]) -> None:
-        """Isotonic fit of label on the leave-one-out vote (pool adjacent violators), lightly smoothed towards the rate."""
+    def calibrate(self, votes: np.ndarray) -> None:
+        """Isotonic fit of label on the leave-one-out votes (pool adjacent violators), lightly smoothed towards the rate."""
         if not len(self.labels):
             return
-        terms = np.repeat(np.arange(len(self.idf)), np.diff(self.starts))
-        order = np.argsort(self.place, kind="stable")
-        ends = np.cumsum(np.bincount(self.place, minlength=len(self.ids)))
-        vectors = list(zip(np.split(terms[order], ends[:-1]), np.split(self.unit_weights[order], ends[:-1])))
-        votes = []
-        for at in range(0, len(vectors), QUERIES):
-            votes += [self.vote(self._best(row, NEIGHBOURS, at + r)) for r, row in enumerate(self.similarities(vectors[at:at + QUERIES]))]
-        votes = np.array(votes)
         order = np.argsort(votes, kind="stable")
         pools: list[list[float]] = []
         for x, y, w in zip(votes[order], self.labels[order], self.weights[order]):
@@ -203,17 +255,9 @@ class Index:
             ys += [p, p]
         self.points = np.array(xs), np.array(ys)
 
-    def scores(self, counts: list[dict[int, int]]) -> list[tuple[float, list[tuple[float, int]]]]:
-        """(probability, neighbours) for the term counts of some texts."""
-        out = []
-        for at in range(0, len(counts), QUERIES):
-            arrays = [_arrays(c) for c in counts[at:at + QUERIES]]
-            if not self.ids:
-                out += [(self.base, [])] * len(arrays)
-                continue
-            queries = [(t, self.unit(t, n)) for t, n in arrays]
-            out += [self._probability(self._best(row, NEIGHBOURS)) for row in self.similarities(queries)]
-        return out
+    def scores(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[tuple[float, int]]]]:
+        """(probability, neighbours) for the term counts (terms, counts) of some texts."""
+        return [self._probability(found) for found in self.best([(t, self.unit(t, n)) for t, n in vectors])]
 
     def _probability(self, found: list[tuple[float, int]]) -> tuple[float, list[tuple[float, int]]]:
         if not found:
@@ -245,20 +289,6 @@ def sample_labels(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
     return stored(picked[0].union(picked[1]), "tox-sample"), {y: n / min(n, EXAMPLES) for y, n in total.items()}
 
 
-def _example_terms(batches):
-    for batch in batches:
-        terms = {x for t in batch.column(0) for w in word_counts(t.as_py()) for x in terms_of(w)}
-        yield pa.RecordBatch.from_arrays([pa.array(list(terms), pa.binary())], names=["term"])
-
-
-def choose_terms(examples: DataFrame, n: dict[int, int]) -> list[bytes]:
-    """Every term of the examples; none when a label is missing."""
-    if not n.get(1) or not n.get(0):
-        return []
-    found = examples.select("text").mapInArrow(_example_terms, "term binary").distinct().toArrow()
-    return sorted(found.column("term").to_pylist())
-
-
 def evidence(terms: list[np.ndarray], labels: list[int], size: int) -> np.ndarray:
     """G2 statistic of each of ``size`` terms on the labels of the examples."""
     a, b = (np.bincount(np.concatenate([np.empty(0, np.int64), *(t for t, x in zip(terms, labels) if x == y)]), minlength=size).astype(float) for y in (1, 0))
@@ -272,60 +302,90 @@ def evidence(terms: list[np.ndarray], labels: list[int], size: int) -> np.ndarra
     return np.maximum(g2, 0.0)
 
 
-def _frequencies(vocabulary: list[bytes]):
+def _example_vectors(batches):
+    terms = Terms()
+    for batch in batches:
+        for at in range(0, batch.num_rows, QUERIES):
+            part = batch.slice(at, QUERIES)
+            text, term, n = terms([t.as_py() for t in part.column(2)])
+            found = _split(text, part.num_rows, term, n)
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(1).cast(pa.int32()), pa.array([t for t, _ in found], pa.list_(pa.int64())), pa.array([n.astype(np.int32) for _, n in found], pa.list_(pa.int32()))],
+                                             names=["doc_id", "toxic", "terms", "counts"])
+
+
+def _frequencies(hashes: Broadcast):
     def run(batches):
-        vectors, df, n = Vectors(vocabulary), np.zeros(len(vocabulary), np.int64), 0
+        terms, df, n = Terms(hashes.value), np.zeros(len(hashes.value), np.int64), 0
         for batch in batches:
-            for t in batch.column(0):
-                found = list(vectors(t.as_py()))
-                df[found] += 1
-                n += 1
+            for at in range(0, batch.num_rows, QUERIES):
+                part = batch.column(0).slice(at, QUERIES)
+                df += np.bincount(terms([t.as_py() for t in part])[1], minlength=len(df))
+                n += len(part)
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1), pa.int32()), pa.array(np.append(df[held], n), pa.int64())], names=["term", "n"])
 
     return run
 
 
-def _example_vectors(vocabulary: list[bytes]):
+def _left_out(index: Broadcast):
+    """(place, vote) of each example by the others."""
     def run(batches):
-        vectors = Vectors(vocabulary)
+        found = index.value
+        terms = np.repeat(np.arange(len(found.idf)), np.diff(found.starts))
+        order = np.argsort(found.place, kind="stable")
+        terms, weights, ends = terms[order], found.unit_weights[order], np.concatenate([[0], np.cumsum(np.bincount(found.place, minlength=len(found.ids)))])
         for batch in batches:
-            found = [vectors(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()), pa.array([list(v) for v in found], pa.list_(pa.int32())), pa.array([list(v.values()) for v in found], pa.list_(pa.int64()))],
-                                             names=["doc_id", "toxic", "terms", "counts"])
+            places, votes = batch.column(0).to_pylist(), []
+            for at in range(0, len(places), QUERIES):
+                some = places[at:at + QUERIES]
+                votes += [found.vote(x) for x in found.best([(terms[ends[p]:ends[p + 1]], weights[ends[p]:ends[p + 1]]) for p in some], without=some)]
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(votes, pa.float64())], names=["place", "vote"])
 
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], Index]:
-    """Vocabulary and index, from the bounded examples and the frequencies over all of ``docs``."""
+def train(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast]:
+    """Term hashes and index, from the bounded examples and the frequencies over all of ``docs``, broadcast."""
+    context = docs.sparkSession.sparkContext
     sample, weight = sample_labels(labels)
     examples = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "tox-examples")
     n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    vocabulary = choose_terms(examples, n)
-    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors(vocabulary), "doc_id long, toxic int, terms array<int>, counts array<long>").orderBy("doc_id").toArrow()
-    if vocabulary:
-        counted = docs.select("text").mapInArrow(_frequencies(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-        df = dict(zip(*(c.to_pylist() for c in counted.toArrow().columns)))
+    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, "doc_id long, toxic int, terms array<long>, counts array<int>").orderBy("doc_id").toArrow().combine_chunks()
+    ids, labelled = rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist()
+    if n.get(0) and n.get(1):
+        terms, counts = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
+        ends = np.diff(terms.offsets.to_numpy())
+        hashes, term = np.unique(terms.values.to_numpy().view(np.uint64), return_inverse=True)
+        vectors = _split(np.repeat(np.arange(len(ids)), ends), len(ids), term, counts.values.to_numpy().astype(np.float64))
     else:
-        df = {}
-    total = max(1, df.get(-1, 1))
-    idf = np.array([math.log((total + 1) / (df.get(t, 0) + 1)) + 1 for t in range(len(vocabulary))])
-    vectors = [(t.values.to_numpy().astype(np.int64), c.values.to_numpy().astype(np.float64)) for t, c in zip(rows.column("terms"), rows.column("counts"))]
-    labelled = rows.column("toxic").to_pylist()
-    if vocabulary:
+        hashes, vectors = np.empty(0, np.uint64), [(np.empty(0, np.int64), np.empty(0)) for _ in ids]
+    hashed = context.broadcast(hashes)
+    idf = np.zeros(len(hashes))
+    if len(hashes):
+        counted = docs.select("text").mapInArrow(_frequencies(hashed), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        held, df = (counted.column(c).to_numpy() for c in ("term", "n"))
+        idf[held[held >= 0]] = df[held >= 0]
+        idf = np.log((df[held < 0][0] + 1) / (idf + 1)) + 1
         idf = idf * np.sqrt(1 + evidence([t for t, _ in vectors], labelled, len(idf)))
-    return vocabulary, Index(list(zip(vectors, labelled)), idf, {y: weight.get(y, 1.0) for y in (0, 1)}, rows.column("doc_id").to_pylist())
+    index = Index(list(zip(vectors, labelled)), idf, {y: weight.get(y, 1.0) for y in (0, 1)}, ids)
+    if index.ids:
+        asked = docs.sparkSession.range(0, len(index.ids), 1, -(-len(index.ids) // (4 * QUERIES)))
+        cast = asked.mapInArrow(_left_out(context.broadcast(index)), "place long, vote double").toArrow()
+        votes = np.empty(len(index.ids))
+        votes[cast.column("place").to_numpy()] = cast.column("vote").to_numpy()
+        index.calibrate(votes)
+    return hashed, context.broadcast(index)
 
 
-def _scores(vectors: Vectors, index: Index, texts: pa.Array, known: dict):
+def _scores(terms: Terms, index: Index, texts: pa.Array, known: dict):
     """(probability, evidence) of each text; a text that was scored before is not scored again."""
     for at in range(0, len(texts), QUERIES):
         part = [t.as_py() for t in texts.slice(at, QUERIES)]
         keys = [hashlib.blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in part]
         new = {k: t for k, t in zip(keys, part) if k not in known}
+        text, term, n = terms(list(new.values()))
         fresh = {}
-        for k, (p, found) in zip(new, index.scores([vectors(t) for t in new.values()])):
+        for k, (p, found) in zip(new, index.scores(_split(text, len(new), term, n))):
             fresh[k] = p, ",".join(f"{index.ids[r]}:{s:.4f}:{index.labels[r]}" for s, r in found[:5])
         for k in keys:
             yield fresh[k] if k in fresh else known[k]
@@ -333,11 +393,11 @@ def _scores(vectors: Vectors, index: Index, texts: pa.Array, known: dict):
             known.update(fresh)
 
 
-def _score(vocabulary: list[bytes], index: Index):
+def _score(hashes: Broadcast, index: Broadcast):
     def run(batches):
-        vectors, known = Vectors(vocabulary), {}
+        terms, known = Terms(hashes.value), {}
         for batch in batches:
-            scored = list(_scores(vectors, index, batch.column(1), known))
+            scored = list(_scores(terms, index.value, batch.column(1), known))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([p for p, _ in scored], pa.float64()), pa.array([e for _, e in scored], pa.string())], names=["doc_id", "score", "evidence"])
 
     return run
@@ -345,16 +405,15 @@ def _score(vocabulary: list[bytes], index: Index):
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence (nearest examples id:similarity:label)."""
-    vocabulary, index = train(docs, labels)
-    scored = docs.select("doc_id", "text").mapInArrow(_score(vocabulary, index), "doc_id long, score double, evidence string")
+    scored = docs.select("doc_id", "text").mapInArrow(_score(*train(docs, labels)), "doc_id long, score double, evidence string")
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
-def _accept(vocabulary: list[bytes], index: Index, at: int):
+def _accept(hashes: Broadcast, index: Broadcast, at: int):
     def run(batches):
-        vectors, known = Vectors(vocabulary), {}
+        terms, known = Terms(hashes.value), {}
         for batch in batches:
-            keep = [p < 0.5 for p, _ in _scores(vectors, index, batch.column(at), known)]
+            keep = [p < 0.5 for p, _ in _scores(terms, index.value, batch.column(at), known)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
