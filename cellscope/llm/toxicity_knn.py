@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellscope.llm.common import fold, pieces, stored
+from cellscope.llm.common import fold, mix64, pieces, stored
 
 #: Labels are learned from rows whose fold is not HELD_OUT.
 FOLDS, HELD_OUT = 5, 0
@@ -61,7 +61,7 @@ def word_counts(text: str | None) -> Counter:
 class Terms:
     """Hashed term counts of texts, over a sorted array of term hashes (all terms when there is none).
 
-    A word's beginnings are marked with an asterisk, which no word holds.
+    A word's beginning is its first bytes in one number, with their count in the last byte, spread like a hash.
     """
 
     REMEMBER = 150_000
@@ -73,12 +73,14 @@ class Terms:
 
     def _learn(self, new: list[bytes]) -> None:
         at = len(self.known)
-        digest = np.zeros((len(new), 1 + len(STEMS)), np.uint64)
-        held = np.zeros(digest.shape, bool)
-        for column, n in enumerate((None, *STEMS)):
-            rows = [k for k, w in enumerate(new) if n is None or len(w) > n]
-            digest[rows, column] = np.fromiter((xxhash.xxh3_64_intdigest(new[k] if n is None else new[k][:n] + b"*") for k in rows), np.uint64, len(rows))
-            held[rows, column] = True
+        digest = np.empty((len(new), 1 + len(STEMS)), np.uint64)
+        held = np.ones(digest.shape, bool)
+        digest[:, 0] = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
+        length = np.fromiter(map(len, new), np.int64, len(new))
+        head = np.frombuffer(b"".join([w[:8].ljust(8, b"\0") for w in new]), "<u8")
+        for column, n in enumerate(STEMS, 1):
+            digest[:, column] = mix64(head & np.uint64((1 << 8 * n) - 1) | np.uint64(n << 56))
+            held[:, column] = length > n
         if self.hashes is None:
             place = digest.view(np.int64)
         elif len(self.hashes):
