@@ -130,13 +130,13 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with repeated lines taken out of ``text``; adds n_lines and n_kept."""
-    gone = stored(dropped_lines(docs).withColumnRenamed("doc_id", "gone_id"), "line-gone")
-    rows = docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left")
-    lines = F.split("text", "\n", -1)
+    """The rows of ``docs`` with repeated lines taken out of ``text``; adds n_lines and n_kept (columns so called are replaced)."""
+    gone = stored(dropped_lines(docs.select("doc_id", "text")).withColumnRenamed("doc_id", "gone_id"), "line-gone")
+    rows = docs.select(F.struct("*").alias("doc")).join(gone, F.col("doc.doc_id") == F.col("gone_id"), "left")
+    given = F.col("doc.text")
+    lines = F.split(given, "\n", -1)
     kept = F.filter(lines, lambda line, i: ~F.array_contains(F.col("gone"), i))
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    n = F.coalesce(F.size(lines), F.lit(0)).cast("long")
-    n = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(n)
-    others = [c for c in docs.columns if c != "text"]
-    return rows.select(*others, text.alias("text"), n.alias("n_lines"), (n - F.coalesce(F.size(F.col("gone")), F.lit(0))).cast("long").alias("n_kept")).select(*docs.columns, "n_lines", "n_kept")
+    text = F.when(F.col("gone").isNull(), given).otherwise(F.array_join(kept, "\n"))
+    n = F.when(given.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    columns = [text.alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_kept")]
+    return rows.select(*columns, n.alias("n_lines"), (n - F.coalesce(F.size(F.col("gone")), F.lit(0))).cast("long").alias("n_kept"))

@@ -134,15 +134,15 @@ SELECT w.id AS doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(
 FROM words w LEFT JOIN sizes s USING (id) LEFT JOIN comps c USING (id)
 """
 
-OP10_SQL = f"""
+OP10_SQL = rf"""
 WITH RECURSIVE cut AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents WHERE text IS NOT NULL
 ), distinct_lines AS (
-    SELECT row_number() OVER (ORDER BY line) AS id, line FROM (SELECT DISTINCT line FROM cut WHERE length(line) >= {line_minhash.MIN_CHARS})
+    SELECT row_number() OVER (ORDER BY line) AS id, line FROM (SELECT DISTINCT line FROM cut)
+    WHERE length(line) >= {line_minhash.MIN_CHARS} OR regexp_matches(line, '([^ \t\x0B\f\r]+[ \t\x0B\f\r]+){{{line_minhash.SHORT_WORDS - 1}}}[^ \t\x0B\f\r]')
 ), shingles AS (
-    SELECT DISTINCT id, substr(line, i, {line_minhash.SHINGLE}) AS s
-    FROM (SELECT id, line, unnest(range(1, length(line) + 1)) AS i FROM distinct_lines)
-    WHERE substr(line, i, 1) NOT IN (' ', chr(9), chr(11), chr(12), chr(13)) AND (i = 1 OR substr(line, i - 1, 1) IN (' ', chr(9), chr(11), chr(12), chr(13)))
+    SELECT DISTINCT id, hash(substr(line, i, {line_minhash.SHINGLE})) AS s
+    FROM (SELECT id, line, unnest(range(1, length(line) - {line_minhash.SHINGLE} + 2)) AS i FROM distinct_lines WHERE length(line) >= {line_minhash.MIN_CHARS})
 ), sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id
 ), meet AS (SELECT x.id AS a, y.id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.id < y.id GROUP BY ALL
 ), links AS (SELECT a, b FROM meet JOIN sizes p ON a = p.id JOIN sizes q ON b = q.id WHERE 100 * meet.n >= {line_minhash.SIMILARITY} * (p.n + q.n - meet.n))
@@ -153,8 +153,6 @@ WITH RECURSIVE cut AS (
 SELECT d.doc_id, k.text, CAST(coalesce(k.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(k.n_kept, 0) AS BIGINT) AS n_kept FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
-
-
 #: crc32 of the bytes of column ``{0}``, with the code's table as column ``crc_table``.
 _CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), CAST(2 * i + 1 AS BIGINT), 2))::BIGINT)),
     lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"""

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, conversation_repair, importance_resampling
+from cellscope.llm import byte_bpe, conversation_repair, importance_resampling, line_minhash
 
 ODD = [(1, "alpha beta gamma delta epsilon zeta"), (1, "alpha beta gamma delta epsilon zeta"), (2, None), (3, ""), (None, "alpha beta"), (4, "x"), (5, "Word " * 60000), (6, "ÀÉ ß ñ\x00 ퟿")]
 
@@ -247,3 +247,11 @@ def test_resampling_rows(spark, odd):
     assert len(rows) == len(ODD) and sorted(r["rank"] for r in rows if r["rank"]) == [1, 2, 3]
     assert importance_resampling.resample(none, odd).count() == 0
     assert importance_resampling.resample(odd, none).count() == len(ODD)
+
+
+def test_line_dedup_with_clashing_names(spark):
+    line = "The quick brown fox jumps over the lazy dog near the old river bank, and then it sleeps under a tree"
+    docs = spark.createDataFrame([(1, line, "a", 5, 6, 7), (2, line, "b", 5, 6, 7)], "doc_id long, text string, gone string, n_lines int, gone_id int, id int")
+    found = line_minhash.dedup_lines(docs)
+    assert [(r["doc_id"], r["text"], r["gone"], r["gone_id"], r["id"], r["n_lines"], r["n_kept"]) for r in found.orderBy("doc_id").collect()] == [
+        (1, line, "a", 6, 7, 1, 1), (2, "", "b", 6, 7, 1, 0)]
