@@ -24,12 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines are taken out of the texts; n_chars follows, and a document left without text goes."""
-    found = line_minhash.dedup_lines(docs)
+    clash = {c: f"given_{c}" for c in ("n_lines", "n_kept") if c in docs.columns}
+    found = line_minhash.dedup_lines(docs.withColumnsRenamed(clash))
     n = F.length("text").cast(dict(docs.dtypes)["n_chars"]) if "n_chars" in docs.columns else None
     emptied = (F.col("n_kept") < F.col("n_lines")) & (F.length(F.trim("text")) == 0)
     found = found.where(~F.coalesce(emptied, F.lit(False)))
     found = found.withColumn("n_chars", F.when(F.col("n_kept") < F.col("n_lines"), n).otherwise(F.col("n_chars"))) if n is not None else found
-    return found.select(*docs.columns)
+    return found.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
