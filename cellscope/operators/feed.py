@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import broadcast_checked
 from .grid import GridSpec
 from .spatial import locate_in_grid
 
@@ -29,8 +30,18 @@ def weekday_services(calendar: DataFrame) -> DataFrame:
 
 
 def weekday_trips(trips: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Trips of weekday services, as a semi-join (P3; never an id list)."""
-    return trips.join(weekday_services(calendar), "service_id", "left_semi")
+    """Trips of weekday services, as a semi-join (P3; never an id list).
+
+    A service has very many trips: trips are not shuffled on it, the counted service side goes to them.
+    """
+    return trips.join(broadcast_checked(weekday_services(calendar)), "service_id", "left_semi")
+
+
+def flag_weekday(trips: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(trip_id, route_id, weekday): 1 for trips of weekday services, else 0."""
+    weekday = broadcast_checked(weekday_services(calendar)).withColumn("weekday", F.lit(1))
+    return trips.select("trip_id", "route_id", "service_id").join(weekday, "service_id", "left").select(
+        "trip_id", "route_id", F.coalesce("weekday", F.lit(0)).alias("weekday"))
 
 
 def stop_trip_routes(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
@@ -115,10 +126,8 @@ def extract_features(cells: DataFrame, stops: DataFrame, stop_times: DataFrame,
     counted per (stop, route), then per (cell, route), which gives both the
     routes and the weekday trips of a cell. A trip has one row in ``trips``.
     """
-    weekday = weekday_services(calendar).withColumn("_weekday", F.lit(1))
-    visits = (stop_trip_routes(stop_times, trips).join(weekday, "service_id", "left")
-              .select("stop_id", "trip_id", "route_id", F.coalesce("_weekday", F.lit(0)).alias("_weekday")).distinct())
-    per_stop = visits.groupBy("stop_id", "route_id").agg(F.sum("_weekday").alias("_trips"))
+    visits = stop_times.select("trip_id", "stop_id").join(flag_weekday(trips, calendar), "trip_id").distinct()
+    per_stop = visits.groupBy("stop_id", "route_id").agg(F.sum("weekday").alias("_trips"))
     sc = stop_cells(stops, spec)
     per_route = per_stop.join(sc, "stop_id").groupBy("cell_id", "route_id").agg(F.sum("_trips").alias("_trips"))
     served = per_route.groupBy("cell_id").agg(F.count(F.lit(1)).alias("route_count"), F.sum("_trips").alias("daily_trips"))

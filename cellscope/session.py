@@ -77,6 +77,15 @@ def filter_computed(df: DataFrame, cond) -> DataFrame:
     return flagged.select(*cols, F.explode(gate).alias("__k")).drop("__k")
 
 
+#: Most rows of a side that is broadcast on the strength of a count.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when a count shows at most ``limit`` rows; else the join is left to the planner."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
