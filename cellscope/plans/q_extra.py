@@ -13,7 +13,7 @@ from ..functions.seeded import sql_lit as L
 from ..operators import extras as ex
 from ..operators.scaling import minmax
 from ..session import ensure_checkpoint_dir
-from ..sources import gtfs
+from ..sources import archive, gtfs
 from .context import Ctx
 from .q_labels import LABEL_CTES, VIEWS
 from .queries import _IN_CELL, _SERVED_AREA, _WD_TRIPS, V, query, served_area
@@ -45,7 +45,40 @@ def q_csv_roundtrip(c: Ctx) -> DataFrame:
     pq = _scratch(c, "feed-parquet")
     gtfs.to_parquet(tables, pq)
     back = gtfs.load_parquet(c.spark, pq, "stops")
-    return back.select("stop_id", F.round("stop_lat", 9).alias("stop_lat"), F.round("stop_lon", 9).alias("stop_lon"))
+    return back.select(F.col("stop_id").cast("long").alias("stop_id"), F.round("stop_lat", 9).alias("stop_lat"), F.round("stop_lon", 9).alias("stop_lon"))
+
+
+#: Ids with letters and with leading zeros, and a coordinate that is no number on every 97th stop.
+_ODD_STOPS = ("SELECT CASE WHEN stop_id % 7 = 0 THEN 'A' || CAST(stop_id AS VARCHAR) ELSE lpad(CAST(stop_id AS VARCHAR), 8, '0') END AS stop_id, "
+              "CASE WHEN stop_id % 97 = 0 THEN NULL ELSE stop_lat END AS stop_lat, stop_lon, 'C' || CAST(stop_id % 13 AS VARCHAR) AS stop_code, "
+              "CASE WHEN stop_id % 97 = 0 THEN 'stop_lat' END AS bad FROM stops")
+
+
+def _archived_feed(c: Ctx) -> str:
+    """A folder of archives with the members stops and trips, written by a task for each partition."""
+    folder = os.path.join(_scratch(c, "feed-archives"), "feed.zips")
+    number = F.col("stop_id").cast("string")
+    stops = c.stops.select(F.when(F.col("stop_id") % 7 == 0, F.concat(F.lit("A"), number)).otherwise(F.lpad(number, 8, "0")).alias("stop_id"),
+                           F.concat(F.lit("C"), (F.col("stop_id") % 13).cast("string")).alias("stop_code"),
+                           F.when(F.col("stop_id") % 97 == 0, F.lit("n/a")).otherwise(F.col("stop_lat").cast("string")).alias("stop_lat"), "stop_lon")
+    archive.write_archive(stops.repartition(4), folder, "google_transit/stops")
+    archive.write_archive(c.trips.repartition(4), folder, "trips")
+    return folder
+
+
+@query("archive_feed", V(f"SELECT stop_id, round(stop_lat, 9) AS stop_lat, round(stop_lon, 9) AS stop_lon, stop_code, bad FROM ({_ODD_STOPS}) t", "stops"))
+def q_archive_feed(c: Ctx) -> DataFrame:
+    """A member in a folder of several archives, text ids, an undeclared column, bad records named."""
+    back = gtfs.read_member(c.spark, _archived_feed(c), "stops", keep_bad=True)
+    return back.select("stop_id", F.round("stop_lat", 9).alias("stop_lat"), F.round("stop_lon", 9).alias("stop_lon"), "stop_code", F.col(archive.BAD).alias("bad"))
+
+
+@query("archive_quality", V(f"SELECT 'stops' AS table, count(*) AS records, count(bad) AS bad FROM ({_ODD_STOPS}) t UNION ALL "
+                            "SELECT 'trips', count(*), 0 FROM trips", "stops", "trips"))
+def q_archive_quality(c: Ctx) -> DataFrame:
+    """S2 + S3: records and bad records of every member of the archives."""
+    folder = _archived_feed(c)
+    return gtfs.bad_records(c.spark, folder, sorted(gtfs.read_feed(c.spark, folder)))
 
 
 _PEAK = " OR ".join(f"(arrival_s >= {lo} AND arrival_s < {hi})" for lo, hi in ex.PEAK_WINDOWS_S)

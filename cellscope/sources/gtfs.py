@@ -1,111 +1,90 @@
 """Transit-feed sources and sinks.
 
-A feed is a folder (or zip archive) of CSV members such as ``stops.txt``.
-Folders are read by Spark's CSV reader directly; zip archives are read as
-``binaryFile`` rows (one task for each archive and member), whose records
-are streamed out by header name.
+A feed is a folder of CSV members such as ``stops.txt``, one zip archive of them, or a folder of archives. Folders are
+read by Spark's CSV reader, archives by the data source in ``archive`` (a task for each archive and member). Ids are
+text, as feeds write them: leading zeros and letters stay.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-import itertools
 import logging
 import os
-import zipfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import archive
+
 log = logging.getLogger(__name__)
 
 # Declared schemas of the feed members the operators use.
 SCHEMAS = {
-    "stops": "stop_id bigint, stop_lat double, stop_lon double",
-    "trips": "trip_id bigint, route_id bigint, service_id string",
-    "stop_times": "trip_id bigint, stop_id bigint, stop_sequence int, arrival_time string",
+    "stops": "stop_id string, stop_lat double, stop_lon double",
+    "trips": "trip_id string, route_id string, service_id string",
+    "stop_times": "trip_id string, stop_id string, stop_sequence int, arrival_time string",
     "calendar": ("service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, "
                  "saturday int, sunday int, start_date string, end_date string"),
 }
 
 
-def _is_zip(path: str) -> bool:
-    return path.lower().endswith(".zip")
+def _is_archive(path: str) -> bool:
+    """A zip archive, or a folder that is named for its archives (``.zips``)."""
+    return path.lower().rstrip("/").endswith((".zip", ".zips"))
 
 
 def list_members(spark: SparkSession, path: str) -> DataFrame:
     """``.txt`` members of a feed (zip archive or folder) as (member)."""
-    if not _is_zip(path):
+    if not _is_archive(path):
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path")
         return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("member")).orderBy("member")
 
-    def names(it):
-        for pdf in it:
-            out = []
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    out += [n for n in z.namelist() if n.endswith(".txt")]
-            yield pd.DataFrame({"member": out})
-
-    raw = spark.read.format("binaryFile").load(path)
-    return raw.select("content").mapInPandas(names, "member string").orderBy("member")
-
-
-#: Records of an archive member handed to Spark at a time.
-ZIP_RECORDS = 10_000
-
-
-def _zip_records(spark: SparkSession, path: str, member: str) -> DataFrame:
-    """Records of one member as (record: header name -> text), streamed out of the archive in pieces."""
-    def records(it):
-        for pdf in it:
-            for content in pdf["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    if member not in z.namelist():
-                        continue
-                    with io.TextIOWrapper(z.open(member), encoding="utf-8-sig", newline="") as f:
-                        rows = csv.DictReader(f)
-                        while some := list(itertools.islice(rows, ZIP_RECORDS)):
-                            yield pd.DataFrame({"record": [{k.strip(): v for k, v in r.items() if k is not None and v is not None} for r in some]})
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(records, "record map<string,string>")
+    found = [(m,) for _, m, _ in archive.members(path)]
+    return spark.createDataFrame(found, "member string").orderBy("member")
 
 
-def _typed(df: DataFrame, schema: str | None, get) -> DataFrame:
-    """Columns named by the header: declared ones get their type (null when absent or malformed), others stay text."""
+def _typed(df: DataFrame, schema: str | None) -> DataFrame:
+    """Declared columns typed (null when absent or malformed, then named in ``_bad``), the others as text."""
     fields = T._parse_datatype_string(schema).fields if schema else []
-    have = set(df.columns) if get is F.col else None
-    declared = [(get(f.name) if have is None or f.name in have else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in fields]
-    more = [] if have is None else [F.col(c) for c in df.columns if c not in {f.name for f in fields}]
-    return df.select(*declared, *more)
+    declared, wrong = [], []
+    for f in fields:
+        given = F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None).cast("string")
+        declared.append(given.try_cast(f.dataType).alias(f.name))
+        wrong.append(F.when((F.trim(given) != "") & given.try_cast(f.dataType).isNull(), F.lit(f.name)))
+    names = {f.name for f in fields}
+    bad = F.nullif(F.concat_ws(",", *wrong), F.lit("")) if wrong else F.lit(None).cast("string")
+    return df.select(*declared, *[F.col(f"`{c}`") for c in df.columns if c not in names], bad.alias(archive.BAD))
 
 
-def read_member(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
+def read_member(spark: SparkSession, path: str, name: str, schema: str | None = None, keep_bad: bool = False) -> DataFrame:
     """One member as a DataFrame, columns bound by header name.
 
-    Declared columns are cast, a value that does not fit becomes null; columns that the schema does not name stay
-    text (for archives they are left out, as the header is not known before the job).
+    Declared columns are cast; columns that the schema does not name stay text. A value that does not fit becomes
+    null; with ``keep_bad`` the column ``_bad`` names the columns of a record that did not fit.
     """
     schema = schema or SCHEMAS.get(name)
-    if not _is_zip(path):
+    if _is_archive(path):
+        found = archive.read_archive(spark, path, name, schema)
+    else:
         text = spark.read.option("header", True).csv(os.path.join(path, f"{name}.txt"))
-        return _typed(text.toDF(*[c.strip().lstrip("\ufeff") for c in text.columns]), schema, F.col)
-    if schema is None:
-        raise ValueError("a schema is required to read a member of a zip archive")
-    return _typed(_zip_records(spark, path, f"{name}.txt"), schema, lambda c: F.col("record").getItem(c))
+        found = _typed(text.toDF(*[c.strip().lstrip("\ufeff") for c in text.columns]), schema)
+    return found if keep_bad else found.drop(archive.BAD)
 
 
-def read_feed(spark: SparkSession, path: str, names: list[str] | None = None) -> dict[str, DataFrame]:
-    """S3: the members of the feed; a missing one is logged and skipped.
+def bad_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """(table, records, bad): records of each member and how many hold a value or a length that does not fit."""
+    parts = [read_member(spark, path, n, keep_bad=True).agg(F.count(F.lit(1)).alias("records"), F.count(archive.BAD).alias("bad")).select(F.lit(n).alias("table"), "records", "bad") for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-    Without ``names``: every member of a folder, and the declared members of an archive.
-    """
-    there = [r["member"].rsplit("/", 1)[-1].removesuffix(".txt") for r in list_members(spark, path).collect()]
-    wanted = names or ([n for n in there if n in SCHEMAS] if _is_zip(path) else there)
+
+def read_feed(spark: SparkSession, path: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """S3: the members of the feed, all of them without ``names``; a missing one is logged and skipped."""
+    there = list(dict.fromkeys(archive.base_name(r["member"]) for r in list_members(spark, path).collect()))
+    wanted = names or there
     for name in wanted:
         if name not in there:
             log.warning("skipping %s: not in the feed", name)

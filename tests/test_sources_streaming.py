@@ -22,7 +22,7 @@ def test_zip_members_and_read(spark):
     z = _zip_feed(d)
     assert [r[0] for r in gtfs.list_members(spark, z).collect()] == ["stops.txt", "trips.txt"]
     stops = gtfs.read_member(spark, z, "stops")
-    assert sorted(r["stop_id"] for r in stops.collect()) == [1, 2]
+    assert sorted(r["stop_id"] for r in stops.collect()) == ["1", "2"]
     feed = gtfs.read_feed(spark, z, ["stops", "trips", "calendar"])
     assert set(feed) >= {"stops", "trips"}
     summary = gtfs.feed_summary({k: feed[k] for k in ("stops", "trips")}).collect()
@@ -32,13 +32,13 @@ def test_zip_members_and_read(spark):
 def test_members_bound_by_header(spark, tmp_path):
     (tmp_path / "stops.txt").write_text("stop_name,stop_lon,stop_id,stop_lat,stop_code\nA,-43.9,1,-19.9,10\nB,bad,2,-19.8,11\n")
     got = {r["stop_id"]: r.asDict() for r in gtfs.read_member(spark, str(tmp_path), "stops").collect()}
-    assert got[1] == {"stop_id": 1, "stop_lat": -19.9, "stop_lon": -43.9, "stop_name": "A", "stop_code": "10"}
-    assert got[2]["stop_lon"] is None
+    assert got["1"] == {"stop_id": "1", "stop_lat": -19.9, "stop_lon": -43.9, "stop_name": "A", "stop_code": "10"}
+    assert got["2"]["stop_lon"] is None
     assert set(gtfs.read_feed(spark, str(tmp_path))) == {"stops"}
     with zipfile.ZipFile(tmp_path / "f.zip", "w") as z:
         z.writestr("trips.txt", "route_id,service_id,trip_id\n5,77,10\n")
     z = str(tmp_path / "f.zip")
-    assert [tuple(r) for r in gtfs.read_member(spark, z, "trips").collect()] == [(10, 5, "77")]
+    assert [tuple(r) for r in gtfs.read_member(spark, z, "trips").collect()] == [("10", "5", "77")]
     assert gtfs.read_member(spark, z, "stops").count() == 0 and set(gtfs.read_feed(spark, z, ["trips", "stops"])) == {"trips"}
     sizes = gtfs.file_sizes(spark, str(tmp_path), str(tmp_path / "absent")).collect()
     assert all(r["ratio"] == 0 for r in sizes)
