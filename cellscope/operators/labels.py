@@ -3,7 +3,7 @@
 Everything is one lazy plan: thresholds, medians and standard deviations
 are one-row frames joined by broadcast; noise comes from seeded hashes of
 (seed, cell_id), so labels do not depend on partitioning; the flipped cells
-are the int(n * p) smallest seeded keys, ranked with ``hash_rank``.
+are the int(n * p) smallest seeded keys (``take_smallest``).
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import MIN_MINORITY_SHARE, TARGET_WELL_SERVED_SHARE, LabelConfig
 from ..functions.seeded import py_normal, seeded_normal, seeded_uniform
 from .census import require_columns
-from .ranking import exact_quantiles, hash_rank, multi_quantiles, one_row
+from .ranking import exact_quantiles, multi_quantiles, one_row, take_smallest
 
 NORM_COLS = ["stop_count_norm", "route_count_norm", "daily_trips_norm"]
 
@@ -84,10 +84,10 @@ def label_frame(features: DataFrame, cfg: LabelConfig = LabelConfig(), use_popul
             (F.col("population_noisy") > F.col("population_median_noisy"))
     df = df.withColumn("label_base", (~under).cast("int"))
     if noise_on and cfg.flip_probability > 0:
-        df = df.withColumn("_fk", seeded_uniform(f"flip-{cfg.seed}", "cell_id"))
-        df = hash_rank(df, "_fk", tiebreak=["cell_id"], out="_frank")
-        n_flips = F.floor(F.col("_n") * F.lit(cfg.flip_probability))
-        df = df.withColumn("flipped", F.col("_frank") < n_flips).drop("_fk", "_frank")
+        flip_key = seeded_uniform(f"flip-{cfg.seed}", "cell_id")
+        n_flips = sds.select(F.floor(F.col("_n") * F.lit(cfg.flip_probability)).alias("_q"))
+        keys = features.select("cell_id", flip_key.alias("_fk"))
+        df = take_smallest(df.withColumn("_fk", flip_key), "_fk", n_flips, [], "cell_id", "flipped", keys).drop("_fk")
     else:
         df = df.withColumn("flipped", F.lit(False))
     df = df.withColumn("label", F.when(F.col("flipped"), 1 - F.col("label_base")).otherwise(F.col("label_base")))

@@ -10,7 +10,8 @@ table is ordered globally, and rows are numbered inside their bucket.
   and the number of smaller values. Duplicates collapse first (a value held
   by a third of the rows becomes one row); distinct values are bucketed by
   approximate quantile cut points.
-* ``exact_quantiles``: linear-interpolated quantiles from ``value_ranks``.
+* ``at_ranks``: the values at a few ranks, by histogram refinement (quantiles, exact-count selection); rows far from
+  the wanted ranks are only counted.
 """
 
 from __future__ import annotations
@@ -73,33 +74,105 @@ def value_ranks(df: DataFrame, col: str, buckets: int = 256, accuracy: int = 100
     return data.select(col, "cnt", "n_less", "n")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | None = None) -> DataFrame:
-    """One row with the exact quantile (linear interpolation between the two
-    nearest ranks, position p * (n - 1)) of ``col`` for each p in ``probs``."""
-    names = names or [f"q{i}" for i in range(len(probs))]
-    vr = value_ranks(df, col)
+#: Cut points of a bucket at each level of refinement: what is ranked at the end is about 1 / (CUTS + 1) ** levels of
+#: the rows for each wanted rank.
+CUTS, CUT_ACCURACY = 255, 1024
+#: Estimated bytes of the tables read from which one level, and from which two levels, come before the ranking.
+ONE_LEVEL_BYTES, TWO_LEVEL_BYTES = 1 << 20, 16 << 30
+
+
+def _levels(df: DataFrame) -> int:
+    """Levels for the planner's estimate of the tables that are read (the result is the same with any number)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return (size >= ONE_LEVEL_BYTES) + (size >= TWO_LEVEL_BYTES)
+
+
+def _met(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    return left.join(right, on, how) if on else left.join(right, F.lit(True), how)
+
+
+def at_ranks(rows: DataFrame, ranks: DataFrame, group: list[str], value: str = "_v") -> DataFrame:
+    """The values at given ranks, by histogram refinement: ``group``, _k, the value, _less (rows before that value).
+
+    ``rows`` holds ``group`` and ``value`` (no nulls), ``ranks`` holds ``group`` and _k (0-based; few rows). Each level
+    takes approximate cut points from a sketch, counts rows for each bucket exactly, and goes on with the rows of
+    the buckets that hold a wanted rank; the values of these alone are shuffled and ranked. All groups and ranks
+    share each pass, and no job runs before the result is asked for.
+    """
+    ranks, levels = F.broadcast(ranks), _levels(rows)
+    rows = rows.select(*group, F.col(value).alias("_v")).withColumn("_before", F.lit(0).cast("long"))
+    probs = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
+    at = list(group)
+    for level in range(levels):
+        cuts = rows.groupBy(*at, "_before").agg(F.percentile_approx("_v", probs, CUT_ACCURACY).alias("_cuts"))
+        placed = with_bucket(_met(rows, F.broadcast(cuts.drop("_before")), at), "_v", "_cuts")  # a row for each group or wanted bucket
+        counted = placed.groupBy(*at, "_before", "_bk").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        before = Window.partitionBy(*at).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)  # at most CUTS + 1 rows
+        counted = counted.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
+        wanted = _met(counted, ranks, group).where("_before <= _k AND _k < _before + _c")
+        wanted = wanted.select(*at, "_before", "_lo", "_hi", F.col("_bk").alias(f"_b{level}")).distinct()
+        rows = _met(rows.drop("_before"), F.broadcast(wanted), at).where("_v BETWEEN _lo AND _hi").drop("_lo", "_hi")
+        at.append(f"_b{level}")
+    counted = rows.groupBy(*at, "_before", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy(*at).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("_less", F.col("_before") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    return _met(counted, ranks, group).where("_less <= _k AND _k < _less + _c").select(*group, "_k", F.col("_v").alias(value), "_less")
+
+
+def multi_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], by: list[str] | None = None) -> DataFrame:
+    """Several exact quantiles (linear interpolation between the two nearest ranks, position p * (n - 1)) of several
+    columns, in one refinement; one row, or one for each value of the columns ``by`` (rows without one are left out).
+
+    ``specs`` holds (column, p, output name). The columns are stacked into (key, value) rows.
+    """
+    by = list(by or [])
+    cols = list(dict.fromkeys(c for c, _, _ in specs))
+    each = F.array(*[F.struct(F.lit(i).alias("_key"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)])
+    stacked = df.select(*by, F.inline(each)).where("_v IS NOT NULL")
+    n = stacked.groupBy(*by, "_key").agg(F.count(F.lit(1)).alias("_n"))
+
+    def position(p):
+        return F.lit(float(p)) * (F.col("_n") - 1)
+
+    mine = [F.array(*[f(position(p)).cast("long") for c, p, _ in specs if c == name for f in (F.floor, F.ceil)]) for name in cols]
+    ranks = n.select(*by, "_key", F.explode(F.array_distinct(F.element_at(F.array(*mine), F.col("_key") + 1))).alias("_k"))
+    found = at_ranks(stacked, ranks, [*by, "_key"]).join(F.broadcast(n), [*by, "_key"])  # a row for each column and group
     aggs = []
-    for p, name in zip(probs, names):
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        covers = lambda k: (F.col("n_less") <= k) & (k < F.col("n_less") + F.col("cnt"))
-        aggs += [F.max(F.when(covers(lo), F.col(col))).alias(f"_{name}_lo"),
-                 F.max(F.when(covers(hi), F.col(col))).alias(f"_{name}_hi"),
-                 F.max(h - lo).alias(f"_{name}_t")]
-    cand = vr.filter(_any_cover(probs))
-    row = cand.agg(*aggs)
-    return row.select(*[
+    for c, p, name in specs:
+        key, h = F.col("_key") == cols.index(c), position(p)
+        aggs += [F.max(F.when(key & (F.col("_k") == F.floor(h)), F.col("_v"))).alias(f"_{name}_lo"),
+                 F.max(F.when(key & (F.col("_k") == F.ceil(h)), F.col("_v"))).alias(f"_{name}_hi"),
+                 F.max(F.when(key, h - F.floor(h))).alias(f"_{name}_t")]
+    row = found.groupBy(*by).agg(*aggs) if by else found.agg(*aggs)
+    return row.select(*by, *[
         (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_t")).alias(n)
-        for n in names])
+        for _, _, n in specs])
 
 
-def _any_cover(probs):
-    cond = F.lit(False)
-    for p in probs:
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        for k in (F.floor(h), F.ceil(h)):
-            cond = cond | ((F.col("n_less") <= k) & (k < F.col("n_less") + F.col("cnt")))
-    return cond
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], names: list[str] | None = None) -> DataFrame:
+    """One row with the exact quantile of ``col`` for each p in ``probs``."""
+    names = names or [f"q{i}" for i in range(len(probs))]
+    return multi_quantiles(df, [(col, p, n) for p, n in zip(probs, names)])
+
+
+def take_smallest(df: DataFrame, key: str, quota: DataFrame, group: list[str], tiebreak: str, out: str,
+                  keys: DataFrame | None = None) -> DataFrame:
+    """Flag ``out`` on the ``_q`` rows of each group (``quota``: group, _q; few rows) with the smallest (key, tiebreak).
+
+    Only the key at the quota's rank is looked for; rows are not ranked. ``key`` is a seeded 32-bit uniform, so the rows
+    that share the last key, which alone are put in order, are about one in four thousand million. ``keys`` may give
+    the same group, key and tiebreak values from a cheaper plan than that of ``df``.
+    """
+    keys = df if keys is None else keys
+    quota = F.broadcast(quota.where("_q > 0"))
+    last = at_ranks(keys.select(*group, key), quota.select(*group, (F.col("_q") - 1).alias("_k")), group, key)
+    last = F.broadcast(_met(last, quota, group).select(*group, F.col(key).alias("_last"), (F.col("_q") - F.col("_less")).alias("_more")))
+    ties = _met(keys.select(*group, key, tiebreak), last, group).where(F.col(key) == F.col("_last")).select(*group, F.col(tiebreak).alias("_tied"), "_more")
+    ties = ties.withColumn("_place", F.row_number().over(Window.partitionBy(*(group or [F.lit(0)])).orderBy("_tied")))
+    ties = F.broadcast(ties.where("_place <= _more").select("_tied"))
+    return _met(df, last, group, "left").join(ties, F.col(tiebreak) == F.col("_tied"), "left").withColumn(
+        out, F.coalesce(F.col(key) < F.col("_last"), F.lit(False)) | F.col("_tied").isNotNull()).drop("_last", "_more", "_tied")
 
 
 def average_pct_rank(df: DataFrame, col: str, out: str = "pct_rank") -> DataFrame:
@@ -110,44 +183,3 @@ def average_pct_rank(df: DataFrame, col: str, out: str = "pct_rank") -> DataFram
     vr = value_ranks(df, col)
     pr = vr.select(col, ((F.col("n_less") + (F.col("cnt") + 1) / 2) / F.col("n")).alias(out))
     return df.join(pr, col, "left")
-
-
-def multi_quantiles(df: DataFrame, specs: list[tuple[str, float, str]], buckets: int = 256,
-                    accuracy: int = 10000) -> DataFrame:
-    """Several exact quantiles of several columns in one ranking pass.
-
-    ``specs`` holds (column, p, output name). The columns are stacked into
-    (key, value) rows, so every column shares the same aggregation,
-    bucketing and window stages; the result is one row of outputs.
-    """
-    cols = list(dict.fromkeys(c for c, _, _ in specs))
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_key"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)]))
-        .alias("_s")).select("_s._key", "_s._v")
-    vc = stacked.filter(F.col("_v").isNotNull()).groupBy("_key", "_v").agg(F.count(F.lit(1)).alias("cnt"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = vc.groupBy("_key").agg(F.percentile_approx("_v", probs, accuracy).alias("_cuts"),
-                                  F.sum("cnt").alias("n"))
-    data = with_bucket(vc.join(F.broadcast(cuts), "_key"), "_v", "_cuts").drop("_cuts")  # cuts: one row per column
-    per_bucket = data.groupBy("_key", "_bk").agg(F.sum("cnt").alias("_bn"))
-    w = Window.partitionBy("_key").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(w), F.lit(0))).drop("_bn")
-    data = data.join(F.broadcast(offs), ["_key", "_bk"])  # columns x buckets rows
-    wl = Window.partitionBy("_key", "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    vr = data.withColumn("n_less", F.col("_off") + F.coalesce(F.sum("cnt").over(wl), F.lit(0)))
-    keep = F.lit(False)
-    aggs = []
-    for c, p, name in specs:
-        k = cols.index(c)
-        h = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        mine = F.col("_key") == k
-        cov = lambda j: mine & (F.col("n_less") <= j) & (j < F.col("n_less") + F.col("cnt"))
-        keep = keep | cov(lo) | cov(hi)
-        aggs += [F.max(F.when(cov(lo), F.col("_v"))).alias(f"_{name}_lo"),
-                 F.max(F.when(cov(hi), F.col("_v"))).alias(f"_{name}_hi"),
-                 F.max(F.when(mine, h - lo)).alias(f"_{name}_t")]
-    row = vr.filter(keep).agg(*aggs)
-    return row.select(*[
-        (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_t")).alias(n)
-        for _, _, n in specs])

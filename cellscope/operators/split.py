@@ -4,7 +4,7 @@ Sizes follow the usual rule: test = ceil(n * test_share); in a stratified
 split the train rows are allocated to classes by largest remainder (ties to
 the lower class value) and each class gives its rows with the smallest
 seeded keys to the held-out side. Class counts are collected (one row per
-class); rows are ranked by ``hash_rank`` inside their class, never in one task.
+class); the key at the wanted count is found by ``ranking.take_smallest``, rows are not ranked.
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..config import SEED, TEST_SHARE, VAL_SHARE
 from ..functions.seeded import seeded_uniform
-from .ranking import hash_rank
+from ..session import materialize
+from .ranking import take_smallest
 
 log = logging.getLogger(__name__)
 
@@ -50,10 +51,7 @@ def _held_out(df: DataFrame, n_out: dict, tag: str, label: str, key: str) -> Dat
     """Flag ``_out`` on the n_out[c] rows of class c with the smallest keys."""
     spark = df.sparkSession
     quota = spark.createDataFrame([(k, int(v)) for k, v in n_out.items()], f"{label} {_sql_type(df, label)}, _q long")
-    ranked = hash_rank(df.withColumn("_k", seeded_uniform(tag, key)), "_k", group=[label], tiebreak=[key],
-                       out="_r")
-    return (ranked.join(F.broadcast(quota), label, "left")
-            .withColumn("_out", F.col("_r") < F.coalesce("_q", F.lit(0))).drop("_k", "_r", "_q"))
+    return take_smallest(df.withColumn("_u", seeded_uniform(tag, key)), "_u", quota, [label], key, "_out").drop("_u")
 
 
 def _sql_type(df: DataFrame, col: str) -> str:
@@ -64,33 +62,30 @@ def stratified_split(dataset: DataFrame, label: str = "label", key: str = "cell_
                      test_share: float = TEST_SHARE, val_share: float = VAL_SHARE, seed: int = SEED) -> DataFrame:
     """Adds ``split`` in {train, val, test}; the second split uses
     val_share / (1 - test_share) of the remaining rows."""
-    counts = {r[label]: r["n"] for r in dataset.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    narrow = materialize(dataset.select(key, label), "split-keys")  # keys and labels, read by each selection
+    counts = {r[label]: r["n"] for r in narrow.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n = sum(counts.values())
     n_test = math.ceil(test_share * n)
     train_alloc = approximate_mode(counts, n - n_test)
     test_c = {k: counts[k] - train_alloc[k] for k in counts}
-    first = _held_out(dataset, test_c, f"split-test-{seed}", label, key)
+    first = _held_out(narrow, test_c, f"split-test-{seed}", label, key)
     rest_counts = {k: counts[k] - test_c[k] for k in counts}
     m = sum(rest_counts.values())
     adj = val_share / (1 - test_share)
     n_val = math.ceil(adj * m)
     tr2 = approximate_mode(rest_counts, m - n_val)
     val_c = {k: rest_counts[k] - tr2[k] for k in counts}
-    test_rows = first.filter("_out").drop("_out").withColumn("split", F.lit("test"))
-    rest = first.filter(~F.col("_out")).drop("_out")
-    second = _held_out(rest, val_c, f"split-val-{seed}", label, key)
-    second = second.withColumn("split", F.when(F.col("_out"), "val").otherwise("train")).drop("_out")
-    return test_rows.unionByName(second)
+    test_rows = first.filter("_out").select(key, F.lit("test").alias("split"))
+    second = _held_out(first.filter(~F.col("_out")).drop("_out"), val_c, f"split-val-{seed}", label, key)
+    second = second.select(key, F.when(F.col("_out"), "val").otherwise("train").alias("split"))
+    return dataset.join(materialize(test_rows.unionByName(second), "split-names"), key)
 
 
 def random_split(dataset: DataFrame, key: str, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """M9: exactly ceil(n * test_share) test rows, chosen by seeded key."""
-    n = dataset.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = hash_rank(dataset.withColumn("_k", seeded_uniform(f"split-{seed}", key)), "_k", tiebreak=[key],
-                       out="_r")
-    out = ranked.crossJoin(F.broadcast(n)).withColumn(
-        "split", F.when(F.col("_r") < F.ceil(F.col("_n") * F.lit(float(test_share))), "test").otherwise("train"))
-    return out.drop("_k", "_r", "_n")
+    quota = dataset.agg(F.ceil(F.count(F.lit(1)) * F.lit(float(test_share))).alias("_q"))
+    out = take_smallest(dataset.withColumn("_u", seeded_uniform(f"split-{seed}", key)), "_u", quota, [], key, "_out")
+    return out.withColumn("split", F.when(F.col("_out"), "test").otherwise("train")).drop("_u", "_out")
 
 
 def validate_splits(split_df: DataFrame, original: DataFrame, label: str = "label") -> DataFrame:

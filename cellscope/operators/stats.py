@@ -150,23 +150,21 @@ def trend_line(df: DataFrame, x: str, y: str, points: int = 100) -> DataFrame:
 def box_stats(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
     """Quartiles, IQR fences, whiskers (most extreme values inside the
     fences), mean, outlier count; per class when ``by`` is given."""
-    groups = [None] if by is None else [r[by] for r in df.select(by).distinct().collect()]
-    parts = []
-    for g in groups:
-        sub = df if g is None else df.filter(F.col(by) == g)
-        q = exact_quantiles(sub, col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-        q = q.withColumns({"iqr": F.col("q3") - F.col("q1")}).withColumns(
-            {"lo_fence": F.col("q1") - 1.5 * F.col("iqr"), "hi_fence": F.col("q3") + 1.5 * F.col("iqr")})
-        x = F.col(col)
-        a = sub.crossJoin(one_row(q)).agg(
-            F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-            F.first("iqr").alias("iqr"),
-            F.min(F.when(x >= F.col("lo_fence"), x)).cast("double").alias("whisker_lo"),
-            F.max(F.when(x <= F.col("hi_fence"), x)).cast("double").alias("whisker_hi"),
-            F.avg(x).alias("mean"),
-            F.sum(((x < F.col("lo_fence")) | (x > F.col("hi_fence"))).cast("long")).alias("n_outliers"))
-        parts.append(a.select(F.lit(None if g is None else str(g)).cast("string").alias("group"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    group = [] if by is None else [by]
+    rows = df.select(*group, F.col(col).alias("_x"))
+    q = multi_quantiles(rows, [("_x", 0.25, "q1"), ("_x", 0.5, "median"), ("_x", 0.75, "q3")], group)
+    q = q.withColumns({"iqr": F.col("q3") - F.col("q1")}).withColumns(
+        {"lo_fence": F.col("q1") - 1.5 * F.col("iqr"), "hi_fence": F.col("q3") + 1.5 * F.col("iqr")})
+    met = rows.join(F.broadcast(q), group) if group else rows.crossJoin(one_row(q))  # a row for each class
+    x = F.col("_x")
+    a = met.groupBy(*group).agg(
+        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"), F.first("iqr").alias("iqr"),
+        F.min(F.when(x >= F.col("lo_fence"), x)).cast("double").alias("whisker_lo"),
+        F.max(F.when(x <= F.col("hi_fence"), x)).cast("double").alias("whisker_hi"),
+        F.avg(x).alias("mean"),
+        F.sum(((x < F.col("lo_fence")) | (x > F.col("hi_fence"))).cast("long")).alias("n_outliers"))
+    name = F.col(by).cast("string") if by else F.lit(None).cast("string")
+    return a.select(name.alias("group"), *[c for c in a.columns if c not in group])
 
 
 def outliers(df: DataFrame, col: str) -> DataFrame:
