@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def one_row(df: DataFrame) -> DataFrame:
     """Mark a one-row statistics frame for broadcast (its size is one row)."""
@@ -156,6 +158,35 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], names: list[str
     return multi_quantiles(df, [(col, p, n) for p, n in zip(probs, names)])
 
 
+#: Rows of a range-sorted part.
+PART_ROWS = 1_000_000
+
+
+def positions(df: DataFrame, order: list[str], name: str, sums: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written in the order of ``order``, with _pos (0-based place over all rows) and, for each of ``sums`` (output:
+    column), the total of that column up to and with the row.
+
+    Parts are ranges of the order, so rows that share the first columns spread over many parts when later ones tell
+    them apart; only one row for each part is brought to the driver.
+    """
+    sums = sums or {}
+    parts = max(1, -(-df.count() // PART_ROWS))
+    part, row = F.spark_partition_id(), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", part).withColumn("_row", row)
+    placed = materialize(placed, name)
+    totals = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(o) for o, c in sums.items()]).orderBy("_part").collect()
+    starts, before = [], [0] * (1 + len(sums))
+    for t in totals:
+        starts.append((t["_part"], *before))
+        before = [b + (t[k] or 0) for b, k in zip(before, ["_n", *sums])]
+    fields = ", ".join(["_part int", "_start long", *(f"_s_{o} long" for o in sums)])
+    starts = df.sparkSession.createDataFrame(starts, fields)
+    upto = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    out = placed.join(F.broadcast(starts), "_part")
+    return out.select(*df.columns, (F.col("_start") + F.col("_row")).alias("_pos"),
+                      *[(F.col(f"_s_{o}") + F.sum(c).over(upto)).alias(o) for o, c in sums.items()])
+
+
 def take_smallest(df: DataFrame, key: str, quota: DataFrame, group: list[str], tiebreak: str, out: str,
                   keys: DataFrame | None = None) -> DataFrame:
     """Flag ``out`` on the ``_q`` rows of each group (``quota``: group, _q; few rows) with the smallest (key, tiebreak).

@@ -236,3 +236,25 @@ def q_mutual_info_binned(c: Ctx) -> DataFrame:
     from ..operators.selection import mutual_info_binned
     d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
     return _rnd(mutual_info_binned(d, SEL), ["mutual_info"])
+
+
+def _digamma_sql(n: str) -> str:
+    y = f"({n} + CAST(8 AS DOUBLE))"
+    return f"(ln({y}) - 1 / (2 * {y}) - 1 / (12 * pow({y}, 2)) + 1 / (120 * pow({y}, 4)) - 1 / (252 * pow({y}, 6)) - " + " - ".join(f"1 / ({n} + CAST({j} AS DOUBLE))" for j in range(8)) + ")"
+
+
+def _knn_mi_sql(c: str, k: int = 3) -> str:
+    """Every row against every row."""
+    return (f"SELECT '{c}' AS feature, round(greatest(0, {_digamma_sql('n')} + mk - ms - mm), 6) AS mutual_info FROM (SELECT count(*) AS n, avg({_digamma_sql('k')}) AS mk, "
+            f"avg({_digamma_sql('s')}) AS ms, avg({_digamma_sql('m')}) AS mm FROM (SELECT r.cell_id, r.s, r.k, count(*) AS m FROM (SELECT a.cell_id, CAST(a.{c} AS DOUBLE) AS x, z.s, "
+            f"least({k}, z.s - 1) AS k, list_extract(min(abs(CAST(b.{c} AS DOUBLE) - CAST(a.{c} AS DOUBLE)), {k}), CAST(least({k}, z.s - 1) AS BIGINT)) AS d FROM ds a JOIN ds b ON a.label = b.label AND a.cell_id <> b.cell_id "
+            f"JOIN (SELECT label, count(*) AS s FROM ds GROUP BY label) z ON z.label = a.label WHERE z.s > 1 GROUP BY a.cell_id, a.{c}, z.s) r "
+            f"JOIN (SELECT CAST({c} AS DOUBLE) AS y FROM ds) o ON (o.y < r.x + r.d AND o.y > r.x - r.d) OR o.y = r.x GROUP BY r.cell_id, r.s, r.k) g) t")
+
+
+@query("mutual_info", V(" UNION ALL ".join(_knn_mi_sql(x) for x in SEL), *VIEWS, ctes=LABEL_CTES + ["ds AS MATERIALIZED (SELECT f.*, l.label FROM fpop f JOIN lbl l ON l.cell_id = f.cell_id)"]))
+def q_mutual_info(c: Ctx) -> DataFrame:
+    """M20 (MI variant): nearest-neighbour mutual information of each cell feature with the label."""
+    from ..operators.selection import mutual_info
+    d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
+    return _rnd(mutual_info(d, SEL), ["mutual_info"])
