@@ -3,12 +3,16 @@ X13, X17, X19)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import LabelConfig
+from ..session import materialize
 from .feed import stop_cells, weekday_trips
 from .grid import GridSpec
+from .labels import generate_labels
 from .ranking import exact_quantiles, one_row
+from .scaling import normalize_features
 from .spatial import locate_in_grid
 
 PEAK_WINDOWS_S = [(7 * 3600, 9 * 3600), (17 * 3600, 19 * 3600)]
@@ -46,6 +50,33 @@ def mean_headway(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
                                     ((F.col("_hi") - F.col("_lo")) / (F.col("n") - 1)).alias("mean_headway_s"))
 
 
+#: Seconds of a time slice; a slice's distinct arrivals are put in order together.
+SLICE_S = 3600
+
+
+def headway_variability(stop_times: DataFrame, trips: DataFrame, slice_s: int = SLICE_S) -> DataFrame:
+    """Arrivals, mean headway and its sample deviation (null for one headway) per (stop, route), in seconds.
+
+    Equal arrivals collapse to one row with a count; a (stop, route) is cut into time slices, gaps inside a slice come
+    from its ordered arrivals (at most ``slice_s``), and gaps between slices from the last arrival of a slice and the first of the
+    next, so a stop with very many arrivals is worked on slice by slice. Sums are whole numbers.
+    """
+    st = stop_times.select("trip_id", "stop_id", "arrival_s").where("arrival_s IS NOT NULL").join(trips.select("trip_id", "route_id"), "trip_id")
+    by = ["stop_id", "route_id"]
+    seen = st.groupBy(*by, "arrival_s").agg(F.count(F.lit(1)).alias("_c")).withColumn("_slice", F.floor(F.col("arrival_s") / slice_s))
+    inner = Window.partitionBy(*by, "_slice").orderBy("arrival_s")
+    gap = F.col("arrival_s") - F.lag("arrival_s").over(inner)
+    slices = seen.withColumn("_g", gap.cast("long")).groupBy(*by, "_slice").agg(
+        F.sum("_c").alias("_n"), F.min("arrival_s").alias("_first"), F.max("arrival_s").alias("_last"), F.coalesce(F.sum(F.col("_g") * F.col("_g")), F.lit(0)).alias("_q"))
+    between = Window.partitionBy(*by).orderBy("_slice")  # one row for each slice
+    joint = (F.col("_first") - F.lag("_last").over(between)).cast("long")
+    g = slices.withColumn("_j", joint).groupBy(*by).agg(
+        F.sum("_n").alias("n"), (F.max("_last") - F.min("_first")).cast("long").alias("_span"), F.sum(F.col("_q") + F.coalesce(F.col("_j") * F.col("_j"), F.lit(0))).alias("_q"))
+    m = F.col("n") - 1
+    spread = F.greatest(F.lit(0.0), (F.col("_q") - F.col("_span") * F.col("_span") / m) / (m - 1))
+    return g.where("n > 1").select(*by, "n", (F.col("_span") / m).alias("mean_headway_s"), F.when(m > 1, F.sqrt(spread)).alias("headway_std_s"))
+
+
 def cap_at_quantile(df: DataFrame, col: str, q: float = 0.95, out: str | None = None) -> DataFrame:
     """Values above the q-quantile replaced by it."""
     t = exact_quantiles(df, col, [q], ["_cap"])
@@ -192,3 +223,30 @@ def what_if_stops(cells_pop: DataFrame, stops: DataFrame, new_stops: DataFrame,
     gained = d.filter(F.coalesce("_b", F.lit(0)) == 0).filter(F.coalesce("_a", F.lit(0)) > 0)
     return gained.agg(F.count(F.lit(1)).alias("cells_newly_served"),
                       F.coalesce(F.sum("population"), F.lit(0)).cast("long").alias("population_gained"))
+
+
+def what_if_labels(features: DataFrame, labels: DataFrame, new_stops: DataFrame, spec: GridSpec, cfg: LabelConfig = LabelConfig()) -> DataFrame:
+    """Every cell whose stops or label change when stops are added: added stops, label before and after, population.
+
+    The feed is not read again: only the new stops are placed, and their counts are added to the stored features of
+    their cells (a new stop has no trips yet). Scores, thresholds and labels then follow from the changed table, since each cell's
+    score depends on the mean and spread of all.
+    """
+    added = stop_cells(new_stops, spec).groupBy("cell_id").agg(F.count(F.lit(1)).alias("stops_added"))
+    base = features.select("cell_id", "stop_count", "route_count", "daily_trips", "population").join(added, "cell_id", "left")
+    base = base.withColumn("stops_added", F.coalesce("stops_added", F.lit(0)))
+    changed = materialize(normalize_features(base.withColumn("stop_count", F.col("stop_count") + F.col("stops_added"))), "what-if-features")
+    after = generate_labels(changed.drop("stops_added"), cfg).select("cell_id", F.col("label").alias("label_after"))
+    both = changed.select("cell_id", "stops_added", "population").join(labels.select("cell_id", F.col("label").alias("label_before")), "cell_id").join(after, "cell_id")
+    return both.where("stops_added > 0 OR label_before <> label_after")
+
+
+def what_if_summary(changes: DataFrame) -> DataFrame:
+    """Cells that become well served, cells that cease to be, and the population of both, from ``what_if_labels``."""
+    up, down = F.col("label_before") < F.col("label_after"), F.col("label_before") > F.col("label_after")
+
+    def total(cond, value):
+        return F.coalesce(F.sum(F.when(cond, value)), F.lit(0)).cast("long")
+
+    return changes.agg(F.count(F.when(F.col("stops_added") > 0, 1)).alias("cells_with_new_stops"), total(up, F.lit(1)).alias("cells_gained"), total(down, F.lit(1)).alias("cells_lost"),
+                       total(up, F.col("population")).alias("population_gained"), total(down, F.col("population")).alias("population_lost"))

@@ -122,3 +122,46 @@ def f1_status(f1) -> F.Column:
     """Status band of an F1 score."""
     return (F.when(f1 >= 0.98, "suspicious").when(f1 >= 0.90, "excellent").when(f1 >= 0.80, "good")
             .when(f1 >= 0.70, "acceptable").otherwise("below target"))
+
+
+def best_threshold(df: DataFrame, features: list[str], label: str = "label") -> DataFrame:
+    """The best one-feature rule of each feature: feature, direction (predict 1 when value >= or < threshold),
+    threshold, accuracy.
+
+    Every distinct value is tried, from the class counts of all smaller values; ties go to ``>=`` and to the smaller
+    threshold. Rows with a null feature or label are left out.
+    """
+    parts = []
+    for c in features:
+        pos, neg = F.sum(F.col(label).cast("long")), F.sum(1 - F.col(label).cast("long"))
+        rows = df.where(F.col(c).isNotNull() & F.col(label).isNotNull()).select(F.col(c).cast("double").alias("_v"), label)
+        tried = cumulative_by_value(rows, "_v", {"pos": pos, "neg": neg})
+        total = rows.agg(pos.alias("_P"), F.count(F.lit(1)).alias("_n"))
+        hits = F.col("neg_less") + F.col("_P") - F.col("pos_less")
+        rules = F.inline(F.array(F.struct(F.lit(">=").alias("direction"), hits.alias("_hits")), F.struct(F.lit("<").alias("direction"), (F.col("_n") - hits).alias("_hits"))))
+        rules = tried.crossJoin(one_row(total)).select("_v", "_n", rules)
+        # the greatest of (hits, ">=" first, smallest threshold)
+        best = rules.agg(F.max_by(F.struct("direction", "_v", "_hits", "_n"), F.struct("_hits", F.col("direction") == ">=", -F.col("_v"))).alias("b"))
+        parts.append(best.select(F.lit(c).alias("feature"), "b.direction", F.col("b._v").alias("threshold"), _div(F.col("b._hits"), F.col("b._n")).alias("accuracy")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def compare_feature_sets(df: DataFrame, sets: dict[str, tuple[str, list[str]]], label: str = "label", cut: float = 0.5) -> DataFrame:
+    """Two scorers on the same rows, side by side: metrics, inputs, and McNemar's paired test on their errors.
+
+    ``sets`` names two scorers: (score column, inputs). ``only_this`` counts the rows that this scorer alone calls
+    right; ``chi2`` is (|b - c| - 1)^2 / (b + c) over the discordant rows, 0 without any.
+    """
+    (_, (a, _)), (_, (b, _)) = sets.items()
+    right = {s: F.col(label) == (F.col(s) >= cut).cast("int") for s in (a, b)}
+    paired = df.agg(*[F.count(F.when(right[s] & ~right[o], 1)).alias(f"_only_{k}") for k, (s, o) in enumerate(((a, b), (b, a)))], F.count(F.lit(1)).alias("rows"))
+    gap = F.abs(F.col("_only_0") - F.col("_only_1")) - 1
+    paired = paired.withColumn("chi2", _div(gap * gap, F.col("_only_0") + F.col("_only_1")))
+    parts = []
+    for k, (name, (score, inputs)) in enumerate(sets.items()):
+        m = metrics(df.select(label, F.col(score).alias("score"), (F.col(score) >= cut).cast("int").alias("prediction")), label)
+        parts.append(m.crossJoin(one_row(paired)).select(F.lit(name).alias("feature_set"), F.lit(len(inputs)).alias("n_features"), "rows", *m.columns, F.col(f"_only_{k}").alias("only_this"), "chi2"))
+    return parts[0].unionByName(parts[1])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame
@@ -111,6 +112,16 @@ def q_mean_headway(c: Ctx) -> DataFrame:
     return ex.mean_headway(c.stop_times_arr, c.trips).withColumn("mean_headway_s", F.round("mean_headway_s", 6))
 
 
+@query("headway_variability", V(
+    "SELECT stop_id, route_id, count(*) AS n, round((max(arrival_s) - min(arrival_s)) / CAST(count(*) - 1 AS DOUBLE), 6) AS mean_headway_s, "
+    "round(stddev_samp(gap), 5) AS headway_std_s FROM (SELECT st.stop_id, t.route_id, arrival_s, arrival_s - lag(arrival_s) OVER (PARTITION BY st.stop_id, t.route_id "
+    "ORDER BY arrival_s) AS gap FROM stop_times_arr st JOIN trips t ON t.trip_id = st.trip_id) g GROUP BY 1, 2 HAVING count(*) > 1", "stop_times_arr", "trips"))
+def q_headway_variability(c: Ctx) -> DataFrame:
+    """Mean headway and its deviation per (stop, route)."""
+    d = ex.headway_variability(c.stop_times_arr, c.trips)
+    return d.withColumns({"mean_headway_s": F.round("mean_headway_s", 6), "headway_std_s": F.round("headway_std_s", 5)})
+
+
 @query("capped_trips", V(
     "SELECT cell_id, daily_trips, round(least(daily_trips, cap), 6) AS daily_trips_capped FROM fpop, "
     "(SELECT quantile_cont(daily_trips, 0.95) AS cap FROM fpop) q", *VIEWS, ctes=LABEL_CTES[:2]))
@@ -285,3 +296,35 @@ def q_what_if_stops(c: Ctx) -> DataFrame:
     """Cells newly served and population gained when supplier-sited stops are added."""
     from ..sources import fixtures as fx
     return ex.what_if_stops(c.features_pop, c.stops, fx.new_stops(c.spark, c.sf_dir), c.spec)
+
+
+def _after(cte: str) -> str:
+    """A step of the label chain, over the feed with the new stops."""
+    named = re.sub(r"\b(feat|fpop|fn|sc|st|nz|md|lb0|lbl)\b", r"\1_after", cte)
+    return named.replace("FROM stops s", "FROM allstops s")
+
+
+_CHANGED_SQL = (f"SELECT f.cell_id, coalesce(n.k, 0) AS stops_added, f.population, b.label AS label_before, a.label AS label_after FROM fpop f JOIN lbl b ON b.cell_id = f.cell_id "
+                f"JOIN lbl_after a ON a.cell_id = f.cell_id LEFT JOIN (SELECT c.cell_id, count(*) AS k FROM ({_new_stops_sql()}) s {_IN_CELL} GROUP BY c.cell_id) n ON n.cell_id = f.cell_id "
+                "WHERE coalesce(n.k, 0) > 0 OR b.label <> a.label")
+_CHANGE_CTES = LABEL_CTES + [f"allstops AS (SELECT * FROM stops UNION ALL {_new_stops_sql()})", *map(_after, LABEL_CTES)]
+
+
+def _what_if(c: Ctx) -> DataFrame:
+    from ..sources import fixtures as fx
+    return ex.what_if_labels(c.features_pop, c.labels, fx.new_stops(c.spark, c.sf_dir), c.spec)
+
+
+@query("what_if_labels", V(_CHANGED_SQL, *VIEWS, ctes=_CHANGE_CTES))
+def q_what_if_labels(c: Ctx) -> DataFrame:
+    """Cells with new stops or another label after adding stops (the SQL reruns everything)."""
+    return _what_if(c).select("cell_id", "stops_added", "population", "label_before", "label_after")
+
+
+@query("what_if_summary", V(
+    "SELECT count(*) FILTER (WHERE stops_added > 0) AS cells_with_new_stops, count(*) FILTER (WHERE label_before < label_after) AS cells_gained, "
+    "count(*) FILTER (WHERE label_before > label_after) AS cells_lost, CAST(coalesce(sum(population) FILTER (WHERE label_before < label_after), 0) AS BIGINT) AS population_gained, "
+    f"CAST(coalesce(sum(population) FILTER (WHERE label_before > label_after), 0) AS BIGINT) AS population_lost FROM ({_CHANGED_SQL}) w", *VIEWS, ctes=_CHANGE_CTES))
+def q_what_if_summary(c: Ctx) -> DataFrame:
+    """Cells and population gained and lost by adding stops."""
+    return ex.what_if_summary(_what_if(c))

@@ -130,6 +130,69 @@ def q_single_feature_rule(c: Ctx) -> DataFrame:
     return d.agg(F.round(F.avg(hit.cast("double")), 6).alias("accuracy"), F.count(F.lit(1)).alias("n"))
 
 
+STUMP_FEATURES = ["stop_count", "route_count", "daily_trips", "population"]
+
+
+def _stump_sql(c: str) -> str:
+    """Every distinct value as threshold, in both directions."""
+    return (f"SELECT * FROM (SELECT '{c}' AS feature, direction, threshold, round(avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM (SELECT d.direction, t.v AS threshold, "
+            f"CASE WHEN d.direction = '>=' THEN (x.v >= t.v) = (x.label = 1) ELSE (x.v < t.v) = (x.label = 1) END AS hit "
+            f"FROM (SELECT DISTINCT CAST({c} AS DOUBLE) AS v FROM fn) t CROSS JOIN (VALUES ('>='), ('<')) d(direction) CROSS JOIN (SELECT CAST(f.{c} AS DOUBLE) AS v, l.label FROM fn f JOIN lbl l ON l.cell_id = f.cell_id) x) h "
+            f"GROUP BY direction, threshold ORDER BY avg(CASE WHEN hit THEN 1.0 ELSE 0.0 END) DESC, direction DESC, threshold LIMIT 1) b")
+
+
+@query("best_single_rules", V(
+    " UNION ALL ".join(map(_stump_sql, STUMP_FEATURES))
+    + " UNION ALL SELECT 'majority', NULL, NULL, round(greatest(avg(label), 1 - avg(label)), 6) FROM lbl"
+    + " UNION ALL SELECT 'model', NULL, NULL, round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) FROM scored", *VIEWS,
+    ctes=[c.replace("lbl AS (", "lbl AS MATERIALIZED (").replace("fn AS (", "fn AS MATERIALIZED (") for c in SCORED_CTES]))
+def q_best_single_rules(c: Ctx) -> DataFrame:
+    """The best threshold rule of each feature beside the majority class and the fixed scorer."""
+    d = c.features_pop.join(c.labels.select("cell_id", "label"), "cell_id")
+    rules = mt.best_threshold(d, STUMP_FEATURES)
+    share = F.avg("label")
+    none = [F.lit(None).cast("string").alias("direction"), F.lit(None).cast("double").alias("threshold")]
+    majority = d.agg(F.greatest(share, 1 - share).alias("accuracy")).select(F.lit("majority").alias("feature"), *none, "accuracy")
+    model = _scored(c).agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy")).select(F.lit("model").alias("feature"), *none, "accuracy")
+    return rules.unionByName(majority).unionByName(model).withColumn("accuracy", F.round("accuracy", 6))
+
+
+#: The transit-only scorer leaves the population out of SCORER.
+FEATURE_SETS = {"transit": ["daily_trips_norm", "stop_count_norm"], "enriched": ["daily_trips_norm", "stop_count_norm", "population_norm"]}
+
+
+def _set_x(names: list[str]) -> str:
+    return " + ".join([*(f"{L(SCORER[n])} * {n}" for n in names), L(SCORER["bias"])])
+
+
+def _set_sql(name: str, other: str) -> str:
+    s = f"s_{name}"
+    auc = (f"(SELECT (sum(CASE WHEN label = 1 THEN rk ELSE 0 END) - P * (P + 1) / 2.0) / (P * (n - P)) FROM (SELECT label, rank() OVER (ORDER BY {s}) + "
+           f"(count(*) OVER (PARTITION BY {s}) - 1) / 2.0 AS rk, sum(label) OVER () AS P, count(*) OVER () AS n FROM sets) r GROUP BY P, n)")
+    return (f"SELECT '{name}' AS feature_set, {len(FEATURE_SETS[name])} AS n_features, n AS rows, round({_d('tp + tn', 'n')}, 6) AS accuracy, round({_P1}, 6) AS precision, round({_R1}, 6) AS recall, "
+            f"round({_F1}, 6) AS f1, round({auc}, 6) AS roc_auc, b AS only_this, round(CASE WHEN b + c = 0 THEN 0 ELSE (abs(b - c) - 1) * (abs(b - c) - 1) / CAST(b + c AS DOUBLE) END, 6) AS chi2 FROM ("
+            f"SELECT count(*) AS n, count(*) FILTER (WHERE label = 0 AND p_{name} = 0) AS tn, count(*) FILTER (WHERE label = 0 AND p_{name} = 1) AS fp, count(*) FILTER (WHERE label = 1 AND p_{name} = 0) AS fn, "
+            f"count(*) FILTER (WHERE label = 1 AND p_{name} = 1) AS tp, count(*) FILTER (WHERE p_{name} = label AND p_{other} <> label) AS b, "
+            f"count(*) FILTER (WHERE p_{name} <> label AND p_{other} = label) AS c FROM sets) k")
+
+
+@query("feature_set_comparison", V(
+    f"{_set_sql('transit', 'enriched')} UNION ALL {_set_sql('enriched', 'transit')}", *VIEWS, ctes=SPLIT_CTES + [
+        "sets AS MATERIALIZED (SELECT *, CASE WHEN s_transit >= 0.5 THEN 1 ELSE 0 END AS p_transit, CASE WHEN s_enriched >= 0.5 THEN 1 ELSE 0 END AS p_enriched FROM (SELECT f.cell_id, s.label, "
+        + ", ".join(f"round(CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + exp(-({_set_x(v)}))), 4) AS s_{k}" for k, v in FEATURE_SETS.items())
+        + " FROM fn f JOIN splits s ON s.cell_id = f.cell_id WHERE s.split = 'test') x)"]))
+def q_feature_set_comparison(c: Ctx) -> DataFrame:
+    """Transit-only and enriched scorers on the test rows, with the paired test (fixed coefficients)."""
+    def score(names):
+        x = sum((F.lit(SCORER[n]) * F.col(n) for n in names[1:]), F.lit(SCORER[names[0]]) * F.col(names[0])) + F.lit(SCORER["bias"])
+        return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-x)), 4)
+
+    test = sp.stratified_split(c.labels.select("cell_id", "label")).where("split = 'test'")
+    d = c.features_pop.join(test, "cell_id").select("cell_id", "label", *[score(v).alias(f"s_{k}") for k, v in FEATURE_SETS.items()])
+    found = mt.compare_feature_sets(materialize(d, "feature-sets"), {k: (f"s_{k}", v) for k, v in FEATURE_SETS.items()})
+    return found.withColumns({k: F.round(k, 6) for k in ("accuracy", "precision", "recall", "f1", "roc_auc", "chi2")})
+
+
 @query("analysis_table", V(
     "SELECT f.cell_id, f.population, l.label FROM fn f LEFT JOIN lbl l ON l.cell_id = f.cell_id AND l.label = 1",
     *VIEWS, ctes=SCORED_CTES))
