@@ -346,37 +346,46 @@ def _left_out(index: Broadcast):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast]:
-    """Term hashes and index, from the bounded examples and the frequencies over all of ``docs``, broadcast."""
+def _read_examples(examples: DataFrame) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, labels, sorted term hashes, and each example's terms and counts end to end, with the number of terms of each."""
+    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, "doc_id long, toxic int, terms array<long>, counts array<int>").orderBy("doc_id").toArrow().combine_chunks()
+    terms, counts = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
+    if isinstance(terms, pa.ChunkedArray):  # an empty table
+        terms, counts = pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int32()))
+    hashes, term = np.unique(terms.values.to_numpy().view(np.uint64), return_inverse=True)
+    return (rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist(), hashes, term.astype(np.int32), counts.values.to_numpy().astype(np.int32),
+            np.diff(terms.offsets.to_numpy()))
+
+
+def train(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast, tuple | None]:
+    """Term hashes and index, from the bounded examples and the frequencies over all of ``docs``, broadcast once each, and the
+    points of the calibration."""
     context = docs.sparkSession.sparkContext
     sample, weight = sample_labels(labels)
     examples = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")), "tox-examples")
-    n = {r["toxic"]: r["count"] for r in examples.groupBy("toxic").count().collect()}
-    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, "doc_id long, toxic int, terms array<long>, counts array<int>").orderBy("doc_id").toArrow().combine_chunks()
-    ids, labelled = rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist()
-    if n.get(0) and n.get(1):
-        terms, counts = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
-        ends = np.diff(terms.offsets.to_numpy())
-        hashes, term = np.unique(terms.values.to_numpy().view(np.uint64), return_inverse=True)
-        vectors = _split(np.repeat(np.arange(len(ids)), ends), len(ids), term, counts.values.to_numpy().astype(np.float64))
-    else:
-        hashes, vectors = np.empty(0, np.uint64), [(np.empty(0, np.int64), np.empty(0)) for _ in ids]
+    ids, labelled, hashes, term, counts, lengths = _read_examples(examples)
+    if len(set(labelled)) < 2:
+        hashes, term, counts, lengths = hashes[:0], term[:0], counts[:0], np.zeros_like(lengths)
+    pa.default_memory_pool().release_unused()
     hashed = context.broadcast(hashes)
     idf = np.zeros(len(hashes))
+    vectors = _split(np.repeat(np.arange(len(ids)), lengths), len(ids), term, counts)
     if len(hashes):
         counted = docs.select("text").mapInArrow(_frequencies(hashed), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
         held, df = (counted.column(c).to_numpy() for c in ("term", "n"))
         idf[held[held >= 0]] = df[held >= 0]
         idf = np.log((df[held < 0][0] + 1) / (idf + 1)) + 1
         idf = idf * np.sqrt(1 + evidence([t for t, _ in vectors], labelled, len(idf)))
+        del counted, held, df
     index = Index(list(zip(vectors, labelled)), idf, {y: weight.get(y, 1.0) for y in (0, 1)}, ids)
+    sent = context.broadcast(index)
     if index.ids:
         asked = docs.sparkSession.range(0, len(index.ids), 1, -(-len(index.ids) // (4 * QUERIES)))
-        cast = asked.mapInArrow(_left_out(context.broadcast(index)), "place long, vote double").toArrow()
+        cast = asked.mapInArrow(_left_out(sent), "place long, vote double").toArrow()
         votes = np.empty(len(index.ids))
         votes[cast.column("place").to_numpy()] = cast.column("vote").to_numpy()
         index.calibrate(votes)
-    return hashed, context.broadcast(index)
+    return hashed, sent, index.points
 
 
 def _scores(terms: Terms, index: Index, texts: pa.Array, known: dict):
@@ -395,11 +404,16 @@ def _scores(terms: Terms, index: Index, texts: pa.Array, known: dict):
             known.update(fresh)
 
 
-def _score(hashes: Broadcast, index: Broadcast):
+def _opened(hashes: Broadcast, index: Broadcast, points: tuple | None) -> tuple[Terms, Index]:
+    index.value.points = points
+    return Terms(hashes.value), index.value
+
+
+def _score(*trained):
     def run(batches):
-        terms, known = Terms(hashes.value), {}
+        (terms, index), known = _opened(*trained), {}
         for batch in batches:
-            scored = list(_scores(terms, index.value, batch.column(1), known))
+            scored = list(_scores(terms, index, batch.column(1), known))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([p for p, _ in scored], pa.float64()), pa.array([e for _, e in scored], pa.string())], names=["doc_id", "score", "evidence"])
 
     return run
@@ -411,11 +425,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
-def _accept(hashes: Broadcast, index: Broadcast, at: int):
+def _accept(at: int, *trained):
     def run(batches):
-        terms, known = Terms(hashes.value), {}
+        (terms, index), known = _opened(*trained), {}
         for batch in batches:
-            keep = [p < 0.5 for p, _ in _scores(terms, index.value, batch.column(at), known)]
+            keep = [p < 0.5 for p, _ in _scores(terms, index, batch.column(at), known)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
@@ -423,4 +437,4 @@ def _accept(hashes: Broadcast, index: Broadcast, at: int):
 
 def remove_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` scored below one half, all columns kept."""
-    return docs.mapInArrow(_accept(*train(docs, labels), docs.columns.index("text")), docs.schema)
+    return docs.mapInArrow(_accept(docs.columns.index("text"), *train(docs, labels)), docs.schema)
