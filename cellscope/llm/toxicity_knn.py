@@ -38,7 +38,7 @@ from cellscope.llm.common import fold, mix64, pieces, stored
 #: Labels are learned from rows whose fold is not HELD_OUT.
 FOLDS, HELD_OUT = 5, 0
 #: Labelled examples of each label, neighbours, queries scored at once.
-EXAMPLES, NEIGHBOURS, QUERIES = 4096, 15, 64
+EXAMPLES, NEIGHBOURS, QUERIES = 4096, 15, 256
 #: A term held by this share of the examples or more has block maxima in place of a posting list.
 COMMON_SHARE = 1 / 32
 #: Examples of a block, and blocks a query takes before it has a least neighbour.
@@ -198,7 +198,7 @@ class Index:
         flat = found.reshape(len(queries), width)
         least = np.partition(flat, width - k, axis=1)[:, width - k] if width > k else np.zeros(len(queries), np.float32)
         self._take((bound >= least[:, None]) & ~todo, q, partial, found, without)
-        return [self._ordered(row, k) for row in flat]
+        return [self._ordered(row, k, low) for row, low in zip(flat, least.tolist())]
 
     def _take(self, todo: np.ndarray, q: np.ndarray, partial: np.ndarray, found: np.ndarray, without: list[int] | None) -> None:
         """Whole cosines of the (query, block) pairs in ``todo``."""
@@ -209,11 +209,12 @@ class Index:
             found[row, place // BLOCK, place % BLOCK] = 0
 
     @staticmethod
-    def _ordered(similarity: np.ndarray, k: int) -> list[tuple[float, int]]:
-        places = np.flatnonzero(similarity > 0)
+    def _ordered(similarity: np.ndarray, k: int, least: float) -> list[tuple[float, int]]:
+        """The k greatest positive similarities; at least k are not below ``least`` unless it is 0."""
+        places = np.flatnonzero(similarity >= least if least > 0 else similarity > 0)
         if len(places) > k:
-            least = np.partition(similarity, len(similarity) - k)[-k]
-            places = np.flatnonzero(similarity >= least)
+            best = similarity[places]
+            places = places[best >= np.partition(best, len(best) - k)[-k]]
         return sorted(((float(similarity[p]), p) for p in places.tolist()), key=lambda x: (-x[0], x[1]))[:k]
 
     def nearest(self, v: dict[int, float], k: int = NEIGHBOURS) -> list[tuple[float, int]]:
