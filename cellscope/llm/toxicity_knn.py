@@ -166,14 +166,13 @@ class Index:
     def _open(self) -> None:
         """The common terms' weights by example (whole blocks), and the greatest of each block."""
         blocks = -(-len(self.ids) // BLOCK)
-        self._column = np.full(len(self.idf), -1)
+        self._column = np.full(len(self.idf), -1, np.int32)
         self._column[self.common] = np.arange(len(self.common))
-        self._dense = np.zeros((len(self.common), blocks * BLOCK), np.float32)
+        self._dense = np.zeros((blocks, len(self.common), BLOCK), np.float32)
         for c, t in enumerate(self.common.tolist()):
             at = slice(self.starts[t], self.starts[t + 1])
-            self._dense[c, self.place[at]] = self.unit_weights[at]
-        self._most = self._dense.reshape(len(self.common), blocks, BLOCK).max(2) if blocks else self._dense
-        self._dense = np.ascontiguousarray(self._dense.reshape(len(self.common), blocks, BLOCK).transpose(1, 0, 2))
+            self._dense[self.place[at] // BLOCK, c, self.place[at] % BLOCK] = self.unit_weights[at]
+        self._most = np.ascontiguousarray(self._dense.max(2).T)
 
     def best(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """The k most similar examples of each query (terms, unit weights), exactly: (similarity, place), most similar first."""
