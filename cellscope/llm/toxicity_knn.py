@@ -21,9 +21,12 @@ every score is that label's rate (0 without labels); ties in similarity go to th
 
 from __future__ import annotations
 
+import ctypes
+import glob
 import hashlib
 import itertools
 import math
+import os
 from collections import Counter
 
 import numpy as np
@@ -332,6 +335,7 @@ def _frequencies(hashes: Broadcast):
 def _left_out(index: Broadcast):
     """(place, vote) of each example by the others."""
     def run(batches):
+        _one_thread()
         found = index.value
         terms = np.repeat(np.arange(len(found.idf)), np.diff(found.starts))
         order = np.argsort(found.place, kind="stable")
@@ -404,7 +408,17 @@ def _scores(terms: Terms, index: Index, texts: pa.Array, known: dict):
             known.update(fresh)
 
 
+def _one_thread() -> None:
+    """One thread for numpy's matrix products in this worker: Spark runs tasks side by side, and threads that wait for
+    the next small product only burn CPU. Another build of numpy keeps its own setting."""
+    for lib in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        limit = getattr(ctypes.CDLL(lib), "scipy_openblas_set_num_threads64_", None)
+        if limit is not None:
+            limit(1)
+
+
 def _opened(hashes: Broadcast, index: Broadcast, points: tuple | None) -> tuple[Terms, Index]:
+    _one_thread()
     index.value.points = points
     return Terms(hashes.value), index.value
 
