@@ -1,22 +1,14 @@
-"""Helpers for linking candidates: exact bounds from bitmaps, and components in two steps. DataFrame operations only."""
+"""Helpers for linking candidates: exact bounds on bitmaps, and components in two steps. DataFrame operations only."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 64-bit words of a set's bitmap.
+#: 64-bit words of a set's bitmap of element hashes.
 MAP_WORDS = 16
 
 
-def bitmaps(sets: DataFrame) -> DataFrame:
-    """(id, n, w0 .. w15) for sets (id, set): the set's size, and a bitmap of its elements' hashes."""
-    each = sets.select("id", F.explode("set").alias("e")).select("id", F.pmod("e", F.lit(64 * MAP_WORDS)).cast("int").alias("slot"))
-    bit = F.expr("shiftleft(1L, slot % 64)")
-    words = [F.bit_or(F.when(F.floor(F.col("slot") / 64) == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{k}") for k in range(MAP_WORDS)]
-    return each.groupBy("id").agg(F.count("*").alias("n"), *words)
-
-
 def may_link(a: str, b: str, similarity: int) -> Column:
     """False only for pairs of sets (columns prefixed ``a`` and ``b``) that cannot be ``similarity`` percent alike.
 

@@ -255,3 +255,15 @@ def test_line_dedup_with_clashing_names(spark):
     found = line_minhash.dedup_lines(docs)
     assert [(r["doc_id"], r["text"], r["gone"], r["gone_id"], r["id"], r["n_lines"], r["n_kept"]) for r in found.orderBy("doc_id").collect()] == [
         (1, line, "a", 6, 7, 1, 1), (2, "", "b", 6, 7, 1, 0)]
+
+
+def test_line_windows_in_blocks(monkeypatch):
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("abcé中\U0001f600") for _ in range(n)) for n in (40, 41, 700, 55, 1300, 60)]
+    whole, least = line_minhash._distinct(lines), line_minhash._minima(lines)
+    for i, line in enumerate(lines):
+        n = len({line[k:k + line_minhash.SHINGLE] for k in range(len(line) - line_minhash.SHINGLE + 1)})
+        assert (whole >> line_minhash.SET_BITS == i).sum() == n
+        assert (line_minhash._minima([line])[0] == least[i]).all()
+    monkeypatch.setattr(line_minhash, "BLOCK", 64)
+    assert (line_minhash._distinct(lines) == whole).all() and (line_minhash._minima(lines) == least).all()
