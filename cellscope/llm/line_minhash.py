@@ -45,7 +45,7 @@ LEAST_EQUAL = 10
 #: Masks evenly spread over 32 bits: a minimum under a mask is the hash nearest to it.
 MASKS = [((k * (1 << 32) // HASHES + 0x2545F491 * (k + 1)) % (1 << 32)) - (1 << 31) for k in range(HASHES)]
 #: Characters that are hashed at once in a task; longer lines are cut, with windows across the cuts kept.
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 #: Bits of a shingle's hash when sets are compared; the rest of a word names the line.
 SET_BITS = 44
 _SHORT = rf"(?:[^ \t\x0B\f\r]++[ \t\x0B\f\r]++){{{SHORT_WORDS - 1}}}[^ \t\x0B\f\r]"
@@ -126,9 +126,10 @@ def _distinct(lines: list[str]) -> np.ndarray:
         n = ends - starts
         place = np.arange(n.sum()) + np.repeat(starts - (np.cumsum(n) - n), n)
         owner = np.repeat(np.arange(at, end, dtype=np.uint64), n)
-        found.append(np.unique((owner << np.uint64(SET_BITS)) | (hashes[place] >> np.uint64(64 - SET_BITS))))
-    # a line cut into blocks may repeat a shingle in two of them
-    return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
+        found.append((owner << np.uint64(SET_BITS)) | (hashes[place] >> np.uint64(64 - SET_BITS)))
+    words = np.concatenate(found)
+    words.sort()
+    return words[np.append(True, words[1:] != words[:-1])]
 
 
 def _pieces(batch: pa.RecordBatch, *texts: str) -> Iterator[pa.RecordBatch]:
