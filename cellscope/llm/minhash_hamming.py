@@ -112,8 +112,8 @@ def _sign(batches):
             sizes.append(len(s))
             d1.append(_digest(s) if len(s) else None)
             sigs.append(signature(s).tobytes() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(sigs, pa.binary())],
-                                         names=["doc_id", "n_shingles", "d1", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(sigs, pa.binary()), batch.column(2)],
+                                         names=["doc_id", "n_shingles", "d1", "sig", "mark"])
 
 
 def _keys(batches):
@@ -244,10 +244,10 @@ def _with_signatures(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             .select("a", "b", "sa", "sb").mapInArrow(_near, "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, mark, c) of every row: a 64-bit hash of its text, and its component's least set (null without words)."""
     docs = docs.select("doc_id", "text")
-    signed = stored(docs.mapInArrow(_sign, "doc_id long, n_shingles long, d1 long, sig binary"), "mh-signed")
+    signed = stored(docs.withColumn("mark", F.xxhash64("text")).mapInArrow(_sign, "doc_id long, n_shingles long, d1 long, sig binary, mark long"), "mh-signed")
     # a class is a set; a 64-bit digest of the set names it
     classes = stored(signed.where("n_shingles > 0").groupBy(F.col("d1").alias("id")).agg(F.min("sig").alias("sig")), "mh-classes")
     keyed = classes.select("id", "sig").mapInArrow(_keys, "key long, id long")
@@ -276,8 +276,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     over = connected_components(stored(contract(found, more), "mh-more"), "a", "b", "mh-cc")
     found = merged(found, over)
 
-    rows = signed.select("doc_id", "n_shingles", "d1").join(stored(found, "mh-components"), F.col("d1") == F.col("id"), "left")
-    rows = rows.select("doc_id", "n_shingles", F.coalesce("component", "d1").alias("c"))
+    rows = signed.select("doc_id", "n_shingles", "d1", "mark").join(stored(found, "mh-components"), F.col("d1") == F.col("id"), "left")
+    return rows.select("doc_id", "n_shingles", "mark", F.coalesce("component", "d1").alias("c"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    rows = _placed(docs).drop("mark")
     first = rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("least"))
     rows = rows.join(first, "c", "left")
     own = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("least"))
@@ -285,9 +290,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept: one document of each group of near copies, all columns kept.
+    """The rows of ``docs`` that are kept: one row of each group of near copies, all columns kept.
 
-    Rows that share a doc_id are kept or dropped by their own texts as far as the ids tell them apart.
+    A row is told by its id and its text's hash, so rows that share an id go or stay by their own texts. A group's row is the one
+    of the least id (a null id only where there is no other), ties by hash; of rows equal in id and text one stays. Rows without
+    words stay, all of them.
     """
-    gone = stored(near_duplicates(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "mh-gone")
-    return docs.join(small(gone), "doc_id", "left_anti").select(*docs.columns)
+    placed = stored(_placed(docs).where("c is not null"), "mh-rows")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
+    first = placed.groupBy("c").agg(least.alias("first"), F.count("*").alias("n")).where("n > 1").select("c", "first.doc_id", "first.mark")
+    first = stored(first, "mh-first")
+    known = ["doc_id", "mark"]
+    mine = placed.groupBy("c", *known).agg(F.count("*").alias("n")).alias("m").join(first.alias("f"), F.col("m.c") == F.col("f.c"))
+    wins = F.col("m.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("m.mark") == F.col("f.mark"))
+    # what goes, and what stays once; rows alone in their group are in neither
+    marked = stored(mine.where(~wins | (F.col("n") > 1)).select(F.col("m.doc_id").alias("of"), F.col("m.mark").alias("mark"), wins.alias("once")), "mh-marked")
+
+    def among(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        some = small(some)
+        return rows.join(some, F.col("doc.doc_id").eqNullSafe(some["of"]) & (F.xxhash64("doc.text") == some["mark"]), how)
+
+    rows = docs.select(F.struct("*").alias("doc"))
+    alone = among(rows, marked, "left_anti").select("doc")
+    once = among(rows, marked.where("once"), "left_semi").select("doc", F.col("doc.doc_id").alias("of"), F.xxhash64("doc.text").alias("mark"))
+    once = once.groupBy("of", "mark").agg(F.first("doc").alias("doc")).select("doc")
+    return alone.union(once).select("doc.*")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cellscope.llm import byte_bpe, conversation_repair, importance_resampling, line_minhash
+from cellscope.llm import byte_bpe, conversation_repair, importance_resampling, line_minhash, minhash_hamming
 
 ODD = [(1, "alpha beta gamma delta epsilon zeta"), (1, "alpha beta gamma delta epsilon zeta"), (2, None), (3, ""), (None, "alpha beta"), (4, "x"), (5, "Word " * 60000), (6, "ÀÉ ß ñ\x00 ퟿")]
 
@@ -267,3 +267,14 @@ def test_line_windows_in_blocks(monkeypatch):
         assert (line_minhash._minima([line])[0] == least[i]).all()
     monkeypatch.setattr(line_minhash, "BLOCK", 64)
     assert (line_minhash._distinct(lines) == whole).all() and (line_minhash._minima(lines) == least).all()
+
+
+def test_keep_one_by_row(spark):
+    long = "the quick brown fox jumps over the lazy dog near the old river bank and sleeps under a tall tree until the morning comes"
+    other = "an entirely different text of several words that no one else in this small table has ever written down before today"
+    rows = [(1, long, "a"), (2, long + " again", "b"), (2, other, "c"), (None, long, "d"), (None, "one two three four five six", "e"), (None, "one two three four five six", "e"),
+            (3, None, "f"), (3, "", "g"), (4, "seven eight nine", "h"), (4, "seven eight nine", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark string")
+    kept = minhash_hamming.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["mark"] for r in kept.collect()) == ["a", "c", "e", "f", "g", "h"]
