@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 RING_TYPE = "array<struct<x:double,y:double>>"
 
 
+def _bound(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` evaluated once: an expression named many times in ``f`` would be evaluated at each place."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def _edges(ring: Column) -> Column:
     """Indices 0 .. n-2 of the edges (i, i+1) of a closed ring."""
     return F.sequence(F.lit(0), F.size(ring) - 2)
@@ -93,14 +98,14 @@ def ring_self_intersects(ring: Column) -> Column:
 
 def ring_is_valid(ring: Column) -> Column:
     """Closed, at least 4 points, non-zero area, no crossing edges."""
-    return (ring.isNotNull() & (F.size(ring) >= 4) & ring_is_closed(ring)
-            & (ring_area(ring) != 0) & ~ring_self_intersects(ring))
+    return _bound(ring, lambda r: (r.isNotNull() & (F.size(r) >= 4) & ring_is_closed(r)
+                                   & (ring_area(r) != 0) & ~ring_self_intersects(r)))
 
 
 def repair_ring(ring: Column) -> Column:
     """The simple repairs: drop consecutive repeated points, then close."""
-    dedup = F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, i - 1)))
-    return F.when(ring_is_closed(dedup), dedup).otherwise(F.concat(dedup, F.array(F.get(dedup, 0))))
+    dedup = _bound(ring, lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1))))
+    return _bound(dedup, lambda d: F.when(ring_is_closed(d), d).otherwise(F.concat(d, F.array(F.get(d, 0)))))
 
 
 def rect_ring(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
