@@ -16,7 +16,7 @@ table is ordered globally, and rows are numbered inside their bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -27,6 +27,13 @@ def one_row(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def ieee_div(a, b) -> Column:
+    """``a / b`` as IEEE doubles, as SQL engines without ANSI errors return it: over 0 an infinity, or NaN for 0 / 0 and NaN."""
+    a, b = a.cast("double"), b.cast("double")
+    over_zero = F.when(a > 0, float("inf")).when(a < 0, float("-inf")).otherwise(float("nan"))
+    return F.when(b == 0, F.when(F.isnan(a), float("nan")).when(a.isNotNull(), over_zero)).otherwise(a / F.nullif(b, F.lit(0.0)))
+
+
 def with_bucket(df: DataFrame, value: str, cuts: str, out: str = "_bk", max_cuts: int = 255) -> DataFrame:
     """Number of cut points strictly below ``value`` (``cuts`` sorted
     ascending, at most ``max_cuts`` of them) by binary search: one projection

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .ranking import one_row, positions
+from .ranking import ieee_div, one_row, positions
 
 #: Neighbours of the mutual-information estimate, and rows of a class that are sorted together.
 NEIGHBOURS, BLOCK_ROWS = 3, 50_000
 
 
 def anova_f(df: DataFrame, features: list[str], label: str = "label") -> DataFrame:
-    """F = (SSB / (k - 1)) / (SSW / (n - k)) per feature, largest first."""
+    """F = (SSB / (k - 1)) / (SSW / (n - k)) per feature, largest first; over 0 (a feature that is constant in
+    every class, a single class) an infinity or NaN, which comes first."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), *[e for c in features for e in (
         F.sum(F.col(c).cast("double")).alias(f"{c}__s"), F.sum(F.col(c).cast("double") ** 2).alias(f"{c}__q"))])
     tot = per.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), *[e for c in features for e in (
@@ -28,7 +29,7 @@ def anova_f(df: DataFrame, features: list[str], label: str = "label") -> DataFra
     for c in features:
         ssb = F.col(f"{c}__B") - F.col(f"{c}__S") ** 2 / F.col("n")
         ssw = F.col(f"{c}__Q") - F.col(f"{c}__B")
-        f = (ssb / (F.col("k") - 1)) / (ssw / (F.col("n") - F.col("k")))
+        f = ieee_div(ieee_div(ssb, F.col("k") - 1), ieee_div(ssw, F.col("n") - F.col("k")))
         rows.append(F.struct(F.lit(c).alias("feature"), f.alias("f_score")))
     return tot.select(F.inline(F.array(*rows))).orderBy(F.desc("f_score"), "feature")
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prep import numeric_columns
-from .ranking import average_pct_rank, exact_quantiles, multi_quantiles, one_row
+from .ranking import average_pct_rank, exact_quantiles, ieee_div, multi_quantiles, one_row
 
 
 def _stack(df: DataFrame, rows: list[tuple[str, list]], names: list[str]) -> DataFrame:
@@ -108,11 +108,18 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                       F.coalesce("count", F.lit(0)).alias("count"))
 
 
+def pearson(a, b):
+    """Pearson r over the rows where both are known; NaN when one of them does not vary, null for fewer than two rows."""
+    a, b = a.cast("double"), b.cast("double")
+    spread = F.sqrt(F.var_samp(F.when(b.isNotNull(), a)) * F.var_samp(F.when(a.isNotNull(), b)))
+    return ieee_div(F.covar_samp(a, b), spread)
+
+
 def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Pearson r for every ordered pair, pairwise-complete, one pass."""
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    s = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
+    s = df.agg(*[pearson(F.col(a), F.col(b)).alias(f"{a}__{b}") for a, b in pairs])
     rows = []
     for a, b in pairs:
         rows += [(f"{a}|{b}", [F.col(f"{a}__{b}")]), (f"{b}|{a}", [F.col(f"{a}__{b}")])]
@@ -130,7 +137,7 @@ def populated(df: DataFrame) -> DataFrame:
 def pop_correlations(df: DataFrame, metrics: list[str]) -> DataFrame:
     """r(population, metric) over populated cells."""
     p = populated(df)
-    s = p.agg(*[F.corr(F.col("population").cast("double"), F.col(m).cast("double")).alias(m) for m in metrics])
+    s = p.agg(*[pearson(F.col("population"), F.col(m)).alias(m) for m in metrics])
     return _stack(s, [(m, [F.col(m)]) for m in metrics], ["metric", "r"])
 
 
