@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import LabelConfig
-from ..session import materialize
-from .feed import stop_cells, weekday_trips
+from ..session import deal, deal_join, materialize, row_tasks
+from .feed import stop_cells, trip_cells, weekday_trips
 from .grid import GridSpec
 from .labels import generate_labels
 from .ranking import exact_quantiles, one_row
@@ -61,16 +61,18 @@ def headway_variability(stop_times: DataFrame, trips: DataFrame, slice_s: int =
     from its ordered arrivals (at most ``slice_s``), and gaps between slices from the last arrival of a slice and the first of the
     next, so a stop with very many arrivals is worked on slice by slice. Sums are whole numbers.
     """
-    st = stop_times.select("trip_id", "stop_id", "arrival_s").where("arrival_s IS NOT NULL").join(trips.select("trip_id", "route_id"), "trip_id")
-    by = ["stop_id", "route_id"]
-    seen = st.groupBy(*by, "arrival_s").agg(F.count(F.lit(1)).alias("_c")).withColumn("_slice", F.floor(F.col("arrival_s") / slice_s))
+    tasks, by = row_tasks(stop_times, trips), ["stop_id", "route_id"]
+    known = stop_times.select("trip_id", "stop_id", "arrival_s").where("arrival_s IS NOT NULL")
+    st = deal_join(known, trips.select("trip_id", "route_id"), tasks, "trip_id").drop("trip_id")
+    st = deal(st.withColumn("_slice", F.floor(F.col("arrival_s") / slice_s)), tasks, *by, "_slice")
+    seen = st.groupBy(*by, "_slice", "arrival_s").agg(F.count(F.lit(1)).alias("_c"))
     inner = Window.partitionBy(*by, "_slice").orderBy("arrival_s")
     gap = F.col("arrival_s") - F.lag("arrival_s").over(inner)
     slices = seen.withColumn("_g", gap.cast("long")).groupBy(*by, "_slice").agg(
         F.sum("_c").alias("_n"), F.min("arrival_s").alias("_first"), F.max("arrival_s").alias("_last"), F.coalesce(F.sum(F.col("_g") * F.col("_g")), F.lit(0)).alias("_q"))
     between = Window.partitionBy(*by).orderBy("_slice")  # one row for each slice
     joint = (F.col("_first") - F.lag("_last").over(between)).cast("long")
-    g = slices.withColumn("_j", joint).groupBy(*by).agg(
+    g = deal(slices, tasks, *by).withColumn("_j", joint).groupBy(*by).agg(
         F.sum("_n").alias("n"), (F.max("_last") - F.min("_first")).cast("long").alias("_span"), F.sum(F.col("_q") + F.coalesce(F.col("_j") * F.col("_j"), F.lit(0))).alias("_q"))
     m = F.col("n") - 1
     spread = F.greatest(F.lit(0.0), (F.col("_q") - F.col("_span") * F.col("_span") / m) / (m - 1))
@@ -94,8 +96,9 @@ def underserved_population(labels: DataFrame) -> DataFrame:
 def route_entropy(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, spec: GridSpec) -> DataFrame:
     """Shannon entropy of the route mix of trips serving each cell:
     -sum p ln p over routes, p = distinct trips of the route / all."""
-    st = stop_times.select("trip_id", "stop_id").join(trips.select("trip_id", "route_id"), "trip_id")
-    ct = st.join(stop_cells(stops, spec), "stop_id").select("cell_id", "route_id", "trip_id").distinct()
+    tasks = row_tasks(stop_times, trips)
+    routes = deal(trips.select("trip_id", "route_id"), tasks, "trip_id").distinct()
+    ct = deal_join(trip_cells(stops, stop_times, spec, tasks), routes, tasks, "trip_id")
     per_route = ct.groupBy("cell_id", "route_id").agg(F.count(F.lit(1)).alias("n"))
     tot = per_route.groupBy("cell_id").agg(F.sum("n").alias("_t"))
     p = F.col("n") / F.col("_t")

@@ -1,9 +1,9 @@
 """Transit-feed aggregates per stop and per cell.
 
-Plan shape at scale: ``stop_times`` (the large table) is joined once to
-``trips`` on trip_id (sort-merge join; AQE splits a skewed trip), then
-reduced to distinct (stop, route) and (stop, trip) pairs with map-side
-partial aggregation before any shuffle on those keys. Only per-stop
+Plan shape at scale: ``stop_times`` (the large table) is reduced to distinct
+visits (stop, trip) and joined once to ``trips``, both dealt by trip_id over
+a number of tasks that follows from their rows (``session.deal``), so that a
+task's memory does not grow with the tables. Only per-stop
 aggregates (one row per stop) meet the stop -> cell table, and only per-cell
 aggregates (one row per cell) meet the grid. The stop -> cell assignment is
 arithmetic (no join).
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_checked
+from ..session import broadcast_checked, deal, deal_join, row_tasks
 from .grid import GridSpec
 from .spatial import locate_in_grid
 
@@ -64,9 +64,9 @@ def routes_per_stop(stop_times: DataFrame, trips: DataFrame) -> DataFrame:
 
 def weekday_stop_trips(stop_times: DataFrame, trips: DataFrame, calendar: DataFrame) -> DataFrame:
     """Distinct (stop_id, trip_id) of weekday trips."""
-    st = stop_times.select("trip_id", "stop_id").join(weekday_trips(trips, calendar).select("trip_id"),
-                                                      "trip_id", "left_semi")
-    return st.distinct()
+    tasks = row_tasks(stop_times, trips)
+    st = deal(stop_times.select("trip_id", "stop_id"), tasks, "trip_id").distinct()
+    return deal_join(st, weekday_trips(trips, calendar).select("trip_id"), tasks, "trip_id", "left_semi")
 
 
 def trips_per_stop(stop_times: DataFrame, trips: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -100,12 +100,18 @@ def daily_trips(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, calen
     return sc.groupBy("cell_id").agg(F.sum(F.coalesce("daily_trips", F.lit(0))).cast("long").alias("daily_trips"))
 
 
+def trip_cells(stops: DataFrame, stop_times: DataFrame, spec: GridSpec, tasks: int) -> DataFrame:
+    """Distinct (trip_id, cell_id) of the cells in which a trip stops, dealt by trip_id."""
+    pairs = deal_join(stop_times.select("trip_id", "stop_id"), stop_cells(stops, spec), tasks, "stop_id").select("trip_id", "cell_id")
+    return deal(pairs, tasks, "trip_id").distinct()
+
+
 def daily_trips_distinct(stops: DataFrame, stop_times: DataFrame, trips: DataFrame, calendar: DataFrame,
                          spec: GridSpec) -> DataFrame:
     """Distinct weekday trips touching a cell."""
-    pairs = weekday_stop_trips(stop_times, trips, calendar).join(stop_cells(stops, spec), "stop_id")
-    return (pairs.select("cell_id", "trip_id").distinct().groupBy("cell_id")
-            .agg(F.count(F.lit(1)).alias("daily_trips_distinct")))
+    tasks = row_tasks(stop_times, trips)
+    pairs = deal_join(trip_cells(stops, stop_times, spec, tasks), weekday_trips(trips, calendar).select("trip_id"), tasks, "trip_id", "left_semi")
+    return pairs.groupBy("cell_id").agg(F.count(F.lit(1)).alias("daily_trips_distinct"))
 
 
 def complete_grid(cells: DataFrame, *metrics: DataFrame) -> DataFrame:
@@ -126,10 +132,12 @@ def extract_features(cells: DataFrame, stops: DataFrame, stop_times: DataFrame,
     counted per (stop, route), then per (cell, route), which gives both the
     routes and the weekday trips of a cell. A trip has one row in ``trips``.
     """
-    visits = stop_times.select("trip_id", "stop_id").join(flag_weekday(trips, calendar), "trip_id").distinct()
-    per_stop = visits.groupBy("stop_id", "route_id").agg(F.sum("weekday").alias("_trips"))
+    tasks = row_tasks(stop_times, trips)
+    st = deal(stop_times.select("trip_id", "stop_id"), tasks, "trip_id").distinct()
+    visits = deal_join(st, deal(flag_weekday(trips, calendar), tasks, "trip_id").distinct(), tasks, "trip_id")
+    per_stop = deal(visits, tasks, "stop_id").groupBy("stop_id", "route_id").agg(F.sum("weekday").alias("_trips"))
     sc = stop_cells(stops, spec)
-    per_route = per_stop.join(sc, "stop_id").groupBy("cell_id", "route_id").agg(F.sum("_trips").alias("_trips"))
+    per_route = deal_join(per_stop, sc, tasks, "stop_id").groupBy("cell_id", "route_id").agg(F.sum("_trips").alias("_trips"))
     served = per_route.groupBy("cell_id").agg(F.count(F.lit(1)).alias("route_count"), F.sum("_trips").alias("daily_trips"))
     counts = sc.groupBy("cell_id").agg(F.count(F.lit(1)).alias("stop_count"))
     feats = complete_grid(cells.select("cell_id", "area_km2"), counts, served)

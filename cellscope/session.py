@@ -86,6 +86,32 @@ def broadcast_checked(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: Rows that a task of a counted shuffle gets on average.
+TASK_ROWS = 1_000_000
+
+
+def row_tasks(*frames: DataFrame) -> int:
+    """Tasks for a shuffle of the largest of ``frames`` (tables as read: they are counted), one for each TASK_ROWS rows."""
+    return max(1, *(-(-f.count() // TASK_ROWS) for f in frames))
+
+
+def deal(df: DataFrame, tasks: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over ``tasks`` tasks, or over as many as run at once if these are more; with one task it is
+    left to the planner.
+
+    The planner's shuffles have a fixed number of partitions and are coalesced down to the cores, so their tasks grow with the input.
+    """
+    return df if tasks == 1 else df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
+def deal_join(many: DataFrame, few: DataFrame, tasks: int, key: str, how: str = "inner") -> DataFrame:
+    """Join on ``key``, both sides dealt by it over ``tasks`` tasks. ``few`` is hashed and ``many`` streams past it, so
+    that a key with very many rows takes time in its task but no memory."""
+    if tasks == 1:
+        return many.join(few, key, how)
+    return deal(many, tasks, key).join(deal(few, tasks, key).hint("shuffle_hash"), key, how)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
