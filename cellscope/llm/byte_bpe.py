@@ -7,7 +7,8 @@ strings never pass. Tier two: every other pre-token is merged on its own, with a
 list of its bytes, the least rank first and the leftmost of equal ones.
 
 A text is cut into pre-tokens by the public pattern; a text of any length is cut whole, in portions that end where a
-token must end (a letter before a space and a letter). Each portion's distinct pre-tokens are resolved once.
+token must end (a letter before a space and a letter). Each portion's distinct pre-tokens are resolved once. A portion
+without characters above U+FFFF is cut by the standard library's engine, which is given the classes' characters one by one.
 
 Defined cases: null and empty texts have no ids; null ids and repeated rows are rows like others; extra columns are
 ignored; an empty table gives no rows.
@@ -20,6 +21,7 @@ import functools
 import hashlib
 import heapq
 import itertools
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -56,6 +58,22 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(f"(?V1){pattern}")
 
 
+def plane_splitter(pattern: str) -> re.Pattern:
+    """``splitter`` for texts without characters above U+FFFF: its classes' characters are listed, as ranges."""
+    plane = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x10000))))
+    listed = {}
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        ranges = itertools.groupby(enumerate(splitter(name).findall(plane)), lambda at: ord(at[1]) - at[0])
+        ends = [(found[0][1], found[-1][1]) for found in (list(group) for _, group in ranges)]
+        listed[name] = "".join(f"{re.escape(first)}-{re.escape(last)}" for first, last in ends)
+
+    def spelled(found: re.Match) -> str:
+        inner = re.sub(r"\\p\{[LN]\}|\\s", lambda name: listed[name[0]], found[0])
+        return inner if found[0][0] == "[" else f"[{inner}]"
+
+    return re.compile(re.sub(r"\[[^\]]*\]|\\p\{[LN]\}|\\s", spelled, pattern.replace(r"\S", r"[^\s]")))
+
+
 class PerfectHash:
     """Minimal perfect hash over distinct byte strings: each key's own number below their count, found in arrays."""
 
@@ -122,7 +140,7 @@ class Codec:
     CUT = regex.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.split = ranks, splitter(pattern)
+        self.ranks, self.split, self.split_plane = ranks, splitter(pattern), plane_splitter(pattern)
         self.perfect = PerfectHash(list(ranks))
         numbers = self.perfect(list(ranks))
         self.owner, self.id_of = [b""] * len(ranks), np.zeros(len(ranks), "<u4")
@@ -157,11 +175,15 @@ class Codec:
             start = cut.start()
         yield text[start:]
 
+    def pre_tokens(self, portion: str) -> list[str]:
+        plane = portion.isascii() or len(portion.encode("utf-16-le", "replace")) == 2 * len(portion)
+        return (self.split_plane if plane else self.split).findall(portion)
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Each text's ids."""
         cut, distinct = [], set()
         for text in texts:
-            found = [self.split.findall(p) for p in self.portions(text)] if text else []
+            found = [self.pre_tokens(p) for p in self.portions(text)] if text else []
             distinct.update(*found)
             cut.append(found)
         ids = self.resolve(list(distinct)).__getitem__
