@@ -138,11 +138,13 @@ class Index:
         terms = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.int64)
         unit = np.concatenate([r[1] for r in rows]) if rows else np.empty(0, np.float32)
         place = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
+        del rows  # the vectors are in the arrays
         order = np.argsort(terms, kind="stable")
         self.place, self.unit_weights = place[order], unit[order]
+        del order, place, unit
         held = np.bincount(terms, minlength=len(idf))
         self.starts = np.concatenate([[0], np.cumsum(held)])
-        self.common = np.flatnonzero(held >= max(2, COMMON_SHARE * len(rows)))
+        self.common = np.flatnonzero(held >= max(2, COMMON_SHARE * len(self.ids)))
         self._dense = None
         self.points: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -352,13 +354,19 @@ def _left_out(index: Broadcast):
 
 def _read_examples(examples: DataFrame) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Ids, labels, sorted term hashes, and each example's terms and counts end to end, with the number of terms of each."""
-    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, "doc_id long, toxic int, terms array<long>, counts array<int>").orderBy("doc_id").toArrow().combine_chunks()
-    terms, counts = (rows.column(c).combine_chunks() for c in ("terms", "counts"))
-    if isinstance(terms, pa.ChunkedArray):  # an empty table
-        terms, counts = pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int32()))
-    hashes, term = np.unique(terms.values.to_numpy().view(np.uint64), return_inverse=True)
-    return (rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist(), hashes, term.astype(np.int32), counts.values.to_numpy().astype(np.int32),
-            np.diff(terms.offsets.to_numpy()))
+    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, "doc_id long, toxic int, terms array<long>, counts array<int>").toArrow()
+    ids, labels = (rows.column(c).to_numpy() for c in ("doc_id", "toxic"))
+    hashes, terms, counts = np.empty(0, np.uint64), [], []
+    for chunk in rows.column("terms").chunks:  # chunk by chunk: what is added to the table stays small
+        hashes = np.union1d(hashes, chunk.flatten().to_numpy().view(np.uint64))
+    for batch in rows.to_batches():
+        ends = np.cumsum(batch.column("terms").value_lengths().to_numpy())[:-1]
+        terms += np.split(np.searchsorted(hashes, batch.column("terms").flatten().to_numpy().view(np.uint64)).astype(np.int32), ends) if batch.num_rows else []
+        counts += np.split(batch.column("counts").flatten().to_numpy().copy(), ends) if batch.num_rows else []
+    del rows
+    order = np.argsort(ids, kind="stable").tolist()
+    term, count = (np.concatenate([np.empty(0, np.int32), *(parts[k] for k in order)]) for parts in (terms, counts))
+    return ids[order].tolist(), labels[order].tolist(), hashes, term, count, np.array([len(terms[k]) for k in order], np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast, tuple | None]:
