@@ -44,75 +44,115 @@ FOLDS, HELD_OUT = 5, 0
 EXAMPLES, NEIGHBOURS, QUERIES = 4096, 15, 256
 #: A term held by this share of the examples or more has block maxima in place of a posting list.
 COMMON_SHARE = 1 / 32
-#: Examples of a block, and blocks a query takes before it has a least neighbour.
-BLOCK, FIRST_BLOCKS = 64, 2
+#: Examples of a block, and numbers of blocks after which a query raises its least neighbour.
+BLOCK, FIRST_BLOCKS = 64, (2, 8)
 #: Neighbours far away say little: votes are added to this many votes of the overall rate.
 PRIOR_VOTES = 2.0
 STEMS = (4, 5, 6)
+#: Bytes of text that are cut into words at once, and bytes beyond which a word is hashed by itself.
+TEXT_BLOCK, LONG_WORD = 1 << 20, 64
+#: Masks for the first 0 to 8 bytes of a number.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 _WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
-def word_counts(text: str | None) -> Counter:
-    count: Counter = Counter()
-    if text:
-        for part in pieces(text.encode("utf-8", "surrogatepass").translate(_WORDS)):
-            count.update(part.split())
-    return count
+def _words(data: bytes, cuts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, digest, held) of each word and its beginnings in translated text, whose parts end at ``cuts``.
 
-
-class Terms:
-    """Hashed term counts of texts, over a sorted array of term hashes (all terms when there is none).
-
-    A word's beginning is its first bytes in one number, with their count in the last byte, spread like a hash.
+    A word of up to eight bytes is its bytes in one number, spread like a hash; the eights of a longer one are mixed into it.
+    A word's beginning is its first bytes in one number, with their count in the last byte, which no word of that length has.
     """
+    padded = np.frombuffer(data + b" " * 9, np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], padded == 32])))
+    starts, length = edges[::2], edges[1::2] - edges[::2]
+    eights = np.lib.stride_tricks.as_strided(padded, (len(padded) - 7, 8), (1, 1))
+
+    def eight(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(eights[at]).view("<u8").ravel() & _MASKS[np.minimum(left, 8)]
+
+    head = eight(starts, length)
+    digest = np.empty((len(starts), 1 + len(STEMS)), np.uint64)
+    held = np.ones(digest.shape, bool)
+    digest[:, 0] = mix64(head)
+    for at in range(8, LONG_WORD, 8):
+        more = np.flatnonzero((length > at) & (length <= LONG_WORD))
+        if not len(more):
+            break
+        digest[more, 0] = mix64(digest[more, 0] * np.uint64(0x9E3779B97F4A7C15 + 2 * at) + eight(starts[more] + at, length[more] - at))
+    for k in np.flatnonzero(length > LONG_WORD).tolist():
+        digest[k, 0] = xxhash.xxh3_64_intdigest(data[starts[k]:starts[k] + length[k]])
+    for column, n in enumerate(STEMS, 1):
+        digest[:, column] = mix64(head & _MASKS[n] | np.uint64(n << 56))
+        held[:, column] = length > n
+    return np.searchsorted(cuts, starts, side="right"), digest, held
 
-    REMEMBER = 150_000
+
+class Terms:
+    """Hashed term counts of texts, over a sorted array of term hashes (all terms when there is none)."""
 
     def __init__(self, hashes: np.ndarray | None = None):
-        self.hashes, self.known = hashes, {}
-        self.table = np.empty((self.REMEMBER, 1 + len(STEMS)), np.int64 if hashes is None else np.int32)
-        self.held = np.empty((self.REMEMBER, 1 + len(STEMS)), bool)
-
-    def _learn(self, new: list[bytes]) -> None:
-        at = len(self.known)
-        digest = np.empty((len(new), 1 + len(STEMS)), np.uint64)
-        held = np.ones(digest.shape, bool)
-        digest[:, 0] = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
-        length = np.fromiter(map(len, new), np.int64, len(new))
-        head = np.frombuffer(b"".join([w[:8].ljust(8, b"\0") for w in new]), "<u8")
-        for column, n in enumerate(STEMS, 1):
-            digest[:, column] = mix64(head & np.uint64((1 << 8 * n) - 1) | np.uint64(n << 56))
-            held[:, column] = length > n
+        self.hashes = hashes
+        if hashes is not None:  # the hashes that share their first bits are next to each other
+            bits = max(1, len(hashes).bit_length() + 1)
+            self.shift = np.uint64(64 - bits)
+            self.first = np.concatenate([[0], np.cumsum(np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits))]).astype(np.int32)
+
+    def _places(self, digest: np.ndarray) -> np.ndarray:
+        """The place of each digest in the hashes, -1 where it is none of them."""
+        bucket = (digest >> self.shift).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        place = np.full(len(digest), -1, np.int32)
+        todo = np.flatnonzero(at < end)
+        while len(todo):
+            now = at[todo]
+            hit = self.hashes[now] == digest[todo]
+            place[todo[hit]] = now[hit]
+            at[todo] = now + 1
+            todo = todo[~hit & (now + 1 < end[todo])]
+        return place
+
+    def _counted(self, block: list[tuple[int, bytes]], texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, term, count) of a few (text number, translated text); a text that is cut is counted part by part."""
+        part, digest, held = _words(b" ".join(d for _, d in block), np.cumsum([len(d) + 1 for _, d in block]).tolist())
+        owner = np.fromiter((k for k, _ in block), np.int64, len(block))[part]
+        owner, digest = np.repeat(owner, held.sum(1)), digest[held]
         if self.hashes is None:
-            place = digest.view(np.int64)
-        elif len(self.hashes):
-            place = np.minimum(np.searchsorted(self.hashes, digest), len(self.hashes) - 1)
-            held &= self.hashes[place] == digest
-        else:
-            place, held = np.zeros(digest.shape, np.int64), np.zeros(digest.shape, bool)
-        self.table[at:at + len(new)], self.held[at:at + len(new)] = place, held
-        self.known.update(zip(new, range(at, at + len(new))))
+            return _summed(owner, digest.view(np.int64))
+        place = self._places(digest)
+        known = place >= 0
+        owner, place = owner[known], place[known]
+        bits = len(self.hashes).bit_length()
+        key = owner << bits | place
+        key = key.astype(np.uint32) if texts << bits < 1 << 32 else key
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        n = np.diff(np.append(first, len(key)))
+        key = key[first].astype(np.int64)
+        return key >> bits, key & ((1 << bits) - 1), n
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text number, term, count), by text and term; terms are places in the hashes, or the hashes as signed numbers."""
-        counts = [word_counts(t) for t in texts]
-        words = dict.fromkeys(itertools.chain.from_iterable(counts))
-        if len(self.known) + len(words) > self.REMEMBER:
-            self.known.clear()
-            if len(words) > self.REMEMBER:  # very long texts
-                self.table, self.held = (np.empty((len(words), a.shape[1]), a.dtype) for a in (self.table, self.held))
-        self._learn([w for w in words if w not in self.known])
-        total = sum(map(len, counts))
-        row = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(counts)), np.int64, total)
-        n = np.fromiter(itertools.chain.from_iterable(c.values() for c in counts), np.int64, total)
-        text = np.repeat(np.arange(len(texts)), [len(c) for c in counts])
-        held = self.held[row]
-        term, text, n = self.table[row][held].astype(np.int64), np.repeat(text, held.sum(1)), np.repeat(n, held.sum(1))
-        order = np.lexsort((term, text))
-        term, text, n = term[order], text[order], n[order]
-        first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (text[1:] != text[:-1]))) if len(term) else np.empty(0, np.int64)
-        return text[first], term[first], np.add.reduceat(n, first) if len(first) else n
+        found, block, size = [], [], 0
+        for k, text in enumerate(texts):
+            for part in pieces(text.encode("utf-8", "surrogatepass").translate(_WORDS)) if text else ():
+                if size + len(part) > TEXT_BLOCK and block:
+                    found.append(self._counted(block, len(texts)))
+                    block, size = [], 0
+                block.append((k, part))
+                size += len(part)
+        if block or not found:
+            found.append(self._counted(block, len(texts)))
+        return found[0] if len(found) == 1 else _summed(*(np.concatenate(a) for a in zip(*found)))
+
+
+def _summed(text: np.ndarray, term: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The counts of equal (text, term) added up, by text and term."""
+    order = np.lexsort((term, text))
+    text, term = text[order], term[order]
+    n = np.ones(len(order), np.int64) if n is None else n[order]
+    first = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (text[1:] != text[:-1]))) if len(term) else np.empty(0, np.int64)
+    return text[first], term[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _split(text: np.ndarray, texts: int, *arrays: np.ndarray) -> list[tuple[np.ndarray, ...]]:
@@ -130,20 +170,21 @@ class Index:
         empty = Counter(y for t, _, y, _ in rows if not len(t))
         self.base = _rate(empty, weight, Counter(r[2] for r in rows))
         self.idf = idf
-        rows = [(t, self.unit(t, n), y, i) for t, n, y, i in rows if len(t)]
-        rows.sort(key=lambda r: (r[2], int(r[0][int(np.argmax(r[1]))])))
+        rows = [(t, n, y, i, int(t[int(np.argmax(self.unit(t, n)))])) for t, n, y, i in rows if len(t)]
+        rows.sort(key=lambda r: (r[2], r[4]))
         self.labels = np.array([r[2] for r in rows], np.int64)
         self.ids = [r[3] for r in rows]
         self.weights = np.array([weight[y] for y in self.labels.tolist()]) if rows else np.empty(0)
-        terms = np.concatenate([r[0] for r in rows]) if rows else np.empty(0, np.int64)
-        unit = np.concatenate([r[1] for r in rows]) if rows else np.empty(0, np.float32)
-        place = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
-        del rows  # the vectors are in the arrays
-        order = np.argsort(terms, kind="stable")
-        self.place, self.unit_weights = place[order], unit[order]
-        del order, place, unit
-        held = np.bincount(terms, minlength=len(idf))
+        held = np.zeros(len(idf), np.int64)
+        for t, *_ in rows:
+            held[t] += 1
         self.starts = np.concatenate([[0], np.cumsum(held)])
+        self.place, self.unit_weights = np.empty(self.starts[-1], np.int32), np.empty(self.starts[-1], np.float32)
+        free = self.starts[:-1].copy()
+        for k, (t, n, *_) in enumerate(rows):  # row by row into place: sorting all postings takes several times their memory
+            at = free[t]
+            self.place[at], self.unit_weights[at] = k, self.unit(t, n)
+            free[t] = at + 1
         self.common = np.flatnonzero(held >= max(2, COMMON_SHARE * len(self.ids)))
         self._dense = None
         self.points: tuple[np.ndarray, np.ndarray] | None = None
@@ -196,13 +237,15 @@ class Index:
             sums += np.bincount(self.place[at], self.unit_weights[at] * np.repeat(w[c < 0], n), minlength=width).astype(np.float32)
         bound = (q @ self._most + partial.reshape(len(queries), blocks, BLOCK).max(2)) * np.float32(1 + 1e-5) + np.float32(1e-6)
         found = np.zeros((len(queries), blocks, BLOCK), np.float32)
-        todo = np.zeros((len(queries), blocks), bool)
-        np.put_along_axis(todo, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS], True, axis=1)
-        self._take(todo, q, partial, found, without)
-        flat = found.reshape(len(queries), width)
-        least = np.partition(flat, width - k, axis=1)[:, width - k] if width > k else np.zeros(len(queries), np.float32)
-        self._take((bound >= least[:, None]) & ~todo, q, partial, found, without)
-        return [self._ordered(row, k, low) for row, low in zip(flat, least.tolist())]
+        order, least = np.argsort(-bound, axis=1, kind="stable"), np.zeros(len(queries), np.float32)
+        for at, end in itertools.pairwise([0, *(n for n in FIRST_BLOCKS if n < blocks), blocks]):
+            todo = np.zeros((len(queries), blocks), bool)
+            np.put_along_axis(todo, order[:, at:end], True, axis=1)
+            self._take(todo & (bound >= least[:, None]), q, partial, found, without)
+            if end < blocks and end * BLOCK > k:
+                taken = np.take_along_axis(found, order[:, :end, None], axis=1).reshape(len(queries), end * BLOCK)
+                least = np.partition(taken, end * BLOCK - k, axis=1)[:, end * BLOCK - k]
+        return [self._ordered(row, k, low) for row, low in zip(found.reshape(len(queries), width), least.tolist())]
 
     def _take(self, todo: np.ndarray, q: np.ndarray, partial: np.ndarray, found: np.ndarray, without: list[int] | None) -> None:
         """Whole cosines of the (query, block) pairs in ``todo``."""
@@ -298,7 +341,9 @@ def sample_labels(labels: DataFrame) -> tuple[DataFrame, dict[int, float]]:
 
 def evidence(terms: list[np.ndarray], labels: list[int], size: int) -> np.ndarray:
     """G2 statistic of each of ``size`` terms on the labels of the examples."""
-    a, b = (np.bincount(np.concatenate([np.empty(0, np.int64), *(t for t, x in zip(terms, labels) if x == y)]), minlength=size).astype(float) for y in (1, 0))
+    a, b = held = np.zeros((2, size))
+    for t, y in zip(terms, labels):
+        held[1 - y, t] += 1
     n1, n0 = float(sum(labels)), float(len(labels) - sum(labels))
     every, df = n1 + n0, a + b
 
@@ -352,21 +397,54 @@ def _left_out(index: Broadcast):
     return run
 
 
+def _all_terms(batches):
+    found = np.empty(0, np.uint64)
+    for batch in batches:
+        found = np.union1d(found, batch.column(0).flatten().to_numpy().view(np.uint64))
+    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["term"])
+
+
+def _numbered(hashes: Broadcast):
+    """Terms as their places in the sorted hashes, which hold all of them."""
+    def run(batches):
+        for batch in batches:
+            terms = batch.column("terms")
+            place = np.searchsorted(hashes.value, terms.flatten().to_numpy().view(np.uint64)).astype(np.int32)
+            ends = np.concatenate([[0], np.cumsum(terms.value_lengths().to_numpy())]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.ListArray.from_arrays(ends, pa.array(place)), batch.column("counts")],
+                                             names=["doc_id", "toxic", "terms", "counts"])
+
+    return run
+
+
 def _read_examples(examples: DataFrame) -> tuple[list, list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, labels, sorted term hashes, and each example's terms and counts end to end, with the number of terms of each."""
-    rows = examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, "doc_id long, toxic int, terms array<long>, counts array<int>").toArrow()
+    """Ids, labels, sorted term hashes, and each example's terms and counts end to end, with the number of terms of each.
+
+    Terms are numbered in tasks: the driver gets the distinct hashes and small numbers, never all hashes of all examples.
+    """
+    rest = "counts array<int>"
+    vectors = stored(examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, f"doc_id long, toxic int, terms array<long>, {rest}"), "tox-vectors")
+    hashes = np.empty(0, np.uint64)
+    for chunk in vectors.select("terms").mapInArrow(_all_terms, "term long").toArrow().column("term").chunks:
+        hashes = np.union1d(hashes, chunk.to_numpy().view(np.uint64))
+    sent = examples.sparkSession.sparkContext.broadcast(hashes)
+    rows = vectors.mapInArrow(_numbered(sent), f"doc_id long, toxic int, terms array<int>, {rest}").toArrow()
+    sent.unpersist()
     ids, labels = (rows.column(c).to_numpy() for c in ("doc_id", "toxic"))
-    hashes, terms, counts = np.empty(0, np.uint64), [], []
-    for chunk in rows.column("terms").chunks:  # chunk by chunk: what is added to the table stays small
-        hashes = np.union1d(hashes, chunk.flatten().to_numpy().view(np.uint64))
+    order = np.argsort(ids, kind="stable")
+    sizes = np.concatenate([np.empty(0, np.int64), *(c.value_lengths().to_numpy() for c in rows.column("terms").chunks)]).astype(np.int64)
+    lengths = sizes[order]
+    starts = np.empty(len(order), np.int64)
+    starts[order] = np.cumsum(lengths) - lengths
+    term, count = (np.empty(lengths.sum(), np.int32) for _ in range(2))
+    at = 0
     for batch in rows.to_batches():
-        ends = np.cumsum(batch.column("terms").value_lengths().to_numpy())[:-1]
-        terms += np.split(np.searchsorted(hashes, batch.column("terms").flatten().to_numpy().view(np.uint64)).astype(np.int32), ends) if batch.num_rows else []
-        counts += np.split(batch.column("counts").flatten().to_numpy().copy(), ends) if batch.num_rows else []
-    del rows
-    order = np.argsort(ids, kind="stable").tolist()
-    term, count = (np.concatenate([np.empty(0, np.int32), *(parts[k] for k in order)]) for parts in (terms, counts))
-    return ids[order].tolist(), labels[order].tolist(), hashes, term, count, np.array([len(terms[k]) for k in order], np.int64)
+        ends = np.cumsum(sizes[at:at + batch.num_rows])[:-1]
+        for name, whole in (("terms", term), ("counts", count)):
+            for start, part in zip(starts[at:at + batch.num_rows].tolist(), np.split(batch.column(name).flatten().to_numpy(), ends)):
+                whole[start:start + len(part)] = part
+        at += batch.num_rows
+    return ids[order].tolist(), labels[order].tolist(), hashes, term, count, lengths
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast, tuple | None]:
@@ -390,6 +468,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Broadcast, tup
         idf = idf * np.sqrt(1 + evidence([t for t, _ in vectors], labelled, len(idf)))
         del counted, held, df
     index = Index(list(zip(vectors, labelled)), idf, {y: weight.get(y, 1.0) for y in (0, 1)}, ids)
+    del vectors, term, counts  # the vectors are in the index
     sent = context.broadcast(index)
     if index.ids:
         asked = docs.sparkSession.range(0, len(index.ids), 1, -(-len(index.ids) // (4 * QUERIES)))
