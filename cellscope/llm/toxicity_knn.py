@@ -231,10 +231,12 @@ class Index:
         partial = np.zeros((len(queries), width), np.float32)
         for row, sums, (terms, w) in zip(q, partial, queries):
             c = self._column[terms]
-            row[c[c >= 0]] = w[c >= 0]
-            first, n = self.starts[terms[c < 0]], self.starts[terms[c < 0] + 1] - self.starts[terms[c < 0]]
+            rare = c < 0
+            row[c[~rare]] = w[~rare]
+            first = self.starts[terms[rare]]
+            n = self.starts[terms[rare] + 1] - first
             at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
-            sums += np.bincount(self.place[at], self.unit_weights[at] * np.repeat(w[c < 0], n), minlength=width).astype(np.float32)
+            sums += np.bincount(self.place[at], self.unit_weights[at] * np.repeat(w[rare], n), minlength=width).astype(np.float32)
         bound = (q @ self._most + partial.reshape(len(queries), blocks, BLOCK).max(2)) * np.float32(1 + 1e-5) + np.float32(1e-6)
         found = np.zeros((len(queries), blocks, BLOCK), np.float32)
         order, least = np.argsort(-bound, axis=1, kind="stable"), np.zeros(len(queries), np.float32)
@@ -397,11 +399,20 @@ def _left_out(index: Broadcast):
     return run
 
 
+def _distinct(parts) -> np.ndarray:
+    """Sorted distinct hashes of some arrays of signed numbers, a million at a time."""
+    found, waiting = np.empty(0, np.uint64), []
+    for part in itertools.chain(parts, [None]):
+        waiting += [part.view(np.uint64)] if part is not None else []
+        if part is None or sum(map(len, waiting)) > 1 << 20:
+            found = np.concatenate([found, *waiting])
+            found.sort()
+            found, waiting = found[np.append(True, found[1:] != found[:-1])] if len(found) else found, []
+    return found
+
+
 def _all_terms(batches):
-    found = np.empty(0, np.uint64)
-    for batch in batches:
-        found = np.union1d(found, batch.column(0).flatten().to_numpy().view(np.uint64))
-    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["term"])
+    yield pa.RecordBatch.from_arrays([pa.array(_distinct(b.column(0).flatten().to_numpy() for b in batches).view(np.int64))], names=["term"])
 
 
 def _numbered(hashes: Broadcast):
@@ -424,9 +435,7 @@ def _read_examples(examples: DataFrame) -> tuple[list, list, np.ndarray, np.ndar
     """
     rest = "counts array<int>"
     vectors = stored(examples.select("doc_id", "toxic", "text").mapInArrow(_example_vectors, f"doc_id long, toxic int, terms array<long>, {rest}"), "tox-vectors")
-    hashes = np.empty(0, np.uint64)
-    for chunk in vectors.select("terms").mapInArrow(_all_terms, "term long").toArrow().column("term").chunks:
-        hashes = np.union1d(hashes, chunk.to_numpy().view(np.uint64))
+    hashes = _distinct(c.to_numpy() for c in vectors.select("terms").mapInArrow(_all_terms, "term long").toArrow().column("term").chunks)
     sent = examples.sparkSession.sparkContext.broadcast(hashes)
     rows = vectors.mapInArrow(_numbered(sent), f"doc_id long, toxic int, terms array<int>, {rest}").toArrow()
     sent.unpersist()
