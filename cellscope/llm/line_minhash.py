@@ -6,9 +6,10 @@ eight, sixteen), in Arrow batches; DataFrame functions took three to four times
 links and components are DataFrame operations. Each band joins ROWS of
 the minima (a minimum serves in two bands); lines with a similarity of 0.75 meet in some band with a probability of
 0.9975 to 0.9998, by length. In a band's bucket every line is
-first compared with the bucket's smallest and largest; only lines that are still in different components afterwards
-are compared with each other, so a large group costs about as many pairs as it has lines. Every link is confirmed on
-the whole shingle sets. Of each component (equal lines included) one line stays, the first by doc_id and line number;
+first compared with the bucket's smallest and largest; what is outside the bucket's most frequent component afterwards is
+compared with the bucket's lines of other components, by marks of the minima and an upper bound from bitmaps. What passes
+is confirmed on the whole shingle sets, as is every link: about as many pairs as a large group has lines, and those near the
+threshold. Of each component (equal lines included) one line stays, the first by doc_id and line number;
 the other occurrences are taken out of their documents.
 
 Lines shorter than MIN_CHARS characters are not shingled: exact copies of those with SHORT_WORDS words or more take
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from cellscope.llm.common import mix64, small, stored
 from cellscope.llm.components import connected_components
-from cellscope.llm.linking import MAP_WORDS, contract, may_link, merged
+from cellscope.llm.linking import contract, merged
 
 SHINGLE, MIN_CHARS, SHORT_WORDS = 16, 40, 3
 BANDS, ROWS, HASHES = 16, 3, 24
@@ -42,6 +43,11 @@ BAND_OF = [tuple((3 * b + r) % HASHES if b < BANDS // 2 else (b + 8 * r) % HASHE
 SIMILARITY = 75
 #: Equal minima (of HASHES) below which lines that no bucket centre has brought together are not checked further.
 LEAST_EQUAL = 10
+#: 64-bit words of a line's bitmap of shingle hashes, and of its marks (one of 16 bits for each minimum). With more words the join
+#: that compares them becomes a method of over 8,000 bytes, which the JVM does not compile.
+MAP_WORDS, MARK_WORDS = 24, HASHES // 4
+LEVELS = 2
+CELLS = 64 * MAP_WORDS // LEVELS
 #: Masks evenly spread over 32 bits: a minimum under a mask is the hash nearest to it.
 MASKS = [((k * (1 << 32) // HASHES + 0x2545F491 * (k + 1)) % (1 << 32)) - (1 << 31) for k in range(HASHES)]
 #: Characters that are hashed at once in a task; longer lines are cut, with windows across the cuts kept.
@@ -155,16 +161,21 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, n, w0 .. w15) for lines (id, line): the shingle set's size and its bitmap."""
+    """(id, n, spare, w0 .. w23) for lines (id, line): the shingle set's size, what it has more than bits in its bitmap, and that bitmap.
+
+    The bitmap has LEVELS bits for each of CELLS cells of hashes: whether the set has a shingle there, and a second one.
+    """
     for batch in batches:
         for part in _pieces(batch, "line"):
             words = _distinct(part.column("line").to_pylist())
             owner = (words >> np.uint64(SET_BITS)).astype(np.int64)
-            bits = np.zeros((part.num_rows, 64 * MAP_WORDS), dtype=np.uint8)
-            bits[owner, (words % np.uint64(64 * MAP_WORDS)).astype(np.int64)] = 1
+            cell = ((words & np.uint64((1 << SET_BITS) - 1)) % np.uint64(CELLS)).astype(np.int64)
+            held = np.bincount(owner * CELLS + cell, minlength=part.num_rows * CELLS).reshape(-1, CELLS)
+            bits = np.concatenate([held > k for k in range(LEVELS)], axis=1)
             maps = np.packbits(bits, axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.bincount(owner, minlength=part.num_rows)), *[pa.array(maps[:, k].copy()) for k in range(MAP_WORDS)]],
-                                             names=["id", "n", *[f"w{k}" for k in range(MAP_WORDS)]])
+            n = np.bincount(owner, minlength=part.num_rows)
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n), pa.array(n - bits.sum(axis=1, dtype=np.int64)), *[pa.array(maps[:, k].copy()) for k in range(MAP_WORDS)]],
+                                             names=["id", "n", "spare", *[f"w{k}" for k in range(MAP_WORDS)]])
 
 
 def _sets(docs: DataFrame, signed: DataFrame, ids: DataFrame) -> DataFrame:
@@ -184,13 +195,48 @@ def _confirm(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("a", "b", "la", "lb").mapInArrow(_similar, "a long, b long")
 
 
+def _about(signed: DataFrame, sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, n, spare, w0 .., e0 ..) of the lines in the stored table ``ids``: bitmaps of their shingles and marks of their minima."""
+    ids = small(ids)
+    schema = "id long, n long, spare long, " + ", ".join(f"w{k} long" for k in range(MAP_WORDS))
+    maps = sets.join(ids, "id", "left_semi").select("id", "line").mapInArrow(_maps, schema)
+    marks = [F.expr(" | ".join(f"shiftleft(1L, (m{4 * k + i} & 15) + {16 * i})" for i in range(4))).alias(f"e{k}") for k in range(MARK_WORDS)]
+    return stored(maps.join(signed.join(ids, "id", "left_semi").select("id", *marks), "id"), "line-about")
+
+
+def _near(left: DataFrame, right: DataFrame, about: DataFrame) -> DataFrame:
+    """Pairs (a, b) of lines of a band, (band, id, comp, most) on both sides, that are in different components and may be linked.
+
+    Equal minima have equal marks, so at least LEAST_EQUAL common marks are asked for. In a cell two sets share at most the
+    smaller of their numbers of shingles: the bits that both bitmaps have, and no more than the ``spare`` ones of either. This
+    bounds the intersection from above. Of two lines outside the most frequent component only one order is taken.
+    """
+    cols = [c for c in about.columns if c != "id"]
+    a, b = (side.join(about, "id").select(*[F.col(c).alias(i + c) for c in ("band", "id", "comp", "most", *cols)]) for i, side in (("a", left), ("b", right)))
+    both = lambda c, n: sum(F.bit_count(F.col(f"a{c}{k}").bitwiseAND(F.col(f"b{c}{k}"))) for k in range(n))
+    common = F.least("aspare", "bspare") + both("w", MAP_WORDS)
+    apart = (F.col("acomp") < F.col("bcomp")) | F.col("bmost") & (F.col("acomp") != F.col("bcomp"))
+    alike = (both("e", MARK_WORDS) >= LEAST_EQUAL) & ((100 + SIMILARITY) * common >= SIMILARITY * (F.col("an") + F.col("bn")))
+    met = a.join(b, (F.col("aband") == F.col("bband")) & apart & alike)
+    return met.select(F.least("aid", "bid").alias("a"), F.greatest("aid", "bid").alias("b")).distinct()
+
+
+def _apart(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(band, id, comp, most) of the lines of buckets that are not all in one component; ``most`` marks the bucket's most frequent one."""
+    placed = shared.join(found, "id", "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
+    held = placed.groupBy("band", "comp").agg(F.count("*").alias("n"))
+    mains = held.groupBy("band").agg(F.sum("n").alias("k"), F.count("*").alias("comps"), F.max(F.struct("n", "comp"))["comp"].alias("main")).where("comps > 1 and k > 3")
+    return placed.join(mains, "band").select("band", "id", "comp", (F.col("comp") == F.col("main")).alias("most"))
+
+
 def line_components(docs: DataFrame) -> DataFrame:
     """(id, component) of the distinct lines that are linked with another distinct line."""
     signed = stored(_signatures(_lines(docs)), "line-signatures")
-    band = [F.struct(F.lit(b).alias("no"), F.xxhash64(F.lit(b), *[f"m{k}" for k in BAND_OF[b]]).alias("band")) for b in range(BANDS)]
-    keyed = signed.select("id", F.inline(F.array(*band)))
+    band = [F.xxhash64(F.lit(b), *[f"m{k}" for k in BAND_OF[b]]) for b in range(BANDS)]
+    keyed = signed.select("id", F.explode(F.array(*band)).alias("band"))
     ends = keyed.groupBy("band").agg(F.min("id").alias("center"), F.max("id").alias("far")).where("center <> far")
-    shared = stored(keyed.join(stored(ends, "line-band-ends"), "band"), "line-buckets")
+    # a band's row is hashed and its lines stream past: they are not sorted
+    shared = stored(keyed.join(stored(ends, "line-band-ends").hint("shuffle_hash"), "band"), "line-buckets")
     sets = _sets(docs, signed, stored(shared.select("id").distinct(), "line-ids"))
     stars = shared.where("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).union(
         shared.where("id <> center and id <> far").select(F.col("id").alias("a"), F.col("far").alias("b"))).distinct()
@@ -198,23 +244,10 @@ def line_components(docs: DataFrame) -> DataFrame:
     links = stored(_confirm(sets, tested), "line-links")
     found = stored(connected_components(links, "a", "b", "line-cc"), "line-components")
 
-    # buckets whose lines are not all in one component yet: compare across components, each pair in its first common
-    # band, where the minima and the bitmaps leave room for a link
-    placed = shared.select("no", "band", "id").join(found, "id", "left").select("no", "band", "id", F.coalesce("component", "id").alias("comp"))
-    open_bands = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("k")).where("x <> y and k > 3").select("band")
-    rest = stored(placed.join(open_bands, "band", "left_semi"), "line-rest")
-    ids = stored(rest.select("id").distinct(), "line-rest-ids")
-    map_schema = "id long, n long, " + ", ".join(f"w{k} long" for k in range(MAP_WORDS))
-    about = stored(signed.drop("first_doc").join(ids, "id").join(sets.join(ids, "id", "left_semi").select("id", "line").mapInArrow(_maps, map_schema), "id"), "line-about")
-    rest = rest.join(about, "id")
-    hashes = [f"m{k}" for k in range(HASHES)]
-    kept = ["comp", "no", "n", *hashes, *[f"w{k}" for k in range(MAP_WORDS)]]
-    left, right = (rest.select("band", F.col("id").alias(i), *[F.col(c).alias(i + c) for c in kept]) for i in ("a", "b"))
-    same = [F.col("a" + m) == F.col("b" + m) for m in hashes]
-    first = F.coalesce(*[F.when(same[x] & same[y] & same[z], b) for b, (x, y, z) in enumerate(BAND_OF)])
-    near = (sum(x.cast("int") for x in same) >= LEAST_EQUAL) & (first == F.col("ano"))
-    across = left.join(right, (left["band"] == right["band"]) & (F.col("acomp") < F.col("bcomp")) & near & may_link("a", "b", SIMILARITY))
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tested, ["a", "b"], "left_anti")
+    # buckets whose lines are not all in one component yet: what is outside the most frequent one is compared across components
+    rest = stored(_apart(shared, found), "line-rest")
+    about = _about(signed, sets, stored(rest.select("id").distinct(), "line-rest-ids"))
+    across = _near(rest.where("not most"), rest, about).join(tested, ["a", "b"], "left_anti")
     more = _confirm(sets, stored(across, "line-across"))
     over = connected_components(stored(contract(found, more), "line-more"), "a", "b", "line-cc")
     return stored(merged(found, over), "line-components")
