@@ -72,7 +72,7 @@ def _assembler(cols: list[str]) -> VectorAssembler:
 def _search(train: DataFrame, cols: list[str], estimator, grid: list, folds: int, parallelism: int):
     data = with_folds(train.select("cell_id", "label", *cols), folds)
     data = data.withColumn("label", F.col("label").cast("double"))
-    if isinstance(estimator, RandomForestClassifier) and train.limit(TASK_FIT_ROWS + 1).count() <= TASK_FIT_ROWS:
+    if isinstance(estimator, (RandomForestClassifier, GBTClassifier)) and train.limit(TASK_FIT_ROWS + 1).count() <= TASK_FIT_ROWS:
         found = _search_in_tasks(data, cols, estimator, grid, folds)
         if found is not None:
             return found
@@ -130,7 +130,7 @@ def train_random_forest(train: DataFrame, cols: list[str] | None = None, space:
 
 def train_gradient_boosting(train: DataFrame, cols: list[str] | None = None, space: dict = GBT_SPACE,
                             n_iter: int = GBT_N_ITER, folds: int = CV_FOLDS, parallelism: int = 4):
-    """V3: gradient-boosted trees, randomized search."""
+    """V3: gradient-boosted trees, randomized search. ``parallelism`` is for tables beyond TASK_FIT_ROWS."""
     cols = cols or feature_columns(train)
     gb = GBTClassifier(labelCol="label", featuresCol="features", seed=SEED)
     combos = sample_space(space, n_iter)

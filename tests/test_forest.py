@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -85,3 +85,41 @@ def test_forest_search_takes_a_task_for_each_fit(spark):
     assert model.getMinInstancesPerNode() == combos[best]["min_samples_leaf"]
     again, _, _ = ml.train_random_forest(data.repartition(7), COLS, space=space, n_iter=6, folds=3)
     assert again.avgMetrics == found.avgMetrics and again.bestModel.stages[-1].toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
+
+
+@pytest.mark.parametrize("least", [1, 5])
+def test_boosting_is_spark_mls(spark, least):
+    theirs, own, d = fitted(spark, rows(spark), GBTClassifier(labelCol="label", maxIter=8, maxDepth=4, stepSize=0.2, minInstancesPerNode=least, seed=1))
+    raw = [np.array([r[0] for r in m.transform(d).select(vector_to_array("rawPrediction")[1]).collect()]) for m in (theirs, own)]
+    assert np.abs(raw[0] - raw[1]).max() < 1e-9 and theirs.treeWeights == own.treeWeights
+    assert theirs.totalNumNodes == own.totalNumNodes and own.getMaxIter() == 8 and own.numFeatures == 4
+    assert np.abs(theirs.featureImportances.toArray() - own.featureImportances.toArray()).max() < 1e-6
+
+
+def test_boosting_search_takes_a_task_for_each_fit(spark):
+    data = rows(spark, 200)
+    space = {"n_estimators": [5, 10], "learning_rate": [0.1, 0.3], "max_depth": [3], "subsample": [0.8, 1.0], "min_samples_leaf": [1, 2]}
+    (found, combos, _), n = jobs(spark, "boosting-search", lambda: ml.train_gradient_boosting(data, COLS, space=space, n_iter=5, folds=3))
+    assert n < 40  # a job for each level of each tree of the 16 fits before
+    best = int(np.argmax(found.avgMetrics))
+    model = found.bestModel.stages[-1]
+    assert len(found.avgMetrics) == len(combos) == 5 and model.getNumTrees == combos[best]["n_estimators"]
+    assert model.treeWeights == [1.0] + [combos[best]["learning_rate"]] * (model.getNumTrees - 1)
+    again, _, _ = ml.train_gradient_boosting(data.repartition(7), COLS, space=space, n_iter=5, folds=3)
+    assert again.avgMetrics == found.avgMetrics and again.bestModel.stages[-1].toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
+
+
+def test_more_rows_and_other_labels_are_left_to_spark_ml(spark, monkeypatch):
+    data = rows(spark, 120)
+    space = {"n_estimators": [4], "learning_rate": [0.2], "max_depth": [2], "subsample": [1.0], "min_samples_leaf": [1]}
+    own = ml.train_gradient_boosting(data, COLS, space=space, n_iter=1, folds=2)[0]
+    monkeypatch.setattr(ml, "TASK_FIT_ROWS", 119)
+    monkeypatch.setattr(forest, "cross_validate", None)
+    theirs = ml.train_gradient_boosting(data, COLS, space=space, n_iter=1, folds=2)[0]
+    assert np.allclose(own.avgMetrics, theirs.avgMetrics) and np.allclose(own.stdMetrics, theirs.stdMetrics)
+    monkeypatch.setattr(ml, "TASK_FIT_ROWS", 120)
+    three = data.withColumn("label", F.when(F.col("a") > 5, 2).otherwise(F.col("label")))
+    found = ml.train_random_forest(three, COLS, space={"n_estimators": [3], "max_depth": [3], "min_samples_leaf": [1], "max_features": ["all"]}, n_iter=1, folds=2)[0]
+    assert found.bestModel.stages[-1].numClasses == 3
+    with pytest.raises(Exception, match="(?i)null"):
+        ml.train_random_forest(data.withColumn("a", F.when(F.col("b") > 9, F.col("a"))), COLS, n_iter=1, folds=2)
