@@ -1,3 +1,6 @@
+import json
+import types
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -5,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cellscope.operators import forest, ml
+from cellscope.plans import q_ml
 
 COLS = ["a", "b", "c", "d"]
 
@@ -123,3 +127,41 @@ def test_more_rows_and_other_labels_are_left_to_spark_ml(spark, monkeypatch):
     assert found.bestModel.stages[-1].numClasses == 3
     with pytest.raises(Exception, match="(?i)null"):
         ml.train_random_forest(data.withColumn("a", F.when(F.col("b") > 9, F.col("a"))), COLS, n_iter=1, folds=2)
+
+
+@pytest.fixture(scope="module")
+def searched(spark):
+    """The configured searches of both families on few rows: what the scoring queries begin with."""
+    d = rows(spark, 240)
+    d = d.select("cell_id", "label", *[F.col(COLS[i % 4]).alias(c) if i % 2 else (F.col(COLS[i % 4]) * (i + 1)).alias(c) for i, c in enumerate(q_ml.FEATURES_13)]).cache()
+    parts = [d.where(F.pmod(F.xxhash64("cell_id"), F.lit(4)).isin(*k)) for k in ((0, 1), (2,), (3,))]
+    found, n = jobs(spark, "both-searches", lambda: ml.train_all(parts[0], parts[1], q_ml.FEATURES_13, models=["random_forest", "gradient_boosting"]))
+    return d, parts, found, n
+
+
+@pytest.fixture
+def few_rows(searched, monkeypatch):
+    d, parts, found, _ = searched
+    monkeypatch.setattr(q_ml, "_train_val_test", lambda c: parts)
+    monkeypatch.setattr(q_ml, "model_table", lambda c: d)
+    monkeypatch.setattr(ml, "train_all", lambda *a, **b: found)
+    return d, parts, ml.select_best(found[0]).first()["model"]
+
+
+def test_best_model_of_the_configured_searches(searched, few_rows):
+    _, _, (results, fitted), n = searched
+    assert n < 80  # far over ten thousand before
+    for r in results.collect():
+        model = fitted[r["model"]]
+        assert model.stages[-1].getNumTrees == json.loads(r["params"])["n_estimators"]
+        assert r["val_f1"] == ml.f1_evaluator().evaluate(ml.score(model, few_rows[1][1]))
+    best = q_ml.q_best_model(None).first()
+    assert best["model"] == few_rows[2] and best["val_f1"] == max(r["val_f1"] for r in results.collect())
+
+
+def test_folds_are_ranked_once_for_a_search(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(ml.CrossValidator, "fit", lambda self, data: seen.append(data))
+    ml.train_logistic_regression(rows(spark, 60), COLS, folds=3)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and "Relation" in plan and seen[0].groupBy("fold").count().count() == 3
