@@ -165,3 +165,9 @@ def test_folds_are_ranked_once_for_a_search(spark, monkeypatch):
     ml.train_logistic_regression(rows(spark, 60), COLS, folds=3)
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "Join" not in plan and "Relation" in plan and seen[0].groupBy("fold").count().count() == 3
+
+
+def test_batch_score_of_the_search(few_rows):
+    scored = q_ml.q_batch_score(None).collect()
+    assert len(scored) == few_rows[0].count() and all(abs(r["p_underserved"] + r["p_well_served"] - 1) < 1e-12 for r in scored)
+    assert all((r["prediction"] == 1) == (r["p_well_served"] > 0.5) for r in scored)
