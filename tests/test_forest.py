@@ -171,3 +171,9 @@ def test_batch_score_of_the_search(few_rows):
     scored = q_ml.q_batch_score(None).collect()
     assert len(scored) == few_rows[0].count() and all(abs(r["p_underserved"] + r["p_well_served"] - 1) < 1e-12 for r in scored)
     assert all((r["prediction"] == 1) == (r["p_well_served"] > 0.5) for r in scored)
+
+
+def test_feature_importance_of_the_search(few_rows):
+    found = q_ml.q_feature_importance(None).collect()
+    assert {r["feature"] for r in found} == set(q_ml.FEATURES_13) and abs(sum(r["importance"] for r in found) - 1) < 1e-9
+    assert found[0]["importance_rel"] == 1.0
