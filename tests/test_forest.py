@@ -177,3 +177,8 @@ def test_feature_importance_of_the_search(few_rows):
     found = q_ml.q_feature_importance(None).collect()
     assert {r["feature"] for r in found} == set(q_ml.FEATURES_13) and abs(sum(r["importance"] for r in found) - 1) < 1e-9
     assert found[0]["importance_rel"] == 1.0
+
+
+def test_model_parity_of_the_search(spark, few_rows):
+    found = q_ml.q_model_parity(types.SimpleNamespace(spark=spark)).first()
+    assert found["n"] == few_rows[1][2].count() and found["class_diffs"] == 0 and found["ok"]
