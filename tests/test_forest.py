@@ -182,3 +182,8 @@ def test_feature_importance_of_the_search(few_rows):
 def test_model_parity_of_the_search(spark, few_rows):
     found = q_ml.q_model_parity(types.SimpleNamespace(spark=spark)).first()
     assert found["n"] == few_rows[1][2].count() and found["class_diffs"] == 0 and found["ok"]
+
+
+def test_test_metrics_of_the_search(few_rows):
+    found = q_ml.q_test_metrics(None).first()
+    assert found["model"] == few_rows[2] and found["f1"] > 0.7 and found["f1_ok"]
